@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tickloom.functions.quotes import passes_stream_filter
 from tickloom.operators import cleaning, dashboard as dash
+from tickloom.operators.ordered import with_position
 from tickloom.plans import fixtures as fx
 from tickloom.plans.oracle import alert_sql, money, rnd, with_ctes
 from tickloom.plans.registry import query
@@ -115,18 +116,14 @@ def _(spark, d):
 
 @query("src_06_captured_quotes")
 def _(spark, d):
-    """Capture files `{"quotes": [...]}`, one per minute, overlaid with the catalogue."""
+    """Captures `{"quotes": [...]}` of at most 500 quotes, one per line, overlaid with the catalogue."""
     path = scratch_path(spark, "captures")
     ticks = fx.ticks(spark, d)
-    quotes = ticks.withColumn("at", sb.minute_bucket()).withColumn("event_time", time_text("event_time"))
-    files = quotes.groupBy("at").agg(F.collect_list(F.struct(*QUOTE_COLUMNS)).alias("quotes"))
-    files.select(F.to_json(F.struct("quotes")).alias("value")).write.option("maxRecordsPerFile", 1000).option(
-        "lineSep", "\n"
-    ).text(path)
-    lines = spark.read.text(path)
-    single = scratch_path(spark, "captures-single")
-    lines.write.option("maxRecordsPerFile", 1).text(single)
-    return captures.read_captured_quotes(spark, single, catalogue(ticks))
+    placed = with_position(ticks, ["source"], ["event_time", "id"], fx.by_hour())
+    quotes = placed.withColumns({"part": F.floor((F.col("pos") - 1) / 500), "event_time": time_text("event_time")})
+    files = quotes.groupBy("source", "part").agg(F.collect_list(F.struct(*QUOTE_COLUMNS)).alias("quotes"))
+    files.select(F.to_json(F.struct("quotes")).alias("value")).write.text(path)
+    return captures.read_captured_quotes(spark, path, catalogue(ticks), per_line=True)
 
 
 @query("src_07_newest_capture")

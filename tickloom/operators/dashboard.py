@@ -285,7 +285,7 @@ def daily_freshness(m: Market, max_age_days: int = 10) -> DataFrame:
 # --- Stocks --------------------------------------------------------------------------------------
 
 
-def _stocks(m: Market, latest: DataFrame | None = None) -> DataFrame:
+def stocks_now(m: Market, latest: DataFrame | None = None) -> DataFrame:
     """Latest ticks with recent alerts and the latest prediction."""
     return (
         (m.latest if latest is None else latest)
@@ -328,7 +328,7 @@ def focus_stocks(m: Market, limit: int = 12) -> DataFrame:
         + F.col("risk_now") * 25
         + F.when(F.col("shown").isin("UP", "DOWN"), 8).otherwise(0)
     )
-    scored = _stocks(m).withColumn("attention_score", stable_round(attention, 2))
+    scored = stocks_now(m).withColumn("attention_score", stable_round(attention, 2))
     return (
         scored.orderBy(F.desc("attention_score"), F.desc(F.abs("change_pct")), F.desc("volume"), "symbol")
         .limit(limit)
@@ -347,7 +347,7 @@ def focus_stocks(m: Market, limit: int = 12) -> DataFrame:
 def stock_ranking(m: Market, kind: str = "optimal", limit: int = 10) -> DataFrame:
     """DSH-5: stocks by `optimal` or `risk` score, with a reason."""
     sector = m.latest.groupBy("sector").agg(F.avg("change_pct").alias("sector_mean"))
-    rows = _stocks(m).join(sector, "sector", "left")
+    rows = stocks_now(m).join(sector, "sector", "left")
     change, shown = F.col("change_pct"), F.col("shown")
     mean = F.coalesce("sector_mean", F.lit(0.0))
     alerts, high, risk = F.col("alert_count"), F.col("high_alert_count"), F.col("risk_now")
@@ -395,7 +395,7 @@ def search_stocks(m: Market, keyword: str = "", limit: int = 20) -> DataFrame:
     if word:
         rows = rows.where(any_of([F.col(c).ilike(f"%{word}%") for c in ("symbol", "company_name", "category", "sector")]))
     return (
-        _stocks(m, rows)
+        stocks_now(m, rows)
         .orderBy(F.desc(F.abs("change_pct")), F.desc("alert_count"), F.desc("turnover"), "symbol")
         .limit(clamp(limit, 20, 100))
         .select(
@@ -420,7 +420,7 @@ def stock_detail(m: Market, symbol: str) -> DataFrame:
         predictions=m.predictions.where(F.col("symbol") == wanted),
     )
     prices = ["open_price", "high_price", "low_price", "previous_close"]
-    found = _stocks(one).select(
+    found = stocks_now(one).select(
         *_stock_columns(),
         *[stable_round(c, 2).alias(c) for c in prices],
         time_text("event_time").alias("event_time"),

@@ -387,6 +387,11 @@ def _(spark, d):
     return dash.alert_stats(market(spark, d, "alerts"))["top_symbols"]
 
 
+# Events and snapshot heartbeats of the last minute.
+HEALTH_SOURCE = """SELECT (SELECT count(*) FROM ticks, clock WHERE created_at >= now - INTERVAL 1 MINUTE)
+  + (SELECT count(*) FROM snapshots, clock WHERE latest_event_time >= now - INTERVAL 1 MINUTE) AS e"""
+
+
 def marked_sql(rows: str, keys: str, columns: str) -> str:
     return f"""SELECT {columns}, CASE WHEN odd THEN 'abnormal' ELSE 'normal' END AS status,
       CASE WHEN odd THEN 'Validation data may be insufficient or skewed; metric is for reference only.' END AS warning

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions.decision import (
     DOWN,
@@ -20,7 +20,7 @@ from tickloom.functions.decision import (
     downside_evidence,
 )
 from tickloom.functions.numeric import any_of, count_where, finite, ratio, stable_round
-from tickloom.operators.ordered import with_position, with_previous
+from tickloom.operators.ordered import exact_median, with_position, with_previous, with_running_max
 
 # Guard bounds.
 LIFT_FLOOR = -0.02
@@ -215,8 +215,8 @@ def quality_metrics(report: DataFrame) -> DataFrame:
 def symbol_quality(df: DataFrame, min_rows: int, bucket: Column, tie: str) -> DataFrame:
     """EVA-7: data quality per symbol, with a warning text."""
     order = ["event_time", tie]
-    staged = with_previous(df, ["symbol"], order, bucket, F.col("last_price"), "__prev_price")
-    staged = with_previous(staged, ["symbol"], order, bucket, F.to_date("event_time"), "__prev_day")
+    seen = F.struct(F.col("last_price").alias("price"), F.to_date("event_time").alias("day"))
+    staged = with_previous(df, ["symbol"], order, bucket, seen, "__prev")
     col, day = F.col, F.to_date("event_time")
     bad = any_of(
         [
@@ -237,8 +237,8 @@ def symbol_quality(df: DataFrame, min_rows: int, bucket: Column, tie: str) -> Da
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.min(day).cast("string"), F.lit("")).alias("start_time"),
         F.coalesce(F.max(day).cast("string"), F.lit("")).alias("end_time"),
-        F.coalesce(F.max(F.date_diff(day, "__prev_day")), F.lit(0)).alias("max_gap_days"),
-        count_where(col("last_price") == col("__prev_price")).alias("repeated"),
+        F.coalesce(F.max(F.date_diff(day, F.col("__prev.day"))), F.lit(0)).alias("max_gap_days"),
+        count_where(col("last_price") == col("__prev.price")).alias("repeated"),
         count_where(F.coalesce("volume", F.lit(0)) <= 0).alias("zero"),
         count_where(bad).alias("bad_ohlc_rows"),
         count_where(missing).alias("missing_price_rows"),
@@ -276,12 +276,13 @@ def quality_summary(report: DataFrame) -> DataFrame:
         num(F.count(F.lit(1))).alias("symbol_count"),
         num(count_where(F.col("warning") != "")).alias("warning_symbol_count"),
         num(F.min("rows")).alias("min_rows"),
-        num(F.percentile("rows", 0.5)).alias("median_rows"),
         num(F.max("rows")).alias("max_rows"),
         num(count_where(F.col("bad_ohlc_rows") > 0)).alias("bad_ohlc_symbols"),
         num(count_where(F.col("missing_price_rows") > 0)).alias("missing_price_symbols"),
     )
-    return wide.unpivot([], wide.columns, "metric", "value")
+    middle = exact_median(report, [], "rows", F.floor(F.col("rows") / 1000), "median_rows")
+    both = wide.crossJoin(middle.select(num(F.col("median_rows")).alias("median_rows")))
+    return both.unpivot([], both.columns, "metric", "value")
 
 
 def freshness_gate(tables: dict[str, DataFrame], as_of: datetime, max_age_days: int = 10) -> DataFrame:
@@ -458,20 +459,8 @@ def evaluated_predictions(
 
 def _latest_bar(line: DataFrame, keys: list[str], unit: str, name: str) -> DataFrame:
     """For every prediction row of a time line, the newest bar (by event time) stored before it."""
-    staged = line.withColumn("__piece", F.date_trunc(unit, "at"))
-    tails = staged.where("kind = 0").groupBy(*keys, "__piece").agg(F.max("bar").alias("__top"))
-    order = W.partitionBy(*keys).orderBy("__piece")
-    before = order.rowsBetween(W.unboundedPreceding, -1)
-    pieces = staged.select(*keys, "__piece").distinct().join(tails, [*keys, "__piece"], "left")
-    carried = pieces.select(*keys, "__piece", F.max("__top").over(before).alias("__carried"))
-    inside = W.partitionBy(*keys, "__piece").orderBy("at", "kind", "row_id")
-    best = F.max("bar").over(inside.rowsBetween(W.unboundedPreceding, 0))
-    return (
-        staged.withColumn("__inside", best)
-        .where("kind = 1")
-        .join(carried, [*keys, "__piece"])
-        .select("symbol", "row_id", F.greatest("__inside", "__carried").alias(name))
-    )
+    placed = with_running_max(line, keys, ["at", "kind", "row_id"], F.date_trunc(unit, "at"), "bar", name)
+    return placed.where("kind = 1").select("symbol", "row_id", name)
 
 
 def newest_predictions(history: DataFrame, window: int = 50) -> DataFrame:

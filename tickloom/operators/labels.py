@@ -14,9 +14,9 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tickloom.functions.decision import DOWN, FLAT, LABELS, UP
-from tickloom.functions.numeric import count_where, finite, ratio, stable_round
+from tickloom.functions.numeric import count_where, ratio
 from tickloom.operators.features import FEATURES
-from tickloom.operators.ordered import with_position, with_segments
+from tickloom.operators.ordered import exact_median, with_position, with_segments
 
 # Fixed values.
 MIN_MOVE = 0.02
@@ -285,17 +285,11 @@ def label_grid(df: DataFrame, horizons: tuple[int, ...], thresholds: list[float]
     t = F.col("threshold")
     label = risk_label(t) if risk else direction_label(t)
     shares = label_shares(rows, ["horizon", "threshold"], label)
-    ret = finite(F.col("next_return"), float("nan"))
-    returns = (
-        reduce(DataFrame.unionByName, [p.drop("threshold") for p in [with_future(df, h).select(F.lit(h).alias("horizon"), "next_return") for h in horizons]])
-        .where(~F.isnan(ret))
-        .groupBy("horizon")
-        .agg(
-            F.avg("next_return").alias("next_return_mean"),
-            F.coalesce(F.stddev_samp("next_return"), F.lit(0.0)).alias("next_return_std"),
-            F.percentile(F.abs("next_return"), 0.5).alias("next_return_abs_median"),
-        )
+    one = reduce(DataFrame.unionByName, [with_future(df, h).select(F.lit(h).alias("horizon"), "next_return") for h in horizons])
+    one = one.withColumn("size", F.abs("next_return")).where(F.col("size") < float("inf"))
+    returns = one.groupBy("horizon").agg(
+        F.avg("next_return").alias("next_return_mean"),
+        F.coalesce(F.stddev_samp("next_return"), F.lit(0.0)).alias("next_return_std"),
     )
-    numbers = ["down_ratio", "up_ratio", "watch_ratio", "majority_baseline_accuracy"]
-    numbers += ["next_return_mean", "next_return_std", "next_return_abs_median"]
-    return shares.join(returns, "horizon").withColumns({c: stable_round(c, 8) for c in numbers})
+    middle = exact_median(one, ["horizon"], "size", F.floor(F.col("size") * 1000), "next_return_abs_median")
+    return shares.join(returns, "horizon").join(middle, "horizon")

@@ -5,19 +5,24 @@ When a single symbol holds a third of all rows that task never ends. The
 operators here give the same results with bounded tasks:
 
 * rows are first cut into (key, bucket) pieces, where `bucket` is any expression
-  that never decreases along the order (an hour, a month, a value range);
+  that never decreases along the order (an hour, a year, a value range); the size
+  of the pieces is checked, and pieces that are too large are cut by the data;
 * one small row per piece (a count, a last value) is combined over the pieces of
-  a key, so the only window over a whole key runs on the piece summaries, whose
-  number is bounded by the calendar or the value range, not by the data;
+  a key, so the only window over a whole key runs on the piece summaries;
 * row-frame features run on segments of a fixed number of rows, each carrying a
   copy of the few rows before / after it (`with_segments`).
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from tickloom.session import materialize
+
 BUCKET = "__bucket"
+MAX_PIECE_ROWS = 5_000_000
 
 
 def latest_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -37,6 +42,45 @@ def earliest_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(best).select(*keys, "__row.*").select(*df.columns)
 
 
+def cut(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    bucket: Column,
+    extras: list[Column],
+    max_rows: int = MAX_PIECE_ROWS,
+) -> tuple[DataFrame, DataFrame]:
+    """Cut rows into ordered (key, bucket) pieces: (rows with BUCKET, one summary row per piece).
+
+    The summaries are written once and their largest row count is checked. Where
+    a piece would be too large (a third of all rows within one hour, say), the
+    rows are cut by range partitioning on the full order instead, whose bounds
+    follow the data; the cut is written, so that all later reads see the same one.
+    """
+    staged = df.withColumn(BUCKET, bucket)
+    pieces = _pieces(staged, keys, extras)
+    size = pieces.agg(F.max("__rows").alias("top"), F.sum("__rows").alias("all")).first()
+    if size["top"] is None or size["top"] <= max_rows:
+        return staged, pieces
+    parts = max(2, math.ceil(2 * size["all"] / max_rows))
+    ranged = df.repartitionByRange(parts, *keys, *order).withColumn(BUCKET, F.spark_partition_id())
+    staged = materialize(ranged, "pieces")
+    return staged, _pieces(staged, keys, extras)
+
+
+def _pieces(staged: DataFrame, keys: list[str], extras: list[Column]) -> DataFrame:
+    summary = staged.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("__rows"), *extras)
+    return materialize(summary, "piece_summary")
+
+
+def _before(keys: list[str]):
+    return W.partitionBy(*keys).orderBy(BUCKET).rowsBetween(W.unboundedPreceding, -1)
+
+
+def _inside(keys: list[str], order: list[str]):
+    return W.partitionBy(*keys, BUCKET).orderBy(*order)
+
+
 def with_position(
     df: DataFrame,
     keys: list[str],
@@ -44,20 +88,22 @@ def with_position(
     bucket: Column,
     pos: str = "pos",
     size: str = "group_rows",
+    max_rows: int = MAX_PIECE_ROWS,
 ) -> DataFrame:
-    """Add the 1-based position of each row in its group, and the group's size."""
-    staged = df.withColumn(BUCKET, bucket)
-    pieces = staged.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("__rows"))
-    before = W.partitionBy(*keys).orderBy(BUCKET).rowsBetween(W.unboundedPreceding, -1)
+    """Add the 1-based position of each row in its group, and the group's size.
+
+    The order must end in a unique column. Rows are read twice, so a costly input
+    is better written first (`materialize`).
+    """
+    staged, pieces = cut(df, keys, order, bucket, [], max_rows)
     offsets = pieces.select(
         *keys,
         BUCKET,
-        F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"),
+        F.coalesce(F.sum("__rows").over(_before(keys)), F.lit(0)).alias("__before"),
         F.sum("__rows").over(W.partitionBy(*keys)).alias(size),
     )
-    local = F.row_number().over(W.partitionBy(*keys, BUCKET).orderBy(*order))
     return (
-        staged.withColumn("__local", local)
+        staged.withColumn("__local", F.row_number().over(_inside(keys, order)))
         .join(offsets, [*keys, BUCKET])
         .withColumn(pos, F.col("__before") + F.col("__local"))
         .drop("__local", "__before", BUCKET)
@@ -71,18 +117,16 @@ def with_previous(
     bucket: Column,
     value: Column,
     name: str,
+    max_rows: int = MAX_PIECE_ROWS,
 ) -> DataFrame:
     """Add the last non-null `value` of the rows strictly before each row."""
-    staged = df.withColumn(BUCKET, bucket).withColumn("__value", value)
     position = F.when(F.col("__value").isNotNull(), F.struct(*order))
-    tails = staged.groupBy(*keys, BUCKET).agg(F.max_by("__value", position).alias("__tail"))
-    before = W.partitionBy(*keys).orderBy(BUCKET).rowsBetween(W.unboundedPreceding, -1)
-    carried = tails.select(
-        *keys, BUCKET, F.last("__tail", ignorenulls=True).over(before).alias("__carried")
-    )
-    local = (
-        W.partitionBy(*keys, BUCKET).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    tail = F.max_by("__value", position).alias("__tail")
+    staged, pieces = cut(df.withColumn("__value", value), keys, order, bucket, [tail], max_rows)
+    carried = pieces.select(
+        *keys, BUCKET, F.last("__tail", ignorenulls=True).over(_before(keys)).alias("__carried")
     )
+    local = _inside(keys, order).rowsBetween(W.unboundedPreceding, -1)
     return (
         staged.withColumn("__inside", F.last("__value", ignorenulls=True).over(local))
         .join(carried, [*keys, BUCKET])
@@ -91,6 +135,27 @@ def with_previous(
     )
 
 
+def with_running_max(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    bucket: Column,
+    value: str,
+    name: str,
+    max_rows: int = MAX_PIECE_ROWS,
+) -> DataFrame:
+    """Add the largest `value` of the rows up to and including each row."""
+    staged, pieces = cut(df, keys, order, bucket, [F.max(value).alias("__top")], max_rows)
+    carried = pieces.select(*keys, BUCKET, F.max("__top").over(_before(keys)).alias("__carried"))
+    local = _inside(keys, order).rowsBetween(W.unboundedPreceding, 0)
+    return (
+        staged.withColumn("__inside", F.max(value).over(local))
+        .join(carried, [*keys, BUCKET])
+        .withColumn(name, F.greatest("__inside", "__carried"))
+        .drop("__inside", "__carried", BUCKET)
+    )
+
+
 def with_segments(
     df: DataFrame,
     rows: int,
@@ -124,37 +189,45 @@ def with_segments(
     )
 
 
-def with_percent_rank(
-    df: DataFrame, keys: list[str], value: str, bucket: Column, name: str
+def value_counts(
+    df: DataFrame, keys: list[str], value: str, bucket: Column, max_rows: int = MAX_PIECE_ROWS
 ) -> DataFrame:
-    """Add the percentile rank of `value` in its group, equal values sharing the mean rank.
+    """Distinct values per group with `copies`, `below` (rows with smaller values) and `total`.
 
-    Equal values are counted first, so a group of copies becomes one row; the
-    distinct values are then ranked inside value ranges (`bucket`) whose totals
-    give each range its starting rank.
+    Equal values are counted first, so a group of copies is one row.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(
-        F.count(F.lit(1)).alias("__copies")
-    ).withColumn(BUCKET, bucket)
-    ranges = counts.groupBy(*keys, BUCKET).agg(F.sum("__copies").alias("__rows"))
-    below = W.partitionBy(*keys).orderBy(BUCKET).rowsBetween(W.unboundedPreceding, -1)
-    starts = ranges.select(
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("copies"))
+    staged, pieces = cut(counts, keys, [value], bucket, [F.sum("copies").alias("__copies")], max_rows)
+    starts = pieces.select(
         *keys,
         BUCKET,
-        F.coalesce(F.sum("__rows").over(below), F.lit(0)).alias("__start"),
-        F.sum("__rows").over(W.partitionBy(*keys)).alias("__total"),
+        F.coalesce(F.sum("__copies").over(_before(keys)), F.lit(0)).alias("__start"),
+        F.sum("__copies").over(W.partitionBy(*keys)).alias("total"),
     )
-    upto = F.sum("__copies").over(W.partitionBy(*keys, BUCKET).orderBy(value))
-    ranked = (
-        counts.withColumn("__upto", upto)
+    upto = F.sum("copies").over(_inside(keys, [value]).rowsBetween(W.unboundedPreceding, 0))
+    return (
+        staged.withColumn("__upto", upto)
         .join(starts, [*keys, BUCKET])
-        .select(
-            *keys,
-            value,
-            (
-                (F.col("__start") + F.col("__upto") - (F.col("__copies") - 1) / 2)
-                / F.col("__total")
-            ).alias(name),
-        )
+        .select(*keys, value, "copies", (F.col("__start") + F.col("__upto") - F.col("copies")).alias("below"), "total")
     )
+
+
+def with_percent_rank(
+    df: DataFrame, keys: list[str], value: str, bucket: Column, name: str, max_rows: int = MAX_PIECE_ROWS
+) -> DataFrame:
+    """Add the percentile rank of `value` in its group, equal values sharing the mean rank."""
+    rank = (F.col("below") + (F.col("copies") + 1) / 2) / F.col("total")
+    ranked = value_counts(df, keys, value, bucket, max_rows).select(*keys, value, rank.alias(name))
     return df.join(ranked, [*keys, value], "left")
+
+
+def exact_median(
+    df: DataFrame, keys: list[str], value: str, bucket: Column, name: str, max_rows: int = MAX_PIECE_ROWS
+) -> DataFrame:
+    """Exact median per group: the mean of the one or two middle values, found by their rank."""
+    counts = value_counts(df, keys, value, bucket, max_rows)
+    low, high = F.floor((F.col("total") + 1) / 2), F.ceil((F.col("total") + 1) / 2)
+    covers = lambda place: F.when(
+        (F.col("below") < place) & (place <= F.col("below") + F.col("copies")), F.col(value)
+    )
+    return counts.groupBy(*keys).agg(((F.max(covers(low)) + F.max(covers(high))) / 2).alias(name))

@@ -385,14 +385,11 @@ def typed(df: DataFrame) -> DataFrame:
 
 def symbol_features(rows: DataFrame, index: DataFrame | None, bucket: Column, horizons: tuple[int, ...] = ()) -> DataFrame:
     """All per-symbol features in one pass over the segments, with `pos` and `group_rows`."""
-    rows = typed(rows)
-    if index is not None:
-        rows = attach_index(rows, index)
-    placed = with_position(rows, ["symbol"], ["event_time"], bucket)
+    placed = with_position(typed(rows), ["symbol"], ["event_time"], bucket)
     cut = with_segments(placed, SEGMENT_ROWS, before=WARM_UP, after=max(horizons, default=0))
     made = oscillator_features(volume_features(trend_features(cut)))
-    if index is not None:
-        made = relative_index_features(made)
+    if index is not None:  # joined after the shuffles, so these columns are not moved
+        made = relative_index_features(attach_index(made, index))
     if horizons:
         made = future_columns(made, horizons)
     return made.where("is_core").drop("segment", "is_core")

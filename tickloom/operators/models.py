@@ -378,7 +378,12 @@ def walk_forward_metrics(vectors: DataFrame, spec: Spec, risk: bool) -> dict[str
             F.col("next_direction").alias("y_true"), decide(decision, risk).alias("y_pred")
         )
         scored = part if scored is None else scored.unionByName(part)
-    return _guard_metrics(scored, risk, "walk_forward_") if scored is not None else {}
+    if scored is None:
+        return {}
+    scored = scored.persist()
+    metrics = _guard_metrics(scored, risk, "walk_forward_")
+    scored.unpersist()
+    return metrics
 
 
 def train_tabular(

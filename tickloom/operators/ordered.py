@@ -25,6 +25,16 @@ BUCKET = "__bucket"
 MAX_PIECE_ROWS = 5_000_000
 
 
+def computed_once(df: DataFrame) -> DataFrame:
+    """The same rows, with every column computed once per row.
+
+    A filter above a projection is normally pushed below it, and each of its tests
+    then repeats the expressions of the columns it reads (a JSON parse, a chain of
+    roundings). A generator of one row is not crossed by filters.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def latest_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Newest whole row per key (DSH-0): one partial aggregation, no sort.
 

@@ -214,8 +214,12 @@ def symbol_table(spark, d) -> DataFrame:
 KEY = "symbol, strftime(event_time,'%Y-%m-%d') AS day"
 
 
+SOURCE_OF: dict[str, str] = {}
+
+
 def register(name: str, source: str, names: str, kind: str) -> None:
     columns = names.split()
+    SOURCE_OF.update({c: source for c in columns})
 
     def run(spark, d):
         if kind == "symbol":
@@ -323,7 +327,19 @@ def _(spark, d):
     return wide.unpivot(["rows"], fe.FEATURES, "feature", "bad")
 
 
-@query("fea_27_feature_frame")
+SOURCE_OF.update({c: "relative" for c in [*fe.INDEX_COLUMNS, *[f"market_index_{m}" for m in fe.INDEX_MEASURES]]})
+PARTS = ["trend", "drawdown", "vols", "osc", "macds", "relative", "cross_rows"]
+ALL_COLUMNS = ", ".join(f"{rnd(f'least(5,greatest(-5,{SOURCE_OF[c]}.{c}))', 6)} AS {c}" for c in fe.FEATURES)
+JOINS = " ".join(f"JOIN {p} ON {p}.symbol=rows.symbol AND {p}.event_time=rows.event_time" for p in PARTS)
+
+
+@query(
+    "fea_27_feature_frame",
+    with_ctes(
+        ["rows", *PARTS],
+        f"SELECT rows.symbol, strftime(rows.event_time,'%Y-%m-%d') AS day, {ALL_COLUMNS} FROM rows {JOINS}",
+    ),
+)
 def _(spark, d):
     """Raw bars to the full feature list, from the first step to the last."""
     df = fe.feature_frame(fx.bars_raw(spark, d), fx.index_raw(spark, d), fx.by_year(), ["event_id"])

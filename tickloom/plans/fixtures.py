@@ -20,7 +20,7 @@ from tickloom.operators.evaluation import (
     direction_metrics,
     metrics_to_long,
 )
-from tickloom.operators.ordered import latest_by, with_position, with_previous
+from tickloom.operators.ordered import computed_once, latest_by, with_position, with_previous
 from tickloom.session import materialize
 from tickloom.streaming.batch import build_alerts, history_baseline, minute_snapshot
 
@@ -53,36 +53,45 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 def ticks_from_events(events: DataFrame) -> DataFrame:
     """Quote ticks out of the `events` rows; stateless, so it also runs on a stream."""
     user, k = F.col("user_id"), F.col("k")
-    return (
-        events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-        .select(
-            F.col("event_id").alias("id"),
-            F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("event_id"),
+    parsed = computed_once(
+        events.select(
+            "event_id",
             "user_id",
-            F.concat(F.lit("U"), F.lpad(user.cast("string"), 5, "0")).alias("symbol"),
-            F.concat(F.lit("User "), user.cast("string")).alias("company_name"),
-            F.concat(F.lit("C"), (user % 5).cast("string")).alias("category"),
-            F.concat(F.lit("S"), (user % 7).cast("string")).alias("sector"),
-            F.element_at(F.array(*map(F.lit, ["SH", "SZ", "BJ", "HK"])), (user % 4 + 1).cast("int")).alias(
-                "market"
-            ),
-            stable_round("value", 2).alias("open_price"),
+            "event_type",
+            F.get_json_object("props", "$.k").cast("int").alias("k"),
             stable_round("value", 2).alias("previous_close"),
-            stable_round((k - 50) * 0.24, 4).alias("change_pct"),
-            (k.cast("long") * 100000).alias("volume"),
             F.col("ts").cast("timestamp").alias("event_time"),
-            F.col("ts").cast("timestamp").alias("created_at"),
-            F.col("event_type").alias("source"),
         )
-        .withColumn("last_price", stable_round(F.col("previous_close") * (1 + F.col("change_pct") / 100), 2))
-        .withColumn("high_price", F.greatest("open_price", "last_price"))
-        .withColumn("low_price", F.least("open_price", "last_price"))
-        .withColumn("turnover", stable_round(F.col("last_price") * F.col("volume"), 2))
+    )
+    moved = stable_round((k - 50) * 0.24, 4)
+    last = stable_round(F.col("previous_close") * (1 + F.col("change_pct") / 100), 2)
+    priced = computed_once(parsed.withColumn("change_pct", moved).withColumn("last_price", last))
+    return priced.select(
+        F.col("event_id").alias("id"),
+        F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("event_id"),
+        "user_id",
+        F.concat(F.lit("U"), F.lpad(user.cast("string"), 5, "0")).alias("symbol"),
+        F.concat(F.lit("User "), user.cast("string")).alias("company_name"),
+        F.concat(F.lit("C"), (user % 5).cast("string")).alias("category"),
+        F.concat(F.lit("S"), (user % 7).cast("string")).alias("sector"),
+        F.element_at(F.array(*map(F.lit, ["SH", "SZ", "BJ", "HK"])), (user % 4 + 1).cast("int")).alias("market"),
+        F.col("previous_close").alias("open_price"),
+        F.greatest("previous_close", "last_price").alias("high_price"),
+        F.least("previous_close", "last_price").alias("low_price"),
+        "last_price",
+        "previous_close",
+        "change_pct",
+        (k.cast("long") * 100000).alias("volume"),
+        stable_round(F.col("last_price") * (k.cast("long") * 100000), 2).alias("turnover"),
+        "event_time",
+        F.col("event_time").alias("created_at"),
+        F.col("event_type").alias("source"),
     )
 
 
 def ticks_raw(spark: SparkSession, d: str) -> DataFrame:
-    return ticks_from_events(table(spark, d, "events"))
+    """All ticks, before VAL-11, as a stored table."""
+    return stored(spark, d, "ticks_raw", lambda: ticks_from_events(table(spark, d, "events")))
 
 
 def ticks(spark: SparkSession, d: str) -> DataFrame:

@@ -142,7 +142,7 @@ def history_csv(history: DataFrame) -> DataFrame:
     money = {c: stable_round(c, 2).cast("decimal(20,2)") for c in ("last_price", "change_pct", "turnover")}
     lines = history.withColumns(money).select("seq", csv_line(CSV_COLUMNS).alias("line"))
     header = history.sparkSession.range(1).select(
-        F.lit(0).cast(lines.schema["seq"].dataType).alias("seq"), F.lit("﻿" + ",".join(CSV_COLUMNS)).alias("line")
+        F.lit(0).cast(lines.schema["seq"].dataType).alias("seq"), F.lit("\ufeff" + ",".join(CSV_COLUMNS)).alias("line")
     )
     return header.unionByName(lines)
 

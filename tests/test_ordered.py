@@ -136,7 +136,7 @@ def test_ema_over_segments(spark):
     placed = with_position(table, ["symbol"], ["t"], F.floor(F.col("t") / 1000))
     cut = with_segments(placed, 2048, before=800)
     w = W.partitionBy("symbol", "segment").orderBy("pos")
-    cut = cut.withColumn("__step", (F.row_number().over(w) - 1).cast("double"))
+    cut = cut.withColumn("nth", F.row_number().over(w))
     out = cut.withColumns({f"e{s}": _ema("x", s) for s in (9, 12, 26)}).where("is_core").orderBy("t").toPandas()
     for span in (9, 12, 26):
         want = pd.Series(price).ewm(span=span, adjust=False).mean()

@@ -74,14 +74,21 @@ def _change(c: str, n: int = 1) -> Column:
     return F.coalesce(_growth(c, n) - 1, F.lit(0.0))
 
 
-def _enough(c: str, frame, least: int, value: Column) -> Column:
-    """The value of a frame with at least `least` rows, else null."""
-    return F.when(F.count(c).over(frame) >= least, value)
+def numbered(df: DataFrame) -> DataFrame:
+    """Adds `nth`, the row's place in its segment."""
+    return df.withColumn("nth", F.row_number().over(_ordered()))
+
+
+def _enough(least: int, value: Column) -> Column:
+    """The value where the frame has at least `least` rows, else null.
+
+    A frame of the newest n rows has min(n, nth) of them, so no count is needed.
+    """
+    return F.when(F.col("nth") >= least, value)
 
 
 def _std(c: str, n: int, least: int) -> Column:
-    frame = _last(n)
-    return F.coalesce(_enough(c, frame, least, F.stddev_samp(c).over(frame)), F.lit(0.0))
+    return F.coalesce(_enough(least, F.stddev_samp(c).over(_last(n))), F.lit(0.0))
 
 
 def _gap(n: int) -> Column:
@@ -91,14 +98,14 @@ def _gap(n: int) -> Column:
 
 def _to_mean_20(c: str) -> Column:
     """Value over its 20-row mean (5 rows at least); null without one."""
-    frame = _last(20)
-    mean = _enough(c, frame, 5, F.avg(c).over(frame))
+    mean = _enough(5, F.avg(c).over(_last(20)))
     return F.when(F.abs(mean) > 1e-8, F.col(c) / mean)
 
 
 def _drawdown(n: int) -> Column:
     """Deepest fall below the running maximum within the newest n rows (2 at least)."""
-    prices = F.collect_list("last_price").over(_last(n))
+    longest = F.collect_list("last_price").over(_last(20))
+    prices = longest if n == 20 else F.slice(longest, F.greatest(F.size(longest) - (n - 1), F.lit(1)), F.lit(n))
     start = F.struct(F.lit(float("-inf")).alias("top"), F.lit(0.0).alias("low"))
 
     def step(state: Column, price: Column) -> Column:
@@ -111,9 +118,10 @@ def _drawdown(n: int) -> Column:
 def _ema(c: str, span: int) -> Column:
     """Exponential average, started by the first row, as a weighted running sum."""
     a = 2.0 / (span + 1)
-    weight = F.when(F.col("__step") == 0, 1.0).otherwise(a) * F.pow(F.lit(1 - a), -F.col("__step"))
+    step = F.col("nth") - 1.0
+    weight = F.when(F.col("nth") == 1, 1.0).otherwise(a) * F.pow(F.lit(1 - a), -step)
     total = F.sum(F.col(c) * weight).over(_ordered().rowsBetween(W.unboundedPreceding, 0))
-    return total * F.pow(F.lit(1 - a), F.col("__step"))
+    return total * F.pow(F.lit(1 - a), step)
 
 
 def trend_features(df: DataFrame) -> DataFrame:
@@ -157,7 +165,7 @@ def volume_features(df: DataFrame) -> DataFrame:
     )
     raw, ret = F.col("volume_ratio_20_raw"), F.col("return_1")
     five, twenty = _last(5), _last(20)
-    flow_20 = _enough("__flow", twenty, 5, F.avg("__flow").over(twenty))
+    flow_20 = _enough(5, F.avg("__flow").over(twenty))
     spread = F.stddev_samp("volume").over(five) * F.stddev_samp("last_price").over(five)
     together = F.covar_samp("volume", "last_price").over(five) / F.nullif(spread, F.lit(0.0))
     df = df.withColumns(
@@ -172,7 +180,7 @@ def volume_features(df: DataFrame) -> DataFrame:
             "__growing": flag(raw >= 1.2),
             "return_3_x_volume_ratio_20": F.col("return_3") * raw,
             "momentum_5_x_volume_ratio_20": F.col("momentum_5") * raw,
-            "volume_price_corr": finite(_enough("volume", five, 3, together)),
+            "volume_price_corr": finite(_enough(3, together)),
         }
     )
     return df.withColumns(
@@ -188,7 +196,6 @@ def oscillator_features(df: DataFrame) -> DataFrame:
         {
             "__gain": F.greatest(move, F.lit(0.0)),
             "__loss": F.greatest(-move, F.lit(0.0)),
-            "__step": (F.row_number().over(_ordered()) - 1).cast("double"),
             "__up": flag(ret > 0),
             "__down": flag(ret < 0),
         }
@@ -196,7 +203,7 @@ def oscillator_features(df: DataFrame) -> DataFrame:
     frame, twenty, three = _last(14), _last(20), _last(3)
     strength = ratio(F.avg("__gain").over(frame), F.avg("__loss").over(frame), None)
     low, high = F.min("last_price").over(twenty), F.max("last_price").over(twenty)
-    streak = lambda c: F.coalesce(_enough(c, three, 3, F.sum(c).over(three)), F.lit(0.0)) / 3.0
+    streak = lambda c: F.coalesce(_enough(3, F.sum(c).over(three)), F.lit(0.0)) / 3.0
     df = df.withColumns(
         {
             "rsi_14": (F.coalesce(100 - 100 / (1 + strength), F.lit(50.0)) - 50) / 50,
@@ -214,7 +221,7 @@ def oscillator_features(df: DataFrame) -> DataFrame:
             "macd_signal": ratio(F.col("__signal"), F.abs(price)),
             "macd_hist": ratio(F.col("__macd") - F.col("__signal"), F.abs(price)),
         }
-    ).drop("__gain", "__loss", "__step", "__up", "__down", "__macd", "__signal")
+    ).drop("__gain", "__loss", "__up", "__down", "__macd", "__signal")
 
 
 def future_columns(df: DataFrame, horizons: tuple[int, ...]) -> DataFrame:
@@ -238,7 +245,7 @@ def index_features(index_bars: DataFrame, bucket: Column) -> DataFrame:
     )
     placed = with_position(rows, ["symbol"], ["event_time", "event_id"], bucket)
     cut = with_segments(placed, SEGMENT_ROWS, before=16)
-    measured = cut.withColumns({f"return_{n}": _change("last_price", n) for n in (1, 3, 5)}).withColumns(
+    measured = numbered(cut).withColumns({f"return_{n}": _change("last_price", n) for n in (1, 3, 5)}).withColumns(
         {"volatility_5": _std("return_1", 5, 2), "volatility_10": _std("return_1", 10, 3)}
     )
     daily = latest_by(
@@ -387,12 +394,12 @@ def symbol_features(rows: DataFrame, index: DataFrame | None, bucket: Column, ho
     """All per-symbol features in one pass over the segments, with `pos` and `group_rows`."""
     placed = with_position(typed(rows), ["symbol"], ["event_time"], bucket)
     cut = with_segments(placed, SEGMENT_ROWS, before=WARM_UP, after=max(horizons, default=0))
-    made = oscillator_features(volume_features(trend_features(cut)))
+    made = oscillator_features(volume_features(trend_features(numbered(cut))))
     if index is not None:  # joined after the shuffles, so these columns are not moved
         made = relative_index_features(attach_index(made, index))
     if horizons:
         made = future_columns(made, horizons)
-    return made.where("is_core").drop("segment", "is_core")
+    return made.where("is_core").drop("segment", "is_core", "nth")
 
 
 def prepared_rows(raw: DataFrame, bucket: Column, order: list[str]) -> DataFrame:

@@ -207,6 +207,7 @@ def value_counts(
     Equal values are counted first, so a group of copies is one row.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("copies"))
+    counts = materialize(counts, "value_counts")  # read twice below
     staged, pieces = cut(counts, keys, [value], bucket, [F.sum("copies").alias("__copies")], max_rows)
     starts = pieces.select(
         *keys,

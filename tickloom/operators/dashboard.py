@@ -13,7 +13,6 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tickloom.functions.numeric import all_of, any_of, count_where, money_sum, stable_round
-from tickloom.functions.quotes import clean_symbol
 from tickloom.operators.ordered import latest_by
 from tickloom.schema import time_text
 

@@ -10,7 +10,7 @@ from tickloom.operators import cleaning, evaluation as ev
 from tickloom.operators.models import best_models, ensemble_weights
 from tickloom.plans import fixtures as fx
 from tickloom.plans.model_sql import BEST_SQL
-from tickloom.plans.oracle import ANY_FAULT, FAULT_SQL, QUALITY_SQL, counts_sql, cte, quality_sql, rnd, with_ctes
+from tickloom.plans.oracle import ANY_FAULT, FAULT_SQL, QUALITY_SQL, counts_sql, cte, rnd, with_ctes
 from tickloom.plans.registry import query
 
 SLICE = ["model_version", "model_name", "slice"]

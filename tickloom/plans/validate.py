@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tickloom.functions import quotes as q
-from tickloom.functions.numeric import stable_round
 from tickloom.operators import cleaning
 from tickloom.plans import fixtures as fx
 from tickloom.plans.oracle import ANY_FAULT, FAULT_SQL, STREAM_FILTER, cte, limit_sql, pct, rnd, with_ctes

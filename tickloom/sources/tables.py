@@ -8,9 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.functions.numeric import stable_round
-from tickloom.functions.quotes import clean_symbol, detect_market
 from tickloom.operators.ordered import earliest_by, latest_by
-from tickloom.schema import CATALOGUE_SCHEMA, QUOTE_COLUMNS, time_text
+from tickloom.schema import CATALOGUE_SCHEMA, QUOTE_COLUMNS
 
 # Alert states.
 ALERT_STATES = ["OPEN", "ACKED", "IGNORED", "RESOLVED"]

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import tickloom
+
 #: Rows in one Arrow batch: whole texts may be long, so a batch holds few of them.
 BATCH_ROWS = 512
 
@@ -21,12 +26,35 @@ def fold(column: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the workers this package, once per application: it need not be installed on them."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(tickloom.__file__)))
+        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "tickloom"), "zip", root, "tickloom")
+        spark.sparkContext.addPyFile(archive)
+        _SHIPPED.add(app)
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """`mapInArrow` with batches of few rows, so that memory is bounded by long texts, not by 10,000 of them."""
+    ship_package(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df.mapInArrow(fn, schema)
 
 
+#: Rows of a narrow table (ids and numbers) that are broadcast at most.
+BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The table with a broadcast hint if it has at most so many rows, which are counted; else as it is, for a shuffled join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def strings(column: pa.Array) -> list[str]:
     """Python strings of a column; null counts as empty."""
     return [x if x is not None else "" for x in column.to_pylist()]

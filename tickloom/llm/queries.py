@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, token_counts
-from tickloom.llm.common import table
+from tickloom.llm import bpe, html_extract, language, token_counts, toxicity, url_filter
+from tickloom.llm.common import broadcast_if_small, fold, table
 from tickloom.plans.registry import query
 
 
@@ -18,3 +18,37 @@ def op2_token_counts(spark: SparkSession, d: str) -> DataFrame:
 def op7_bpe_encoding(spark: SparkSession, d: str) -> DataFrame:
     coded = bpe.encode(table(spark, d, "documents"), decode=True)
     return coded.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def toxicity_model(spark: SparkSession, d: str) -> toxicity.ToxicityModel:
+    """Learned from the labelled documents outside the held-out fold; of repeated labels the highest counts."""
+    docs = table(spark, d, "documents").select("doc_id", "text").where(fold("doc_id", 5) != 0)
+    labels = table(spark, d, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return toxicity.train(docs.join(broadcast_if_small(labels), "doc_id"))
+
+
+@query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    scored = toxicity.score(table(spark, d, "documents"), toxicity_model(spark, d))
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted", "toxic_windows")
+
+
+def language_model(spark: SparkSession, d: str) -> language.LanguageModel:
+    """Learned from the documents outside the held-out fold."""
+    return language.train(table(spark, d, "documents"), fold("doc_id", 4) != 2)
+
+
+@query("op8_language")
+def op8_language(spark: SparkSession, d: str) -> DataFrame:
+    found = language.predict(table(spark, d, "documents"), language_model(spark, d))
+    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "languages", "shares")
+
+
+@query("op9_url_filter")
+def op9_url_filter(spark: SparkSession, d: str) -> DataFrame:
+    return url_filter.judge(table(spark, d, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query("op10_html_extraction")
+def op10_html_extraction(spark: SparkSession, d: str) -> DataFrame:
+    return html_extract.extract(table(spark, d, "pages")).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, html_extract, language, token_counts, toxicity, url_filter
+from tickloom.llm import bpe, html_extract, language, minhash_dedup, token_counts, toxicity, url_filter
 from tickloom.llm.common import broadcast_if_small, fold, table
 from tickloom.plans.registry import query
 
@@ -52,3 +52,8 @@ def op9_url_filter(spark: SparkSession, d: str) -> DataFrame:
 @query("op10_html_extraction")
 def op10_html_extraction(spark: SparkSession, d: str) -> DataFrame:
     return html_extract.extract(table(spark, d, "pages")).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query("op6_minhash_dedup")
+def op6_minhash_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, d, "documents"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from tickloom.session import materialize
@@ -39,3 +40,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
         current = materialize(_small_star(_large_star(current)), "edges")
     leaves = current.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return leaves.union(current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def spanning_forest(adjacent: np.ndarray) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of a symmetric boolean matrix, each tree rooted at its smallest position."""
+    links, new = [], np.ones(len(adjacent), bool)
+    for start in range(len(adjacent)):
+        if not new[start]:
+            continue
+        new[start], stack = False, [start]
+        while stack:
+            u = stack.pop()
+            found = np.flatnonzero(adjacent[u] & new)
+            new[found] = False
+            links += [(u, int(v)) for v in found]
+            stack += found.tolist()
+    return links

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, html_extract, language, minhash_dedup, token_counts, toxicity, url_filter
+from tickloom.llm import bpe, decontamination, embedding_dedup, html_extract, language, minhash_dedup, token_counts, toxicity, url_filter
 from tickloom.llm.common import broadcast_if_small, fold, table
 from tickloom.plans.registry import query
 
@@ -57,3 +57,13 @@ def op10_html_extraction(spark: SparkSession, d: str) -> DataFrame:
 @query("op6_minhash_dedup")
 def op6_minhash_dedup(spark: SparkSession, d: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, d, "documents"))
+
+
+@query("op4_decontamination")
+def op4_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return decontamination.find_passages(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query("op1_embedding_dedup")
+def op1_embedding_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, d, "embeddings"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
@@ -42,17 +44,22 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return leaves.union(current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-def spanning_forest(adjacent: np.ndarray) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of a symmetric boolean matrix, each tree rooted at its smallest position."""
-    links, new = [], np.ones(len(adjacent), bool)
-    for start in range(len(adjacent)):
+def spanning_forest(certain: np.ndarray, possible: np.ndarray | None = None, test: Callable[[int, int], bool] | None = None) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of a symmetric boolean matrix, each tree rooted at its smallest position.
+
+    `possible` pairs are edges if `test` says so; it is asked only where it could join two trees.
+    """
+    links, new = [], np.ones(len(certain), bool)
+    for start in range(len(certain)):
         if not new[start]:
             continue
         new[start], stack = False, [start]
         while stack:
             u = stack.pop()
-            found = np.flatnonzero(adjacent[u] & new)
+            found = np.flatnonzero(certain[u] & new).tolist()
+            if possible is not None:
+                found += [v for v in np.flatnonzero(possible[u] & new & ~certain[u]).tolist() if test(u, v)]
             new[found] = False
-            links += [(u, int(v)) for v in found]
-            stack += found.tolist()
+            links += [(u, v) for v in found]
+            stack += found
     return links

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tickloom.llm.common import broadcast_if_small, map_batches, ship_package
-from tickloom.llm.components import connected_components
+from tickloom.llm.components import connected_components, spanning_forest
 from tickloom.llm.shingles import mix, probability_jaccard, shingles, weighted, word_hashes
 from tickloom.session import materialize
 
@@ -129,19 +129,7 @@ def tile_links(sets: list[tuple[np.ndarray, np.ndarray]], side: np.ndarray, thre
     if len(set(side.tolist())) > 1:
         across = side[:, None] != side
         certain, possible = certain & across, possible & across
-    links, new = [], np.ones(n, bool)
-    for start in range(n):
-        if not new[start]:
-            continue
-        new[start], stack = False, [start]
-        while stack:
-            u = stack.pop()
-            found = np.flatnonzero(certain[u] & new).tolist()
-            found += [v for v in np.flatnonzero(possible[u] & new).tolist() if probability_jaccard(sets[u], sets[v]) >= threshold - 1e-12]
-            new[found] = False
-            links += [(u, v) for v in found]
-            stack += found
-    return links
+    return spanning_forest(certain, possible, lambda u, v: probability_jaccard(sets[u], sets[v]) >= threshold - 1e-12)
 
 
 def _tile(threshold: float):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, decontamination, embedding_dedup, html_extract, language, minhash_dedup, token_counts, toxicity, url_filter
+from tickloom.llm import bloom_lm, bpe, decontamination, embedding_dedup, html_extract, language, minhash_dedup, token_counts, toxicity, url_filter
 from tickloom.llm.common import broadcast_if_small, fold, table
 from tickloom.plans.registry import query
 
@@ -67,3 +67,10 @@ def op4_decontamination(spark: SparkSession, d: str) -> DataFrame:
 @query("op1_embedding_dedup")
 def op1_embedding_dedup(spark: SparkSession, d: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, d, "embeddings"))
+
+
+@query("op3_lm_scoring")
+def op3_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
+    remainder = fold("doc_id", 7)
+    scored = bloom_lm.score(table(spark, d, "documents"), remainder != 2, keep={"held_out": remainder == 2})
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

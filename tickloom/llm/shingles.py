@@ -15,6 +15,9 @@ SHINGLE = 5
 #: Bytes of texts that are hashed at a time.
 CHUNK = 1 << 21
 
+#: All bytes but white space are in tokens.
+_IN_TOKEN = np.array([b not in b" \t\n\v\f\r" for b in range(256)])
+_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
 #: ASCII letters and digits and all bytes of other scripts are in words.
@@ -43,17 +46,29 @@ def word_hashes(column: pa.Array) -> Iterator[np.ndarray]:
     A word is a run of ASCII letters and digits and of characters of other scripts.
     """
     lowered = pc.utf8_lower(column.cast(pa.large_string()).fill_null(""))
-    sizes = pc.binary_length(lowered).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(pc.binary_length(lowered).to_numpy(zero_copy_only=False))
     begin = 0
     while begin < len(lowered):
-        end = begin + max(1, int(np.searchsorted(np.cumsum(sizes[begin:]), CHUNK, "right")))
+        end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + CHUNK, "right")))
         flat, offsets = utf8(lowered.slice(begin, end - begin))
-        yield from _hash(flat, offsets)
+        yield from _hash(flat, offsets, _IN_WORD)
         begin = end
 
 
-def _hash(flat: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
-    inside = _IN_WORD[flat]
+def token_hashes(column: pa.Array) -> Iterator[np.ndarray]:
+    """For each row the 64-bit hashes of its runs of bytes other than ASCII white space, A-Z lower-cased; null texts have none."""
+    column = column.cast(pa.large_string()).fill_null("")
+    ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
+    begin = 0
+    while begin < len(column):
+        end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + CHUNK, "right")))
+        flat, offsets = utf8(column.slice(begin, end - begin))
+        yield from _hash(_LOWER[flat], offsets, _IN_TOKEN)
+        begin = end
+
+
+def _hash(flat: np.ndarray, offsets: np.ndarray, members: np.ndarray) -> Iterator[np.ndarray]:
+    inside = members[flat]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     begins = offsets[:-1][offsets[:-1] < len(flat)]

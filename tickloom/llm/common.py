@@ -46,6 +46,12 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
     return df.mapInArrow(fn, schema)
 
 
+def numbered_columns(df: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """The table with columns named by their number, which clash with nothing, and the columns that bring the names back."""
+    plain = df.select(*[F.col(f"`{c}`").alias(f"__{k}") for k, c in enumerate(df.columns)])
+    return plain, [F.col(f"__{k}").alias(c) for k, c in enumerate(df.columns)]
+
+
 #: Rows of a narrow table (ids and numbers) that are broadcast at most.
 BROADCAST_ROWS = 2_000_000
 

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tickloom.llm.common import map_batches
 from tickloom.llm.shingles import SHINGLE, mix, probability_jaccard, shingles, weighted, word_hashes
+from tickloom.session import materialize
 
 THRESHOLD = 0.8
 #: Hamming radius of the search; fingerprints have one block more.
@@ -172,6 +173,13 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     return out
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs`, whole, in which `find_passages` finds nothing."""
+    numbered = materialize(docs.select(F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("__number")), "numbered")
+    found = find_passages(numbered.select("__number", F.col(f"row.`{text}`").alias("text")), benchmark, key="__number", threshold=threshold)
+    return numbered.join(found.select("__number").distinct(), "__number", "left_anti").select("row.*")
+
+
 def _search(shared, key: str, item: str, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         benchmark = Benchmark(*shared.value, threshold)

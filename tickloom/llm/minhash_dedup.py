@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tickloom.llm.common import broadcast_if_small, map_batches, ship_package
+from tickloom.llm.common import broadcast_if_small, map_batches, numbered_columns, ship_package
 from tickloom.llm.components import connected_components, spanning_forest
 from tickloom.llm.shingles import mix, probability_jaccard, shingles, weighted, word_hashes
 from tickloom.session import materialize
@@ -156,10 +156,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
     the same words are one class; case and what stands between words do not matter. Null, empty and wordless texts
     are each a class of their own. Null keys come after all others. Keys need not be unique.
     """
-    spark = docs.sparkSession
-    ship_package(spark)
+    ship_package(docs.sparkSession)
     kept_columns = [key, *(c for c in carry or [] if c not in (key, text))]
     rows = docs.select(*kept_columns, F.monotonically_increasing_id().alias("__row"), F.col(text).cast("string").alias("__text"))
+    of_row = _classes(rows, key, threshold)
+    return of_row.select(
+        *kept_columns,
+        F.when(F.col("best").isNull(), F.col(key)).otherwise(F.col("best.key")).alias("class_id"),
+        F.coalesce("class_size", F.lit(1)).alias("class_size"),
+        (F.col("best").isNull() | (F.col("best.row") == F.col("__row"))).alias("kept"),
+    )
+
+
+def _classes(rows: DataFrame, key: str, threshold: float) -> DataFrame:
+    """All columns of `rows` (`__row` unique, `__text` last), `best` (key and row of the class's first row; null for texts without words) and `class_size`."""
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     stored = materialize(map_batches(rows, _sketched, f"{fields}, __content binary, __bands array<bigint>, __size bigint"), "sketches")
 
@@ -186,10 +196,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
     classed = contents.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     classes = classed.groupBy("component").agg(F.min("first").alias("best"), F.sum("copies").alias("class_size"))
     of_content = classed.select("__content", "component").join(classes, "component").select("__content", "best", "class_size")
-    found = stored.drop("__bands", "__text").join(of_content, "__content", "left")
-    return found.select(
-        *kept_columns,
-        F.when(F.col("best").isNull(), F.col(key)).otherwise(F.col("best.key")).alias("class_id"),
-        F.coalesce("class_size", F.lit(1)).alias("class_size"),
-        (F.col("best").isNull() | (F.col("best.row") == F.col("__row"))).alias("kept"),
-    )
+    return stored.drop("__bands", "__size").join(of_content, "__content", "left").drop("__content")
+
+
+def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs`, whole, that `near_duplicates` keeps."""
+    plain, _ = numbered_columns(docs)
+    own_key, own_text = f"__{docs.columns.index(key)}", docs.columns.index(text)
+    rows = plain.select("*", F.monotonically_increasing_id().alias("__row"), F.col(f"__{own_text}").cast("string").alias("__text")).drop(f"__{own_text}")
+    kept = _classes(rows, own_key, threshold).where("best IS NULL OR best.row = __row")
+    back = [F.col("__text" if k == own_text else f"__{k}").cast(docs.schema[c].dataType).alias(c) for k, c in enumerate(docs.columns)]
+    return kept.select(*back)

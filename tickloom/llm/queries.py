@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from tickloom.llm import bloom_lm, bpe, decontamination, embedding_dedup, html_extract, language, minhash_dedup, token_counts, toxicity, url_filter
-from tickloom.llm.common import broadcast_if_small, fold, table
+from tickloom.llm.common import fold, table
+from tickloom.llm.models import language_model, toxicity_model
 from tickloom.plans.registry import query
 
 
@@ -20,24 +22,12 @@ def op7_bpe_encoding(spark: SparkSession, d: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-def toxicity_model(spark: SparkSession, d: str) -> toxicity.ToxicityModel:
-    """Learned from the labelled documents outside the held-out fold; of repeated labels the highest counts."""
-    docs = table(spark, d, "documents").select("doc_id", "text").where(fold("doc_id", 5) != 0)
-    labels = table(spark, d, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return toxicity.train(docs.join(broadcast_if_small(labels), "doc_id"))
-
-
 @query("op5_toxicity")
 def op5_toxicity(spark: SparkSession, d: str) -> DataFrame:
     scored = toxicity.score(table(spark, d, "documents"), toxicity_model(spark, d))
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted", "toxic_windows")
 
 
-def language_model(spark: SparkSession, d: str) -> language.LanguageModel:
-    """Learned from the documents outside the held-out fold."""
-    return language.train(table(spark, d, "documents"), fold("doc_id", 4) != 2)
-
-
 @query("op8_language")
 def op8_language(spark: SparkSession, d: str) -> DataFrame:
     found = language.predict(table(spark, d, "documents"), language_model(spark, d))
@@ -74,3 +64,8 @@ def op3_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
     remainder = fold("doc_id", 7)
     scored = bloom_lm.score(table(spark, d, "documents"), remainder != 2, keep={"held_out": remainder == 2})
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, d: str) -> DataFrame:
+    return corpus_pipeline.run(spark, d)

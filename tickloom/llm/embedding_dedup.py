@@ -165,11 +165,12 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", embedding: str = "e
 
     # Each vector goes to the pairs of its cell with itself and all neighbours; the smaller cell of a pair is on the left.
     steps = F.array(*[F.array(F.lit(0).cast("bigint"), *[F.lit(x).cast("bigint") for x in s]) for s in product((-1, 0, 1), repeat=grid)])
-    # A vector with fewer dimensions than the grid has shorter cells; the missing steps add nothing.
+    # A vector with fewer dimensions than the grid has shorter cells, and takes only steps that end in zeros.
     neighbour = F.transform(F.col("cell"), lambda x, k: x + F.coalesce(F.try_element_at("step", (k + 1).cast("int")), F.lit(0)))
     own = dealt.join(tiles.withColumnRenamed("chunks", "own_chunks"), ["label", "cell"]).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("own_chunks")).cast("int"))
-    sent = own.withColumn("step", F.explode(steps)).withColumn("other", neighbour)
-    sent = sent.join(tiles.select(F.col("label").alias("l"), F.col("cell").alias("other"), F.col("chunks").alias("other_chunks")).withColumnRenamed("l", "label"), ["label", "other"]).distinct()
+    fits = F.forall(F.slice("step", F.size("cell") + 1, grid + 1), lambda x: x == 0)
+    sent = own.withColumn("step", F.explode(steps)).where(fits).withColumn("other", neighbour).drop("step")
+    sent = sent.join(tiles.select(F.col("label").alias("l"), F.col("cell").alias("other"), F.col("chunks").alias("other_chunks")).withColumnRenamed("l", "label"), ["label", "other"])
     sent = sent.withColumn("other_chunk", F.explode(F.sequence(F.lit(0), F.col("other_chunks") - 1)))
     me, it = F.struct("cell", "chunk"), F.struct(F.col("other").alias("cell"), F.col("other_chunk").alias("chunk"))
     sent = sent.select("label", F.least(me, it).alias("left_tile"), F.greatest(me, it).alias("right_tile"), (me > it).cast("int").alias("right"), (me == it).alias("same"), "node", "copies", "embedding")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from datetime import date, timedelta
+
 from pyspark.sql import functions as F
 
 from tickloom.functions.quotes import passes_stream_filter
@@ -11,11 +14,21 @@ from tickloom.streaming import batch as sb, jobs
 
 
 def split_events(spark, sf_dir, folder, files=3):
+    """The events in order, in files written one after the other: the source reads files by their time."""
     events = fx.table(spark, sf_dir, "events")
-    events.repartitionByRange(files, "event_id").write.parquet(folder)
+    cuts = [-1, *[int(x) for x in events.approxQuantile("event_id", [k / files for k in range(1, files)], 0.0)], 1 << 62]
+    for low, high in zip(cuts, cuts[1:]):
+        events.where(f"event_id > {low} AND event_id <= {high}").coalesce(1).write.mode("append").parquet(folder)
+        time.sleep(0.05)
     return events.schema
 
 
+def newest_state(spark, writer):
+    state = writer.read(spark, "quote_state")
+    newest = state.agg(F.max(F.struct("as_of_batch", "slot")).alias("m")).first()["m"]["slot"]
+    return state.where(F.col("slot") == newest).select("symbol", "source", "last_price", "change_pct", "volume")
+
+
 def run(spark, folder, schema, root, checkpoint):
     writer = jobs.QuoteBatchWriter(root)
     raw = fx.ticks_from_events(jobs.file_source(spark, folder, schema, "*.parquet"))
@@ -33,13 +46,49 @@ def test_stream_equals_batch(spark, sf_dir, tmp_path):
     merged = writer.read(spark, "metric_snapshots").groupBy("window_bucket").agg(F.sum("total_volume").alias("v"))
     batch = sb.minute_snapshot(ticks).select("window_bucket", F.col("total_volume").alias("v"))
     assert merged.exceptAll(batch).isEmpty() and batch.exceptAll(merged).isEmpty()
-    state = writer.read(spark, "quote_state")
-    newest = state.agg(F.max(F.struct("as_of_batch", "slot")).alias("m")).first()["m"]["slot"]
-    kept = state.where(F.col("slot") == newest).select("symbol", "source", "last_price", "change_pct", "volume")
+    kept = newest_state(spark, writer)
     want = sb.latest_state(ticks, fx.TICK_ORDER)
     assert kept.exceptAll(want).isEmpty() and want.exceptAll(kept).isEmpty()
 
 
+def test_late_batches_do_not_replace_newer_state(spark, sf_dir, tmp_path):
+    writer = jobs.QuoteBatchWriter(str(tmp_path / "out"))
+    rows = fx.ticks(spark, sf_dir)
+    cuts = rows.approxQuantile("id", [1 / 3, 2 / 3], 0.0)
+    parts = [rows.where(F.col("id") > cuts[1]), rows.where((F.col("id") > cuts[0]) & (F.col("id") <= cuts[1])), rows.where(F.col("id") <= cuts[0])]
+    for k, part in enumerate(parts):
+        writer(part.select(*QUOTE_COLUMNS), k)
+    kept, want = newest_state(spark, writer), sb.latest_state(rows, fx.TICK_ORDER)
+    assert kept.exceptAll(want).isEmpty() and want.exceptAll(kept).isEmpty()
+
+
+def test_price_that_comes_back_within_a_batch(spark, sf_dir, tmp_path):
+    writer = jobs.QuoteBatchWriter(str(tmp_path / "out"))
+    one = fx.ticks(spark, sf_dir).select(*QUOTE_COLUMNS).limit(1).collect()[0].asDict()
+
+    def quotes(*changes):
+        rows = [one | {"event_id": f"e{n}", "event_time": one["event_time"] + timedelta(seconds=n), "last_price": p} for n, p in changes]
+        return spark.createDataFrame([tuple(r[c] for c in QUOTE_COLUMNS) for r in rows], fx.ticks(spark, sf_dir).select(*QUOTE_COLUMNS).schema)
+
+    writer(quotes((1, 10.0)), 0)
+    writer(quotes((9, 11.0), (10, 10.0)), 1)
+    assert [r["last_price"] for r in newest_state(spark, writer).collect()] == [10.0]
+    before = writer.read(spark, "price_ticks").count()
+    writer(quotes((11, 10.0)), 2)
+    assert writer.read(spark, "price_ticks").count() == before == 2
+
+
+def test_look_ups_list_only_their_days(spark, sf_dir, tmp_path):
+    writer = jobs.QuoteBatchWriter(str(tmp_path / "out"))
+    rows = fx.ticks(spark, sf_dir).select(*QUOTE_COLUMNS).limit(20)
+    now = fx.as_of(spark, sf_dir)
+    read = []
+    for k in range(40):
+        writer.append(rows, "price_ticks", k, now + timedelta(days=k))
+        read.append(len(writer._since(spark, "price_ticks", now + timedelta(days=k - 1), now + timedelta(days=k), k + 1).inputFiles()))
+    assert max(read[2:]) == read[2] and writer.read(spark, "price_ticks", date(1990, 1, 1)) is None
+
+
 def test_replayed_batch_changes_nothing(spark, sf_dir, tmp_path):
     writer = jobs.QuoteBatchWriter(str(tmp_path / "out"))
     rows = fx.ticks(spark, sf_dir).select(*QUOTE_COLUMNS)

@@ -11,7 +11,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions.numeric import money_sum, stable_round
-from tickloom.operators.ordered import latest_by
+from tickloom.operators.ordered import earliest_by, latest_by
 from tickloom.schema import QUOTE_COLUMNS
 
 STATE_KEYS = ["symbol", "source"]
@@ -27,14 +27,20 @@ def minute_bucket(c: Column | str = "event_time") -> Column:
     return F.date_format(c, "yyyy-MM-dd HH:mm:00")
 
 
+def event_order() -> Column:
+    """When a quote happened; of quotes of the same time the shorter event id comes first, then text order, so that e9 is before e10."""
+    return F.struct("event_time", F.length("event_id").alias("digits"), "event_id")
+
+
 def dedup_events(batch: DataFrame) -> DataFrame:
-    """STR-1: one row per event id within the batch."""
-    return batch.dropDuplicates(["event_id"])
+    """STR-1: one row per event id within the batch; of copies that differ the first by time, then by content."""
+    return earliest_by(batch, ["event_id"], ["event_time", *[c for c in batch.columns if c not in ("event_id", "event_time")]])
 
 
 def compact_snapshots(batch: DataFrame) -> DataFrame:
-    """STR-2: one row per unchanged (symbol, source, price, change, volume)."""
-    return batch.dropDuplicates([*STATE_KEYS, *STATE_VALUES])
+    """STR-2: one row per unchanged (symbol, source, price, change, volume): the earliest, so that replays are equal."""
+    ordered = batch.withColumn("__at", event_order())
+    return earliest_by(ordered, [*STATE_KEYS, *STATE_VALUES], ["__at"]).drop("__at")
 
 
 def minute_snapshot(batch: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -53,7 +59,7 @@ def symbol_stats(batch: DataFrame) -> DataFrame:
     """STR-7: per-symbol statistics; `last_price` is the highest price of the batch."""
     return batch.groupBy("symbol", "company_name", "category", "sector").agg(
         stable_round(F.max("last_price"), 2).alias("last_price"),
-        F.max_by("last_price", F.struct("event_time", "event_id")).alias("latest_price"),
+        F.max_by("last_price", event_order()).alias("latest_price"),
         stable_round(F.avg("change_pct"), 4).alias("change_pct"),
         F.sum("volume").alias("volume"),
         money_sum("turnover").alias("turnover"),

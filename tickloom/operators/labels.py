@@ -116,11 +116,15 @@ def limit_rows(df: DataFrame, cap: int, window: int, bucket: Column) -> DataFram
     return with_position(kept, ["symbol"], ["event_time"], bucket, "seq", "seq_rows")
 
 
+def train_end(share: float = TRAIN_SHARE) -> Column:
+    """Position of a symbol's last training row."""
+    n = F.col("seq_rows")
+    return F.greatest(F.lit(1), F.least(n - 1, F.floor(n * F.lit(share))))
+
+
 def time_split(df: DataFrame, share: float = TRAIN_SHARE) -> DataFrame:
     """LAB-8: `is_train` per symbol by time; symbols with one row are left out."""
-    n = F.col("seq_rows")
-    cut = F.greatest(F.lit(1), F.least(n - 1, F.floor(n * F.lit(share))))
-    return df.where(n >= 2).withColumn("is_train", F.col("seq") <= cut)
+    return df.where(F.col("seq_rows") >= 2).withColumn("is_train", F.col("seq") <= train_end(share))
 
 
 def global_split(df: DataFrame, bucket: Column, share: float = TRAIN_SHARE) -> DataFrame:
@@ -140,12 +144,12 @@ def walk_forward(df: DataFrame) -> DataFrame:
             F.struct(F.lit(f).alias("fold"), F.lit(start).alias("start"), F.lit(start + FOLD_SHARE).alias("end"))
         )
     n = F.col("seq_rows")
-    train_end = F.greatest(F.lit(1), F.least(F.floor(n * F.col("b.start")), n - 1))
+    last = F.greatest(F.lit(1), F.least(F.floor(n * F.col("b.start")), n - 1))
     stop = F.least(F.floor(n * F.col("b.end")), n)
     return (
         df.where(n >= 10)
         .withColumn("b", F.explode(F.array(*bounds)))
-        .withColumn("__train", train_end)
+        .withColumn("__train", last)
         .withColumn("__stop", F.greatest(F.col("__train") + 1, stop))
         .where(F.col("seq") <= F.col("__stop"))
         .withColumn("fold", F.col("b.fold"))
@@ -157,7 +161,8 @@ def walk_forward(df: DataFrame) -> DataFrame:
 def sequences(df: DataFrame, window: int, cap: int = 0, features: list[str] | None = None) -> DataFrame:
     """LAB-10: for each row the feature rows of the window that ends there.
 
-    `cap` keeps the newest windows of every symbol, cap / symbols each.
+    `cap` bounds the training windows of `time_split`: each symbol keeps its newest cap / symbols
+    of them, and all windows of its test part.
     """
     names = features or FEATURES
     vector = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in names])
@@ -165,7 +170,7 @@ def sequences(df: DataFrame, window: int, cap: int = 0, features: list[str] | No
     rows = df.select(*keep, vector.alias("__v"))
     if cap > 0:
         symbols = max(df.agg(F.count_distinct("symbol")).first()[0], 1)
-        rows = rows.where(F.col("seq") > F.col("seq_rows") - (max(1, cap // symbols) + window - 1))
+        rows = rows.where(F.col("seq") > train_end() - (max(1, cap // symbols) + window - 1))
     size = max(512, window)
     cut = with_segments(rows, size, before=window - 1, pos="seq", size="seq_rows")
     frame = W.partitionBy("symbol", "segment").orderBy("seq").rowsBetween(-(window - 1), 0)
@@ -190,9 +195,8 @@ def fit_scaler(train: DataFrame, features: list[str]) -> DataFrame:
     ).select("r.place", "r.feature", "r.s.mean", F.when(F.col("r.s.std") > 0, F.col("r.s.std")).otherwise(1.0).alias("std"))
 
 
-def scale_sequences(df: DataFrame, scaler: DataFrame) -> DataFrame:
-    """LAB-11: windows scaled by a fitted scaler (one value pair per feature)."""
-    rows = scaler.orderBy("place").collect()
+def scale_windows(df: DataFrame, rows: list) -> DataFrame:
+    """LAB-11: windows scaled by the mean and deviation of each feature, in their order."""
     mean = F.array(*[F.lit(float(r["mean"])) for r in rows])
     std = F.array(*[F.lit(float(r["std"])) for r in rows])
     scaled = F.transform(
@@ -202,6 +206,11 @@ def scale_sequences(df: DataFrame, scaler: DataFrame) -> DataFrame:
     return df.withColumn("sequence", scaled)
 
 
+def scale_sequences(df: DataFrame, scaler: DataFrame) -> DataFrame:
+    """LAB-11: windows scaled by a fitted scaler (one value pair per feature)."""
+    return scale_windows(df, scaler.orderBy("place").collect())
+
+
 def category_encoder(df: DataFrame):
     """LAB-12: one-hot encoder of the category columns, fitted once on all rows; unseen values are kept apart."""
     index = StringIndexer(

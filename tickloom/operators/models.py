@@ -63,8 +63,10 @@ from tickloom.operators.labels import (
     category_encoder,
     fit_scaler,
     scale_sequences,
+    scale_windows,
     sequences,
     time_split,
+    train_end,
     walk_forward,
 )
 
@@ -362,18 +364,27 @@ def _guard_metrics(scored: DataFrame, risk: bool, prefix: str = "") -> dict[str,
     }
 
 
-def walk_forward_metrics(vectors: DataFrame, spec: Spec, risk: bool) -> dict[str, float]:
-    """EVA-4: three forward folds; each tunes its decision inside the training part."""
+def walk_forward_metrics(vectors: DataFrame, spec: Spec, risk: bool, fit: Callable | None = None, newest: int = 0) -> dict[str, float]:
+    """EVA-4: three forward folds; each tunes its decision inside the training part.
+
+    `fit(rows, spec, risk)` gives a member of the spec's kind; by default a tabular one. `newest` bounds the
+    training rows of each symbol and fold; 0 takes all.
+    """
+    fit = fit or _fit_direction
     folds = walk_forward(vectors)
     scored = None
     for f in [r["fold"] for r in folds.select("fold").distinct().orderBy("fold").collect()]:
         rows = folds.where(F.col("fold") == f)
         train, validation = rows.where("is_train"), rows.where(~F.col("is_train"))
         size = train.groupBy("symbol").agg(F.max("seq").alias("seq_rows"))
-        inner = time_split(train.drop("seq_rows", "is_train").join(size, "symbol"))
-        tuner = _fit_direction(inner.where("is_train"), spec, risk)
+        train = train.drop("seq_rows", "is_train").join(size, "symbol")
+        inner = time_split(train)
+        if newest:
+            train = train.where(F.col("seq") > F.col("seq_rows") - newest)
+            inner = inner.where(~F.col("is_train") | (F.col("seq") > train_end() - newest))
+        tuner = fit(inner.where("is_train"), spec, risk)
         decision = tune_decision(tuner.with_probabilities(inner.where(~F.col("is_train"))), risk)
-        model = _fit_direction(train, spec, risk)
+        model = fit(train, spec, risk)
         part = model.with_probabilities(validation).select(
             F.col("next_direction").alias("y_true"), decide(decision, risk).alias("y_pred")
         )
@@ -420,33 +431,66 @@ def train_tabular(
     return TrainedModel(spec, price, direction, decision, metrics, horizon, risk, encoder=encoder)
 
 
-def train_sequence(dataset: DataFrame, spec: Spec, horizon: int = 5, risk: bool = True, cap: int = 80000) -> TrainedModel:
-    """MOD-4: perceptron and linear regression over flattened, scaled windows (LAB-10, LAB-11)."""
-    windows = time_split(sequences(dataset, spec.window, cap, spec.features))
-    scaler = fit_scaler(windows.where("is_train"), spec.features)
-    values = [r.asDict() for r in scaler.orderBy("place").collect()]
-    vectors = _flat(scale_sequences(windows, scaler)).persist()
+@dataclass
+class SequenceDirection:
+    """A perceptron over flattened windows, scaled by the rows it was fitted on."""
+
+    scaler: list[dict]
+    model: DirectionModel
+
+    def vectors(self, windows: DataFrame) -> DataFrame:
+        return _flat(scale_windows(windows, self.scaler))
+
+    def with_probabilities(self, windows: DataFrame) -> DataFrame:
+        return self.model.with_probabilities(self.vectors(windows))
+
+
+def fit_sequence(windows: DataFrame, spec: Spec, risk: bool) -> SequenceDirection:
+    """MOD-4: scaler (LAB-11) and network of one set of training windows."""
+    scaler = [r.asDict() for r in fit_scaler(windows, spec.features).orderBy("place").collect()]
+    label = (F.col("next_direction") == DOWN).cast("double") if risk else F.col("next_direction").cast("double")
+    layers = [spec.window * len(spec.features), spec.hidden, 2 if risk else 3]
+    network = MultilayerPerceptronClassifier(layers=layers, maxIter=spec.epochs, seed=42, labelCol="label")
+    model = network.fit(_flat(scale_windows(windows, scaler)).withColumn("label", label))
+    return SequenceDirection(scaler, DirectionModel({str(DOWN) if risk else "all": model}))
+
+
+def train_sequence(
+    dataset: DataFrame, spec: Spec, horizon: int = 5, risk: bool = True, cap: int = 80000, with_folds: bool = True
+) -> TrainedModel:
+    """MOD-4: perceptron and linear regression over flattened, scaled windows (LAB-10, LAB-11).
+
+    `cap` bounds the training windows only. The decision is tuned on the newest part of the training windows, by
+    a network that has not seen them; a side without windows is an error.
+    """
+    windows = time_split(sequences(dataset, spec.window, cap, spec.features)).persist()
     try:
-        train, test = vectors.where("is_train"), vectors.where(~F.col("is_train"))
-        label = (F.col("next_direction") == DOWN).cast("double") if risk else F.col("next_direction").cast("double")
-        classes = 2 if risk else 3
-        layers = [spec.window * len(spec.features), spec.hidden, classes]
-        network = MultilayerPerceptronClassifier(layers=layers, maxIter=spec.epochs, seed=42, labelCol="label")
-        model = network.fit(train.withColumn("label", label))
-        direction = DirectionModel({str(DOWN) if risk else "all": model})
-        price = LinearRegression(labelCol="next_return", regParam=0.01).fit(train)
-        scored = direction.with_probabilities(price.transform(test).withColumnRenamed("prediction", "predicted_return"))
-        decision = tune_decision(direction.with_probabilities(train), risk) or {"mode": "argmax"}
-        scored = scored.withColumns(
+        train, test = windows.where("is_train").drop("is_train"), windows.where(~F.col("is_train")).drop("is_train")
+        if train.isEmpty() or test.isEmpty():
+            raise ValueError(f"no training or no test windows of {spec.window} rows")
+        inner = time_split(train.withColumn("seq_rows", train_end()))
+        tuner = fit_sequence(inner.where("is_train"), spec, risk)
+        decision = tune_decision(tuner.with_probabilities(inner.where(~F.col("is_train"))), risk) or {"mode": "argmax"}
+        direction = fit_sequence(train, spec, risk)
+        price = LinearRegression(labelCol="next_return", regParam=0.01).fit(direction.vectors(train))
+        scored = price.transform(direction.vectors(test)).withColumnRenamed("prediction", "predicted_return")
+        scored = direction.model.with_probabilities(scored).withColumns(
             {"y_true": F.col("next_direction"), "y_pred": decide(decision, risk), "confidence": display_confidence()}
         ).drop("features").persist()
         metrics = {"return_mae": scored.agg(F.avg(F.abs(F.col("next_return") - F.col("predicted_return")))).first()[0] or 0.0}
         metrics |= _guard_metrics(scored, risk)
         metrics |= _one_row(alert_backtest(scored, [], spec.threshold, risk))
+        metrics |= {k: float(v) for k, v in decision.items() if k.startswith("calibration_")}
+        if with_folds:
+            newest = max(1, cap // max(dataset.agg(F.count_distinct("symbol")).first()[0], 1)) if cap > 0 else 0
+            every = sequences(dataset, spec.window, features=spec.features)
+            metrics |= walk_forward_metrics(every, spec, risk, fit_sequence, newest)
+        else:
+            metrics["walk_forward_skipped"] = 1.0
         scored.unpersist()
     finally:
-        vectors.unpersist()
-    return TrainedModel(spec, price, direction, decision, metrics, horizon, risk, scaler=values)
+        windows.unpersist()
+    return TrainedModel(spec, price, direction.model, decision, metrics, horizon, risk, scaler=direction.scaler)
 
 
 def _flat(windows: DataFrame) -> DataFrame:
@@ -455,7 +499,7 @@ def _flat(windows: DataFrame) -> DataFrame:
 
 def train(dataset: DataFrame, spec: Spec, horizon: int = 5, risk: bool = True, with_folds: bool = True) -> TrainedModel:
     if spec.kind == "sequence":
-        return train_sequence(dataset, spec, horizon, risk)
+        return train_sequence(dataset, spec, horizon, risk, with_folds=with_folds)
     return train_tabular(dataset, spec, horizon, risk, with_folds)
 
 

@@ -197,7 +197,8 @@ def _(spark, d):
     "lab_10_sequence_cap",
     with_ctes(
         ["labelled"],
-        f"""SELECT symbol, {DAY} FROM labelled WHERE seq>={WINDOW} AND seq>seq_rows-(SELECT greatest(1,2000//count(DISTINCT symbol)) FROM labelled)""",
+        f"""SELECT symbol, {DAY} FROM labelled WHERE seq>={WINDOW} AND
+        seq>greatest(1,least(seq_rows-1,CAST(floor(seq_rows*0.8::DOUBLE) AS BIGINT)))-(SELECT greatest(1,2000//count(DISTINCT symbol)) FROM labelled)""",
     ),
 )
 def _(spark, d):

@@ -19,8 +19,9 @@ from tickloom.schema import time_text
 TICK_ORDER = ["created_at", "id"]
 
 
-def clamp(limit: int, default: int, top: int) -> int:
-    return default if limit <= 0 else min(limit, top)
+def bounded(limit: int, default: int) -> int:
+    """The limit the caller asks for; the default where none is given."""
+    return default if limit <= 0 else limit
 
 
 def upper_text(symbol: str | None) -> str:
@@ -371,7 +372,7 @@ def stock_ranking(m: Market, kind: str = "optimal", limit: int = 10) -> DataFram
     return (
         rows.withColumns({"optimal_score": stable_round(optimal, 2), "risk_score": stable_round(danger, 2), "reason": reason})
         .orderBy(F.desc(by), "symbol")
-        .limit(clamp(limit, 10, 100))
+        .limit(bounded(limit, 10))
         .select(
             *_stock_columns(),
             "alert_count",
@@ -396,7 +397,7 @@ def search_stocks(m: Market, keyword: str = "", limit: int = 20) -> DataFrame:
     return (
         stocks_now(m, rows)
         .orderBy(F.desc(F.abs("change_pct")), F.desc("alert_count"), F.desc("turnover"), "symbol")
-        .limit(clamp(limit, 20, 100))
+        .limit(bounded(limit, 20))
         .select(
             *_stock_columns(),
             time_text("event_time").alias("event_time"),
@@ -440,7 +441,7 @@ def stock_detail(m: Market, symbol: str) -> DataFrame:
 
 def stock_trend(m: Market, symbol: str, minutes: int = 30, limit: int = 300) -> DataFrame:
     """DSH-14: a symbol's newest ticks in the window, oldest first."""
-    rows = m.since(m.ticks.where(F.col("symbol") == upper_text(symbol)), minutes=clamp(minutes, 30, 1440))
+    rows = m.since(m.ticks.where(F.col("symbol") == upper_text(symbol)), minutes=bounded(minutes, 30))
     return (
         rows.orderBy(F.desc("created_at"), F.desc("event_time"), F.desc("id"))
         .limit(limit)
@@ -474,7 +475,7 @@ def candles_from_ticks(ticks: DataFrame) -> DataFrame:
 
 def stock_daily(m: Market, symbol: str, days: int = 120) -> DataFrame:
     """DSH-15: a symbol's newest daily candles, from bars or else from ticks, oldest first."""
-    wanted, n = upper_text(symbol), clamp(days, 120, 500)
+    wanted, n = upper_text(symbol), bounded(days, 120)
     bars = (
         m.bars.where(F.col("symbol") == wanted)
         .orderBy(F.desc("trade_date"), F.desc("event_id"))
@@ -500,14 +501,14 @@ def stock_daily(m: Market, symbol: str, days: int = 120) -> DataFrame:
 
 
 def history(m: Market, symbol: str = "", minutes: int = 30, limit: int = 200) -> DataFrame:
-    """DSH-21: newest ticks of a window, numbered newest first; at most 5000."""
-    rows = m.since(m.ticks, minutes=clamp(minutes, 30, 1440))
+    """DSH-21: newest ticks of a window, numbered newest first."""
+    rows = m.since(m.ticks, minutes=bounded(minutes, 30))
     if symbol and symbol.strip():
         rows = rows.where(F.col("symbol") == upper_text(symbol))
     newest = [F.desc("event_time"), F.desc("id")]
     return (
         rows.orderBy(*newest)
-        .limit(clamp(limit, 200, 5000))
+        .limit(bounded(limit, 200))
         .select(
             F.row_number().over(W.orderBy(*newest)).alias("seq"),
             "symbol",
@@ -576,7 +577,7 @@ def search_alerts(
         _alert_rows(m)
         .where(all_of(tests))
         .orderBy(F.desc("created_at"), F.desc("id"))
-        .limit(clamp(limit, 20, 100))
+        .limit(bounded(limit, 20))
         .select(*_alert_columns(2))
     )
 
@@ -717,11 +718,9 @@ def model_comparison(m: Market, limit: int = 200) -> DataFrame:
     )
     rows = (
         m.metrics.join(F.broadcast(newest), "model_version", "left_semi")
-        .orderBy(place, "model_name", "metric_name")
-        .limit(limit)
         .select("model_name", "metric_name", "metric_value", "model_version", time_text("created_at").alias("created_at"))
     )
-    return mark_abnormal(rows)
+    return mark_abnormal(rows).orderBy(place, "model_name", "metric_name").limit(limit)
 
 
 def reconciliation(tables: dict[str, DataFrame]) -> DataFrame:

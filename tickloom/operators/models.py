@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import warnings
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -804,7 +805,7 @@ def search(
                     metrics = train(data, spec, h).metrics
                     rows += [(spec.name, setting, None, k, float(v)) for k, v in metrics.items()]
                 except Exception as exc:  # noqa: BLE001  a failed setting is a result
-                    rows.append((spec.name, setting, str(exc)[:500], None, None))
+                    rows.append((spec.name, setting, str(exc), None, None))
             data.unpersist()
     schema = "model_name string, setting string, error string, metric_name string, metric_value double"
     return search_report(spark.createDataFrame(rows, schema))
@@ -851,6 +852,8 @@ class ModelStore:
         try:
             registry = spark.read.parquet(f"{self.root}/registry").where(F.col("version").startswith(prefix))
         except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
             raise FileNotFoundError(f"no saved models under {self.root}") from exc
         newest = registry.agg(F.max(F.struct("saved_at", "version")).alias("m")).first()["m"]
         if newest is None:
@@ -859,8 +862,8 @@ class ModelStore:
         for row in registry.where(F.col("version") == newest["version"]).collect():
             try:
                 models.append(self._load(row))
-            except Exception:  # noqa: BLE001  a broken member is skipped
-                continue
+            except Exception as exc:  # noqa: BLE001  a broken member is left out, and said
+                warnings.warn(f"model {row['model_name']} of {row['version']} cannot be read: {exc}", stacklevel=2)
         if not models:
             raise FileNotFoundError(f"version {newest['version']} is incomplete")
         return models, newest["version"]

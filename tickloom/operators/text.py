@@ -38,7 +38,11 @@ def _tag(item: Column, name: str) -> Column:
     return F.trim(F.replace(F.replace(body, F.lit("<![CDATA["), F.lit("")), F.lit("]]>"), F.lit("")))
 
 
-def _feed_items(html: Column, limit: int) -> Column:
+def _first(items: Column, limit: int | None) -> Column:
+    return items if limit is None else F.slice(items, 1, limit)
+
+
+def _feed_items(html: Column, limit: int | None) -> Column:
     items = F.regexp_extract_all(html, F.lit("(?is)<item>(.*?)</item>"), F.lit(1))
     parsed = F.transform(
         items,
@@ -50,10 +54,10 @@ def _feed_items(html: Column, limit: int) -> Column:
             (_tag(i, "title") != "").alias("named"),
         ),
     )
-    return F.slice(F.filter(parsed, lambda x: x["named"]), 1, limit)
+    return _first(F.filter(parsed, lambda x: x["named"]), limit)
 
 
-def _html_items(html: Column, limit: int) -> Column:
+def _html_items(html: Column, limit: int | None) -> Column:
     parts = []
     for pattern in HTML_ITEMS:
         links = F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
@@ -75,11 +79,11 @@ def _html_items(html: Column, limit: int) -> Column:
     first = F.filter(
         found, lambda x, i: F.array_position(F.transform(found, lambda y: y["title"]), x["title"]) == i + 1
     )
-    return F.slice(first, 1, limit)
+    return _first(first, limit)
 
 
-def page_items(pages: DataFrame, limit: int = 8) -> DataFrame:
-    """TXT-1: news items of each page: feed items, or else result-page links, at most `limit` per page.
+def page_items(pages: DataFrame, limit: int | None = None) -> DataFrame:
+    """TXT-1: news items of each page: feed items, or else result-page links; with `limit` the first ones only.
 
     Everything happens inside the page's row; nothing is shuffled.
     """
@@ -91,13 +95,14 @@ def page_items(pages: DataFrame, limit: int = 8) -> DataFrame:
     )
 
 
-def clean_turns(turns: DataFrame, newest: int = 30) -> DataFrame:
-    """TXT-2: the newest turns of each conversation with a known role and no blank text."""
-    placed = with_position(turns, ["conv_id"], ["turn"], F.floor(F.col("turn") / 1000))
+def clean_turns(turns: DataFrame, newest: int | None = None) -> DataFrame:
+    """TXT-2: the turns of each conversation with a known role and no blank text; with `newest` only so many last ones."""
+    if newest is not None:
+        placed = with_position(turns, ["conv_id"], ["turn"], F.floor(F.col("turn") / 1000))
+        turns = placed.where(F.col("pos") > F.col("group_rows") - newest)
     role = F.lower(F.coalesce("role", F.lit("user")))
     return (
-        placed.where(F.col("pos") > F.col("group_rows") - newest)
-        .select(
+        turns.select(
             "conv_id",
             "turn",
             F.when(role.isin("user", "assistant"), role).otherwise("user").alias("role"),
@@ -136,14 +141,15 @@ def _pieces(text: Column, size: int) -> Column:
     return F.array_distinct(F.transform(starts, lambda i: F.substr(text, i, F.lit(size))))
 
 
-def mentioned_symbol(questions: DataFrame, stocks: DataFrame, code_lengths: tuple[int, ...] = (5, 6)) -> DataFrame:
+def mentioned_symbol(questions: DataFrame, stocks: DataFrame) -> DataFrame:
     """TXT-3: the symbol a question mentions: an alias, else the best stock by `priority`.
 
     `questions` has (question_id, text), `stocks` (symbol, company_name, priority).
     A stock matches by its code, its name, a name that contains the question, or a
     two-character piece of its name. Instead of comparing every question with
     every stock, each possible piece keeps only its best stock, and the pieces of
-    a question are looked up: one row per piece, however many stocks share it.
+    a question are looked up: one row per piece, however many stocks share it. The
+    lengths of codes are taken from the catalogue.
     """
     text = questions.withColumn("__text", mention_text("text"))
     alias = F.lit(None).cast("string")
@@ -157,7 +163,8 @@ def mentioned_symbol(questions: DataFrame, stocks: DataFrame, code_lengths: tupl
         F.upper(F.trim("symbol")).alias("symbol"), "priority", code.alias("__code"), name.alias("__name")
     )
     named = known.where(F.length("__name") >= 2)
-    codes = known.where(F.length("__code").isin(list(code_lengths))).select("priority", "symbol", F.col("__code").alias("__piece"))
+    codes = known.where(F.length("__code") > 0).select("priority", "symbol", F.col("__code").alias("__piece"))
+    code_lengths = [r[0] for r in codes.select(F.length("__piece")).distinct().collect()]
     halves = named.select("priority", "symbol", F.explode(_pieces(F.col("__name"), 2)).alias("__piece")).where(
         ~F.col("__piece").isin(COMMON_PIECES)
     )

@@ -405,11 +405,11 @@ def marked_sql(rows: str, keys: str, columns: str) -> str:
     with_ctes(
         ["metrics"],
         marked_sql(
-            """(SELECT * FROM metrics WHERE model_version=(SELECT model_version FROM metrics ORDER BY created_at DESC, model_version DESC LIMIT 1)
-            ORDER BY CASE model_name WHEN 'lstm' THEN 3 WHEN 'lightgbm' THEN 4 ELSE 5 END, model_name, metric_name LIMIT 200)""",
+            "(SELECT * FROM metrics WHERE model_version=(SELECT model_version FROM metrics ORDER BY created_at DESC, model_version DESC LIMIT 1))",
             "model_name",
             "model_name, metric_name, metric_value, model_version, strftime(created_at,'%Y-%m-%d %H:%M:%S') AS created_at",
-        ),
+        )
+        + " ORDER BY CASE model_name WHEN 'lstm' THEN 3 WHEN 'lightgbm' THEN 4 ELSE 5 END, model_name, metric_name LIMIT 200",
     ),
 )
 def _(spark, d):
@@ -433,8 +433,8 @@ def _(spark, d):
     with_ctes(
         ["ticks", "clock"],
         f"""SELECT row_number() OVER (ORDER BY k.event_time DESC, id DESC) AS seq, symbol, company_name, category, sector, market, last_price,
-        {rnd('change_pct', 2)} AS change_pct, volume, turnover, {t('event_time')}, source FROM ticks k, clock WHERE created_at >= now - INTERVAL 1440 MINUTE
-        ORDER BY k.event_time DESC, id DESC LIMIT 5000""",
+        {rnd('change_pct', 2)} AS change_pct, volume, turnover, {t('event_time')}, source FROM ticks k, clock WHERE created_at >= now - INTERVAL 100000 MINUTE
+        ORDER BY k.event_time DESC, id DESC LIMIT 100000""",
     ),
 )
 def _(spark, d):

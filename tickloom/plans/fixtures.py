@@ -269,11 +269,10 @@ def predictions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def prediction_history(spark: SparkSession, d: str) -> DataFrame:
-    """Past predictions: every 20th clean bar of a symbol."""
-    turn = (F.col("pos") / 20).cast("long") % 3
+    """Past predictions: one at every clean bar of a symbol."""
+    turn = F.col("pos") % 3
     return (
         with_position(bars(spark, d), ["symbol"], ["event_time"], by_year())
-        .where(F.col("pos") % 20 == 0)
         .select(
             F.concat(F.lit("p-"), F.col("event_id")).alias("id"),
             "symbol",

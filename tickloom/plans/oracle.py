@@ -198,9 +198,9 @@ cte("bars", f"SELECT * FROM bars_raw WHERE NOT ({ANY_FAULT})", ["bars_raw"])
 cte(
     "history",
     """SELECT 'p-'||event_id AS id, symbol, company_name, category, sector, last_price AS current_price,
-     CASE (pos//20)%3 WHEN 0 THEN 'UP' WHEN 1 THEN 'DOWN' ELSE 'WATCH' END AS predicted_signal,
+     CASE pos%3 WHEN 0 THEN 'UP' WHEN 1 THEN 'DOWN' ELSE 'WATCH' END AS predicted_signal,
      'daily-'||year(event_time) AS model_version, event_time + INTERVAL 1 HOUR AS predicted_at
-   FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY event_time) AS pos FROM bars) WHERE pos%20=0""",
+   FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY event_time) AS pos FROM bars)""",
     ["bars"],
 )
 cte(

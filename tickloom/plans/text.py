@@ -30,7 +30,7 @@ def crawled(spark, d) -> DataFrame:
     first AS (SELECT * FROM links QUALIFY page_id%2=0 OR row_number() OVER (PARTITION BY page_id, title ORDER BY i)=1),
     placed AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY i)-1 AS place FROM first)
     SELECT page_id, CASE WHEN page_id%2=0 THEN 'feed' ELSE 'html' END AS source, place, title, link, '' AS published_at,
-      title AS summary FROM placed WHERE place<8""",
+      title AS summary FROM placed""",
 )
 def _(spark, d):
     return tx.page_items(crawled(spark, d))
@@ -39,42 +39,52 @@ def _(spark, d):
 @query(
     "txt_02_clean_turns",
     """SELECT conv_id, turn, CASE WHEN lower(role) IN ('user','assistant') THEN lower(role) ELSE 'user' END AS role, trim(text) AS content
-    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS r FROM conversations) WHERE r<=30 AND trim(text)<>''""",
+    FROM conversations WHERE trim(text)<>''""",
 )
 def _(spark, d):
     return tx.clean_turns(fx.table(spark, d, "conversations"))
 
 
+@query(
+    "txt_02_newest_turns",
+    """SELECT conv_id, turn, trim(text) AS content
+    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS r FROM conversations) WHERE r<=3 AND trim(text)<>''""",
+)
+def _(spark, d):
+    return tx.clean_turns(fx.table(spark, d, "conversations"), newest=3).select("conv_id", "turn", "content")
+
+
 @query(
     "txt_02_latest_question",
-    """SELECT conv_id, arg_max(trim(text), turn) AS question FROM
-    (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS r FROM conversations)
-    WHERE r<=30 AND trim(text)<>'' AND lower(role)<>'assistant' GROUP BY 1""",
+    """SELECT conv_id, arg_max(trim(text), turn) AS question FROM conversations
+    WHERE trim(text)<>'' AND lower(role)<>'assistant' GROUP BY 1""",
 )
 def _(spark, d):
     return tx.latest_question(tx.clean_turns(fx.table(spark, d, "conversations")))
 
 
 def questions(spark, d) -> DataFrame:
-    """Short questions out of the conversations: some name a code or a well-known stock."""
+    """Every text of the conversations, and a short question for each: some name a code or a well-known stock."""
     n = F.col("conv_id") % 11
     ask = (
         F.when(n == 0, "贵州茅台 怎么了")
         .when(n == 1, F.concat(F.lit("code "), F.lpad((F.col("turn") % 25).cast("string"), 6, "0"), F.lit(" ?")))
+        .when(n == 5, F.concat(F.lit("xarge"), F.col("turn").cast("string"), F.lit("x")))
         .when(n == 2, "r o m")
         .when(n == 3, "")
         .when(n == 4, F.col("text"))
         .otherwise(F.concat(F.lit("7"), F.col("conv_id").cast("string"), F.lit(" (今天) 报告")))
     )
-    return fx.table(spark, d, "conversations").select(
-        F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("question_id"), ask.alias("text"), "turn"
-    )
+    turns, place = fx.table(spark, d, "conversations"), F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    short = turns.select(place.alias("question_id"), ask.alias("text"), "turn")
+    return short.unionByName(turns.select(F.concat(place, F.lit("-text")).alias("question_id"), "text", "turn"))
 
 
 cte(
     "questions",
-    """SELECT conv_id||'-'||turn AS question_id, CASE conv_id%11 WHEN 0 THEN '贵州茅台 怎么了' WHEN 1 THEN 'code '||lpad(CAST(turn%25 AS VARCHAR),6,'0')||' ?'
-      WHEN 2 THEN 'r o m' WHEN 3 THEN '' WHEN 4 THEN text ELSE '7'||conv_id||' (今天) 报告' END AS text, turn FROM conversations""",
+    """SELECT conv_id||'-'||turn AS question_id, CASE conv_id%11 WHEN 0 THEN '贵州茅台 怎么了' WHEN 1 THEN 'code '||lpad(CAST(turn%25 AS VARCHAR),6,'0')||' ?' WHEN 5 THEN 'xarge'||turn||'x'
+      WHEN 2 THEN 'r o m' WHEN 3 THEN '' WHEN 4 THEN text ELSE '7'||conv_id||' (今天) 报告' END AS text, turn FROM conversations
+    UNION ALL SELECT conv_id||'-'||turn||'-text', text, turn FROM conversations""",
 )
 
 
@@ -90,7 +100,7 @@ def _mention(c: str) -> str:
     with_ctes(
         ["questions"],
         f""", q AS (SELECT *, {_mention('text')} AS t FROM questions),
-        s AS (SELECT lpad(CAST(n_nationkey AS VARCHAR),6,'0') AS symbol, {_mention('n_name')} AS name, n_nationkey AS priority FROM nation),
+        s AS (SELECT CASE WHEN n_nationkey%2=0 THEN lpad(CAST(n_nationkey AS VARCHAR),6,'0') ELSE substr(n_name,1,3+n_nationkey%3)||n_nationkey END AS symbol, {_mention('n_name')} AS name, n_nationkey AS priority FROM nation),
         hits AS (SELECT question_id, arg_min(symbol, priority) AS symbol FROM q, s WHERE t<>'' AND (contains(t, symbol) OR (length(name)>=2 AND
           (contains(t, name) OR contains(name, t) OR len(list_filter(range(1, length(name)), lambda i: contains(t, substr(name, i, 2))))>0))) GROUP BY 1)
         SELECT q.question_id, CASE WHEN t='' THEN '' {' '.join(f"WHEN contains(t,'{a}') THEN '{c}'" for a, c in tx.ALIASES)} ELSE coalesce(h.symbol,'') END AS symbol
@@ -98,8 +108,9 @@ def _mention(c: str) -> str:
     ).replace(")\n, q AS", "),\nq AS"),
 )
 def _(spark, d):
+    k = F.col("n_nationkey")  # codes of four to seven characters, some with letters
     stocks = fx.table(spark, d, "nation").select(
-        F.lpad(F.col("n_nationkey").cast("string"), 6, "0").alias("symbol"),
+        F.when(k % 2 == 0, F.lpad(k.cast("string"), 6, "0")).otherwise(F.concat(F.substr("n_name", F.lit(1), 3 + k % 3), k.cast("string"))).alias("symbol"),
         F.col("n_name").alias("company_name"),
         F.col("n_nationkey").alias("priority"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -33,13 +35,20 @@ _LOCAL_SCRATCH: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is named (tests)."""
+    """The shared folder that the cluster names in spark.checkpoint.dir.
+
+    Where none is named, a session that runs in one process (tests, bench) uses a temporary folder, which goes
+    with the process. On a cluster that is an error: other machines could not read what one writes there.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_SCRATCH:
         _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="tickloom-")
+        atexit.register(shutil.rmtree, _LOCAL_SCRATCH[app], ignore_errors=True)
     return _LOCAL_SCRATCH[app]
 
 

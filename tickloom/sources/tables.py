@@ -181,7 +181,9 @@ class ResultStore:
     def pointer(self, spark: SparkSession):
         try:
             rows = spark.read.parquet(f"{self.root}/pointer")
-        except AnalysisException:
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
         return rows.agg(F.max(F.struct("written_at", "run", "metrics_run")).alias("p")).first()["p"]
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tickloom.operators import dashboard as dash
 from tickloom.plans import fixtures as fx
 from tickloom.plans.oracle import cte, money, rnd, with_ctes
-from tickloom.plans.registry import query
+from tickloom.plans.registry import ORACLES, query
 
 
 def market(spark, d, *parts: str) -> dash.Market:
@@ -253,7 +253,7 @@ def search_sql(where: str, limit: int) -> str:
     )
 
 
-@query("dsh_12_search_stocks", search_sql("symbol ILIKE '%s3%' OR company_name ILIKE '%s3%' OR category ILIKE '%s3%' OR sector ILIKE '%s3%'", 100))
+@query("dsh_12_search_stocks", search_sql("symbol ILIKE '%s3%' OR company_name ILIKE '%s3%' OR category ILIKE '%s3%' OR sector ILIKE '%s3%'", 500))
 def _(spark, d):
     return dash.search_stocks(market(spark, d, "alerts", "predictions"), " s3 ", 500)
 
@@ -290,7 +290,7 @@ def _(spark, d):
     with_ctes(
         ["ticks", "clock"],
         f"""SELECT {t('event_time')}, {t('created_at')}, open_price, last_price, {rnd('change_pct', 2)} AS change_pct, volume, turnover, source
-        FROM (SELECT * FROM ticks, clock WHERE symbol={NEWEST} AND created_at >= now - INTERVAL 1440 MINUTE ORDER BY created_at DESC, event_time DESC, id DESC LIMIT 300)""",
+        FROM (SELECT * FROM ticks, clock WHERE symbol={NEWEST} AND created_at >= now - INTERVAL 5000 MINUTE ORDER BY created_at DESC, event_time DESC, id DESC LIMIT 300)""",
     ),
 )
 def _(spark, d):
@@ -333,7 +333,7 @@ def _(spark, d):
     with_ctes(
         ["alert_rows"],
         f"""SELECT {alert_columns(2)} FROM alert_rows r WHERE alert_level='HIGH' AND alert_type='price_and_volume' AND action_status='OPEN'
-        ORDER BY r.created_at DESC, id DESC LIMIT 100""",
+        ORDER BY r.created_at DESC, id DESC LIMIT 1000""",
     ),
 )
 def _(spark, d):
@@ -468,7 +468,23 @@ def _(spark, d):
     )
 
 
-@query("dsh_24_dashboard")
+SECTIONS = {
+    "stream_status": "str_13_stream_health", "summary": "dsh_01_summary", "trend": "dsh_02_trend", "market_overview": "dsh_03_market_overview",
+    "source_status": "str_14_source_status", "focus_stocks": "dsh_04_focus_stocks", "optimal_stocks": "dsh_05_ranking_optimal",
+    "risk_stocks": "dsh_05_ranking_risk", "model_comparison": "dsh_19_model_comparison", "daily_data_freshness": "dsh_11_daily_freshness",
+    "sector_heat": "dsh_06_sector_heat", "category_heat": "dsh_07_category_heat", "latest_alerts": "dsh_08_latest_alerts",
+    "latest_ticks": "dsh_09_latest_ticks", "ml_metrics": "dsh_09_latest_metrics", "signal_distribution": "dsh_10_signal_distribution",
+    "raw_signal_distribution": "dsh_10_raw_signal_distribution", "ml_predictions": "dsh_09_latest_predictions",
+}
+
+
+def section_sql(name: str) -> str:
+    """The SQL of a home-page section; rankings have 8 places there."""
+    sql = ORACLES[SECTIONS[name]]
+    return sql.replace("LIMIT 10", "LIMIT 8") if name in ("optimal_stocks", "risk_stocks") else sql
+
+
+@query("dsh_24_dashboard", " UNION ALL ".join(f"SELECT '{s}' AS section, (SELECT count(*) FROM ({section_sql(s)})) AS row_count" for s in SECTIONS))
 def _(spark, d):
     """All home-page sections at once; the result lists each section and its rows."""
     parts = ["alerts", "actions", "predictions", "snapshots", "bars", "index_bars", "metrics"]

@@ -266,7 +266,18 @@ def _(spark, d):
     return ev.drift_report(ev.evaluated_predictions(newest, fx.bars(spark, d)), 50)
 
 
-@query("eva_14_drift_rows")
+DRIFT = """(SELECT avg((actual_signal=predicted_signal)::INT) AS a, count(*) AS n FROM (SELECT * FROM evaluated
+    WHERE id IN (SELECT id FROM history ORDER BY predicted_at DESC, id DESC LIMIT 200) ORDER BY predicted_at DESC, id DESC LIMIT 50))"""
+
+
+@query(
+    "eva_14_drift_rows",
+    with_ctes(
+        ["evaluated"],
+        f"""SELECT 'ml_model_metrics' AS table_name, {rnd('a', 6)} AS metric_value FROM {DRIFT} WHERE n>=50
+        UNION ALL SELECT 'alert_events', {rnd('a*100', 4)} FROM {DRIFT} WHERE n>=50 AND a<0.55""",
+    ),
+)
 def _(spark, d):
     """The metric and alert rows the drift check appends."""
     newest = ev.newest_predictions(fx.prediction_history(spark, d), 50)

@@ -224,7 +224,14 @@ def _(spark, d):
     return scaler.select("place", "feature", stable_round("mean", 6).alias("mean"), stable_round("std", 6).alias("std"))
 
 
-@query("lab_12_category_encoder")
+@query(
+    "lab_12_category_encoder",
+    with_ctes(
+        ["labelled"],
+        """SELECT CAST(dense_rank() OVER (ORDER BY sector)-1 AS DOUBLE) AS sector_index, sector, count(*) AS rows, count(DISTINCT symbol) AS symbols
+        FROM labelled GROUP BY sector""",
+    ),
+)
 def _(spark, d):
     """Category vocabulary sizes of the encoder fitted on the whole data set."""
     rows = dataset(spark, d)

@@ -292,6 +292,17 @@ def _(spark, d):
     return rows.select("symbol", "predicted_return", "predicted_next_price", *dc.PROBS, "predicted_signal", "alert_signal", "model_version")
 
 
+def checked(rows: DataFrame) -> DataFrame:
+    """What holds for every prediction, whatever was learned."""
+    total = F.abs(F.col("prob_down") + F.col("prob_up") + F.col("prob_flat") - 1) < 1e-6
+    return rows.select("symbol", total.alias("sums_to_one"), F.col("predicted_signal").isin("UP", "DOWN", "WATCH").alias("signal_known"))
+
+
+@query("mod_12_prediction_checks", with_ctes(["bars"], "SELECT DISTINCT symbol, true AS sums_to_one, true AS signal_known FROM bars"))
+def _(spark, d):
+    return checked(md.predict_latest(full_frame(spark, d), trained(spark, d, "lightgbm"), "daily-check"))
+
+
 @query("mod_14_ensemble")
 def _(spark, d):
     return md.predict_ensemble(full_frame(spark, d), [trained(spark, d, n) for n in SMALL], "daily-check")

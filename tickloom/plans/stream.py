@@ -10,7 +10,7 @@ from tickloom.functions.quotes import passes_stream_filter
 from tickloom.operators import cleaning, dashboard as dash
 from tickloom.operators.ordered import with_position
 from tickloom.plans import fixtures as fx
-from tickloom.plans.oracle import alert_sql, money, rnd, with_ctes
+from tickloom.plans.oracle import ANY_FAULT, FAULT_SQL, alert_sql, money, rnd, with_ctes
 from tickloom.plans.registry import query
 from tickloom.schema import QUOTE_COLUMNS, time_text
 from tickloom.session import scratch_path
@@ -37,7 +37,14 @@ def _(spark, d):
     )
 
 
-@query("src_01_file_stream")
+@query(
+    "src_01_file_stream",
+    with_ctes(
+        ["ticks"],
+        """SELECT event_id, symbol, company_name, category, sector, market, open_price, high_price, low_price, last_price, previous_close, change_pct,
+        volume, turnover, strftime(event_time,'%Y-%m-%d %H:%M:%S') AS event_time, source FROM ticks WHERE id%17<>0""",
+    ),
+)
 def _(spark, d):
     """The quote stream read from files: JSON text in, cleaned typed quotes out."""
     folder, out = scratch_path(spark, "quotes-json"), scratch_path(spark, "stream-out")
@@ -52,7 +59,7 @@ def _(spark, d):
         .start()
     )
     job.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select(*QUOTE_COLUMNS).withColumn("event_time", time_text("event_time"))
 
 
 @query(
@@ -104,17 +111,32 @@ def catalogue(ticks: DataFrame) -> DataFrame:
     ).distinct()
 
 
-@query("src_05_symbol_catalogue")
+@query(
+    "src_05_symbol_catalogue",
+    with_ctes(
+        ["ticks"],
+        """SELECT DISTINCT symbol, 'Name '||symbol AS company_name, 'Listed' AS category, sector, market FROM ticks
+        UNION ALL SELECT s, s, 'Custom Watchlist', 'Other', '' FROM (VALUES ('600000'),('000001')) AS v(s)""",
+    ),
+)
 def _(spark, d):
-    """The catalogue written as JSON and read back; a missing folder gives the fallback list."""
+    """The catalogue written as a JSON array and read back; a missing folder gives the fallback list."""
     path = scratch_path(spark, "catalogue")
-    catalogue(fx.ticks(spark, d)).write.json(path)
+    rows = catalogue(fx.ticks(spark, d))
+    rows.agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value")).write.text(path)
     known = tables.read_catalogue(spark, path, ["600000"])
     missing = tables.read_catalogue(spark, path + "-missing", ["600000", "000001"])
     return known.unionByName(missing)
 
 
-@query("src_06_captured_quotes")
+@query(
+    "src_06_captured_quotes",
+    with_ctes(
+        ["ticks"],
+        """SELECT event_id, symbol, 'Name '||symbol AS company_name, 'Listed' AS category, sector, market, open_price, high_price, low_price, last_price,
+        previous_close, change_pct, volume, turnover, strftime(event_time,'%Y-%m-%d %H:%M:%S') AS event_time, source FROM ticks""",
+    ),
+)
 def _(spark, d):
     """Captures `{"quotes": [...]}` of at most 500 quotes, one per line, overlaid with the catalogue."""
     path = scratch_path(spark, "captures")
@@ -126,7 +148,7 @@ def _(spark, d):
     return captures.read_captured_quotes(spark, path, catalogue(ticks), per_line=True)
 
 
-@query("src_07_newest_capture")
+@query("src_07_newest_capture", with_ctes(["ticks"], "SELECT 'newer' AS kind, count(*) AS quotes, source FROM ticks GROUP BY source"))
 def _(spark, d):
     """The newest of several capture folders' files, read back."""
     path = scratch_path(spark, "captures")
@@ -138,7 +160,14 @@ def _(spark, d):
     return spark.read.json(captures.newest_file(spark, path))
 
 
-@query("snk_01_append_idempotent")
+@query(
+    "snk_01_append_idempotent",
+    with_ctes(
+        ["ticks"],
+        """SELECT 0 AS batch_id, count(*) AS rows, count(DISTINCT symbol) AS symbols
+        FROM (SELECT DISTINCT symbol, company_name, category, sector FROM ticks)""",
+    ),
+)
 def _(spark, d):
     """One batch appended twice: the replay leaves the table as it was."""
     now = fx.as_of(spark, d)
@@ -181,7 +210,40 @@ def _(spark, d):
     )
 
 
-@query("str_12_stream_tables")
+@query(
+    "str_12_stream_state",
+    with_ctes(
+        ["ticks"],
+        """SELECT symbol, source, last_price, change_pct, volume FROM ticks
+        QUALIFY row_number() OVER (PARTITION BY symbol, source ORDER BY created_at DESC, id DESC)=1""",
+    ),
+)
+def _(spark, d):
+    """The state the streaming job keeps, over two batches that come in the wrong order."""
+    writer = jobs.QuoteBatchWriter(scratch_path(spark, "stream"))
+    rows = fx.ticks(spark, d)
+    middle = rows.agg(F.expr("percentile_approx(id, 0.5)")).first()[0]
+    for batch, part in enumerate([rows.where(F.col("id") > middle), rows.where(F.col("id") <= middle)]):
+        writer(part.select(*QUOTE_COLUMNS), batch)
+    state = writer.read(spark, "quote_state")
+    return state.where("as_of_batch = 1").select("symbol", "source", "last_price", "change_pct", "volume")
+
+
+@query(
+    "str_12_stream_tables",
+    with_ctes(
+        ["ticks"],
+        """, compact AS (SELECT DISTINCT symbol, source, last_price, change_pct, volume, market FROM ticks)
+        SELECT 'quotes' AS table_name, count(*) AS row_count FROM ticks
+        UNION ALL SELECT 'metric_snapshots', count(DISTINCT strftime(event_time,'%Y-%m-%d %H:%M')) FROM ticks
+        UNION ALL SELECT 'symbol_stats', count(*) FROM (SELECT DISTINCT symbol, company_name, category, sector FROM ticks)
+        UNION ALL SELECT 'sector_stats', count(DISTINCT sector) FROM ticks
+        UNION ALL SELECT 'category_stats', count(DISTINCT category) FROM ticks
+        UNION ALL SELECT 'alert_events', count(*) FROM compact WHERE abs(change_pct)>=2 OR volume>=CASE WHEN market IN ('SH','SZ','BJ') THEN 5000000 ELSE 1000000 END
+        UNION ALL SELECT 'price_ticks', count(*) FROM compact
+        UNION ALL SELECT 'quote_state', count(*) FROM (SELECT DISTINCT symbol, source FROM ticks)""",
+    ).replace(")\n, compact AS", "),\ncompact AS"),
+)
 def _(spark, d):
     """Row counts of all tables the streaming job writes."""
     writer = run_stream(spark, d)
@@ -256,7 +318,14 @@ def _(spark, d):
     return done.withColumn("handled_at", time_text("handled_at"))
 
 
-@query("snk_07_result_store")
+@query(
+    "snk_07_result_store",
+    with_ctes(
+        ["ticks", "metrics"],
+        """SELECT 'current_predictions' AS table_name, count(DISTINCT symbol) AS row_count FROM ticks
+        UNION ALL SELECT 'current_metrics', count(*) FROM metrics UNION ALL SELECT 'prediction_history', 2*count(DISTINCT symbol) FROM ticks""",
+    ),
+)
 def _(spark, d):
     """Two runs written; the second without metrics keeps the first run's metrics current."""
     now = fx.as_of(spark, d)
@@ -292,7 +361,14 @@ def _(spark, d):
     return tables.history_csv(dash.history(m, minutes=1440, limit=5000))
 
 
-@query("snk_09_csv_report")
+@query(
+    "snk_09_csv_report",
+    with_ctes(
+        ["bars_raw"],
+        f"""SELECT CAST(COLUMNS(*) AS VARCHAR) FROM (SELECT count(*) AS input_rows, count(*) FILTER (NOT ({ANY_FAULT})) AS output_rows,
+        count(*) FILTER ({ANY_FAULT}) AS dropped_rows, {', '.join(f'count(*) FILTER ({v}) AS invalid_{k}_rows' for k, v in FAULT_SQL.items())}, 0 AS duplicate_rows FROM bars_raw)""",
+    ),
+)
 def _(spark, d):
     """The cleaning report written as CSV and read back."""
     path = scratch_path(spark, "report")

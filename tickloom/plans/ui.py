@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tickloom.functions.numeric import stable_round
 from tickloom.operators import dashboard as dash, ui_metrics as ui
 from tickloom.plans import fixtures as fx
-from tickloom.plans.dashboards import HEALTH_SOURCE, marked_sql, market
+from tickloom.plans.dashboards import HEALTH_SOURCE, marked_sql, market, section_sql
 from tickloom.plans.oracle import cte, rnd, with_ctes
 from tickloom.plans.registry import query
 
@@ -118,7 +118,16 @@ def _(spark, d):
     return ui.signal_counts(dash.signal_distribution(market(spark, d, "predictions")))
 
 
-@query("uia_07_symbol_picker")
+PICKED = " UNION ALL ".join(
+    f"SELECT symbol, company_name, '{name}' AS stock_source, {rank} AS rank FROM ({section_sql(name)})" for name, rank in ui.LIST_RANKS.items()
+)
+
+
+@query(
+    "uia_07_symbol_picker",
+    f"""SELECT symbol, company_name, stock_source, rank+20 AS score FROM ({PICKED})
+    QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY rank DESC)=1 ORDER BY score DESC, symbol LIMIT 100""",
+)
 def _(spark, d):
     m = market(spark, d, "alerts", "predictions")
     return ui.symbol_picker(

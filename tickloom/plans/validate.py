@@ -272,7 +272,21 @@ def _(spark, d):
     return rows.select("symbol", "source", "event_id", "last_price")
 
 
-@query("val_12_vendor_payloads")
+def _sent(c: str) -> str:
+    """A price as it comes back: one vendor sends cents, which are read as such from 100000 up."""
+    return f"CASE WHEN id%3=0 AND round({c}*100)<100000 THEN round({c}*100) ELSE {c} END AS {c}"
+
+
+@query(
+    "val_12_vendor_payloads",
+    with_ctes(
+        ["ticks_raw"],
+        f"""SELECT id, symbol, market, company_name, category, sector, source, open_price, high_price, low_price, last_price, previous_close, volume,
+        {pct('last_price', 'previous_close')} AS change_pct, {rnd('last_price*volume', 2)} AS turnover FROM (
+        SELECT id, symbol, market, company_name, category, sector, CASE id%3 WHEN 0 THEN 'eastmoney' WHEN 1 THEN 'sina' ELSE 'tencent' END AS source,
+        {', '.join(map(_sent, ('open_price', 'high_price', 'low_price', 'last_price', 'previous_close')))}, volume FROM ticks_raw)""",
+    ),
+)
 def _(spark, d):
     """Vendor payload strings of three formats, built from the ticks and parsed back."""
     from tickloom.sources.captures import parse_vendor_payloads, vendor_payloads
@@ -296,7 +310,15 @@ def vendor_daily(spark, d) -> DataFrame:
     )
 
 
-@query("val_14_vendor_daily_rows")
+@query(
+    "val_14_vendor_daily_rows",
+    with_ctes(
+        ["bars_raw"],
+        """SELECT 'cold-akshare-'||symbol||'-'||strftime(trade_date,'%Y%m%d') AS event_id, close AS last_price, close AS previous_close, 0.0::DOUBLE AS change_pct,
+        volume, turnover, strftime(trade_date,'%Y-%m-%d')||' 15:00:00' AS event_time
+        FROM (SELECT *, CASE WHEN (k+dayofyear(trade_date))%53=0 THEN 0.0::DOUBLE ELSE last_price END AS close FROM bars_raw)""",
+    ),
+)
 def _(spark, d):
     bars = cleaning.normalise_daily(vendor_daily(spark, d))
     return bars.select("event_id", "last_price", "previous_close", "change_pct", "volume", "turnover", time_text("event_time").alias("event_time"))

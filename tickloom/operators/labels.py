@@ -10,7 +10,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tickloom.functions.decision import DOWN, FLAT, LABELS, UP
@@ -28,7 +28,9 @@ FOLDS = 3
 FIRST_TRAIN_SHARE = 0.5
 FOLD_SHARE = 0.1
 THRESHOLDS = [0.003, 0.005, 0.01, 0.015, 0.02]
-CATEGORIES = ["symbol", "category", "sector"]
+CATEGORIES = ["category", "sector"]
+# Slots that symbols are hashed into, so that the width of a row does not grow with the catalogue.
+SYMBOL_SLOTS = 256
 
 
 def with_future(df: DataFrame, horizon: int) -> DataFrame:
@@ -212,7 +214,8 @@ def scale_sequences(df: DataFrame, scaler: DataFrame) -> DataFrame:
 
 
 def category_encoder(df: DataFrame):
-    """LAB-12: one-hot encoder of the category columns, fitted once on all rows; unseen values are kept apart."""
+    """LAB-12: one-hot encoder of category and sector, fitted once on all rows, with unseen values kept apart;
+    symbols are hashed into a fixed number of slots, so neither the row nor the driver grows with them."""
     index = StringIndexer(
         inputCols=CATEGORIES,
         outputCols=[f"{c}_index" for c in CATEGORIES],
@@ -225,7 +228,8 @@ def category_encoder(df: DataFrame):
         dropLast=False,
         handleInvalid="keep",
     )
-    return Pipeline(stages=[index, hot]).fit(df.select(*CATEGORIES))
+    hashed = FeatureHasher(inputCols=["symbol"], outputCol="symbol_hot", numFeatures=SYMBOL_SLOTS)
+    return Pipeline(stages=[index, hot, hashed]).fit(df.select("symbol", *CATEGORIES))
 
 
 def class_weights(df: DataFrame, risk: bool = True, label: str = "next_direction") -> DataFrame:

@@ -161,9 +161,9 @@ class TrainedModel:
 
 
 def _assemble(df: DataFrame, encoder: PipelineModel, features: list[str]) -> DataFrame:
-    inputs = [*features, *[f"{c}_hot" for c in CATEGORIES]]
+    inputs = [*features, *[f"{c}_hot" for c in ["symbol", *CATEGORIES]]]
     coded = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep").transform(encoder.transform(df))
-    return coded.drop(*[f"{c}_index" for c in CATEGORIES], *[f"{c}_hot" for c in CATEGORIES])
+    return coded.drop(*[f"{c}_index" for c in CATEGORIES], *[f"{c}_hot" for c in ["symbol", *CATEGORIES]])
 
 
 def _weighted(df: DataFrame, risk: bool) -> DataFrame:

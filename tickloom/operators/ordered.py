@@ -36,9 +36,10 @@ def computed_once(df: DataFrame) -> DataFrame:
 
 
 def latest_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Newest whole row per key (DSH-0): one partial aggregation, no sort.
+    """Newest whole row per key (DSH-0), reduced to one row per key and task before the shuffle.
 
-    The order columns must end in a unique one, so that ties cannot flip.
+    The order columns must end in a unique one, so that ties cannot flip. The aggregation buffer is a whole row, which
+    Spark aggregates after a sort by the keys on either side of the exchange; no key's rows ever meet in one task.
     """
     rest = [c for c in df.columns if c not in keys]
     best = F.max_by(F.struct(*rest), F.struct(*order)).alias("__row")

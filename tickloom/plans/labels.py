@@ -236,9 +236,9 @@ def _(spark, d):
     """Category vocabulary sizes of the encoder fitted on the whole data set."""
     rows = dataset(spark, d)
     model = lb.category_encoder(rows)
-    coded = model.transform(rows.select(*lb.CATEGORIES))
+    coded = model.transform(rows.select("symbol", *lb.CATEGORIES))
     return coded.groupBy("sector_index").agg(
-        F.min("sector").alias("sector"), F.count(F.lit(1)).alias("rows"), F.count_distinct("symbol_index").alias("symbols")
+        F.min("sector").alias("sector"), F.count(F.lit(1)).alias("rows"), F.count_distinct("symbol").alias("symbols")
     )
 
 

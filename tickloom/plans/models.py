@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from tickloom.functions import decision as dc
 from tickloom.functions.numeric import stable_round
-from tickloom.operators import features as fe, labels as lb, models as md
+from tickloom.operators import daily, features as fe, labels as lb, models as md
 from tickloom.plans import fixtures as fx
 from tickloom.plans.features import full_frame
 from tickloom.plans.labels import DAY, dataset, day
@@ -16,6 +17,7 @@ from tickloom.plans.model_sql import WEIGHTS_SQL
 from tickloom.plans.oracle import confidence, cte, rnd, with_ctes
 from tickloom.plans.registry import query
 from tickloom.session import scratch_path
+from tickloom.sources import tables
 
 RAW_SCORES = {"down": "(k*29+{d}*13)%97", "up": "(k*17+{d}*7)%89", "flat": "(k*11+{d}*5)%83"}
 
@@ -362,3 +364,22 @@ def _(spark, d):
     vectors.unpersist()
     rows = [(k, v) for k, v in metrics.items()]
     return spark.createDataFrame(rows, "metric_name string, metric_value double")
+
+
+@query("day_01_daily_run")
+def _(spark, d):
+    """The daily job with small members: its gate, its metrics and its predictions, one row each."""
+    now = fx.as_of(spark, d)
+    models, results = md.ModelStore(scratch_path(spark, "models")), tables.ResultStore(scratch_path(spark, "results"))
+    run = daily.run_daily(
+        fx.bars_raw(spark, d), fx.index_raw(spark, d), full_frame(spark, d), [SMALL["lightgbm"], SMALL["lstm"]], models, results, now, "daily-check",
+        allow_stale=True, allow_failed_gate=True, with_folds=False, history=fx.prediction_history(spark, d),
+    )
+    stored = results.current(spark, "metrics")
+    parts = [
+        run.gate.select(F.lit("gate").alias("kind"), F.col("model_version").alias("name"), F.col("passed").alias("value")),
+        stored.select(F.lit("metric"), F.concat_ws(".", "model_name", "metric_name"), "metric_value"),
+        results.current(spark, "predictions").select(F.lit("prediction"), "symbol", "predicted_next_price"),
+        run.drift.select(F.lit("drift"), F.lit("accuracy"), "accuracy"),
+    ]
+    return reduce(DataFrame.union, parts)

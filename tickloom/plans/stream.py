@@ -548,3 +548,22 @@ def _(spark, d):
 )
 def _(spark, d):
     return jobs.minute_window(fx.ticks(spark, d))
+
+
+@query(
+    "str_15_minute_window_stream",
+    with_ctes(
+        ["ticks"],
+        f"""SELECT strftime(event_time,'%Y-%m-%d %H:%M:00') AS window_bucket, count(*) AS quotes, {rnd('avg(last_price)', 2)} AS avg_price,
+        CAST(sum(volume) AS BIGINT) AS total_volume, {money('turnover')} AS total_turnover FROM ticks
+        GROUP BY 1 HAVING date_trunc('minute', max(event_time)) + INTERVAL 1 MINUTE <= (SELECT max(event_time) FROM ticks) - INTERVAL 10 MINUTE""",
+    ),
+)
+def _(spark, d):
+    """The same as a stream: minutes come out once the watermark has passed them."""
+    schema, out = fx.table(spark, d, "events").schema, scratch_path(spark, "minutes")
+    raw = fx.ticks_from_events(jobs.file_source(spark, d, schema, "events.parquet"))
+    minutes = jobs.minute_window(raw.where(passes_stream_filter())).writeStream.outputMode("append").format("parquet")
+    job = minutes.option("path", out).option("checkpointLocation", scratch_path(spark, "checkpoint")).trigger(availableNow=True).start()
+    job.awaitTermination()
+    return spark.read.parquet(out)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tickloom.functions.numeric import clip, finite, flag, ratio, stable_round
 from tickloom.operators.cleaning import clean_bars, collapse_repeats, select_training_sources
-from tickloom.operators.ordered import latest_by, with_percent_rank, with_position, with_segments
+from tickloom.operators.ordered import latest_by, with_position, with_segments
 from tickloom.session import materialize
 
 SEGMENT_ROWS = 2048
@@ -335,20 +335,29 @@ def market_table(rows: DataFrame) -> DataFrame:
     )
 
 
+RANKED_SPANS = (5, 10, 20)
+
+
+def with_sector_ranks(rows: DataFrame) -> DataFrame:
+    """FEA-10: percentile rank of momentum 5 / 10 / 20 within (sector, time), equal values sharing the mean rank.
+
+    A group has one row per symbol of the sector, so all windows run over one exchange by (sector, time).
+    """
+    group = ["sector", "event_time"]
+    whole = W.partitionBy(*group)
+
+    def rank(value: str) -> Column:
+        first = F.rank().over(whole.orderBy(F.col(value).asc_nulls_last()))
+        ties = F.count(F.lit(1)).over(W.partitionBy(*group, value))
+        mean = (first + (ties - 1) / 2) / F.count(value).over(whole)
+        return F.when(F.col(value).isNotNull(), mean - 0.5).otherwise(0.0)
+
+    return rows.withColumns({f"sector_return_rank_{n}": rank(f"momentum_{n}") for n in RANKED_SPANS})
+
+
 def sector_ranks(rows: DataFrame) -> DataFrame:
-    """FEA-10: percentile rank of momentum 5 / 10 / 20 within (sector, time), per (symbol, time)."""
-    spans = F.explode(
-        F.array(*[F.struct(F.lit(n).alias("span"), F.col(f"momentum_{n}").alias("value")) for n in (5, 10, 20)])
-    )
-    long = rows.select("symbol", "event_time", "sector", spans.alias("m")).select(
-        "symbol", "event_time", "sector", "m.span", "m.value"
-    )
-    ranges = F.floor(clip(F.col("value"), -5, 5) * 100)
-    ranked = with_percent_rank(long, ["sector", "event_time", "span"], "value", ranges, "rank")
-    pick = lambda n: F.max(F.when(F.col("span") == n, F.col("rank"))) - 0.5
-    return ranked.groupBy("symbol", "event_time").agg(
-        *[F.coalesce(pick(n), F.lit(0.0)).alias(f"sector_return_rank_{n}") for n in (5, 10, 20)]
-    )
+    """FEA-10: only the ranks, per (symbol, time)."""
+    return with_sector_ranks(rows).select("symbol", "event_time", *[f"sector_return_rank_{n}" for n in RANKED_SPANS])
 
 
 def cross_section(df: DataFrame, ranks: bool = True) -> DataFrame:
@@ -358,7 +367,8 @@ def cross_section(df: DataFrame, ranks: bool = True) -> DataFrame:
     rows in one join on their unique key.
     """
     narrow = df.select("symbol", "event_time", "sector", "market", *CROSS_INPUTS)
-    joined = narrow.join(sector_table(narrow), ["sector", "event_time"]).join(
+    rows = with_sector_ranks(narrow) if ranks else narrow
+    joined = rows.join(sector_table(narrow), ["sector", "event_time"]).join(
         market_table(narrow), ["market", "event_time"]
     )
     col = F.col
@@ -374,8 +384,6 @@ def cross_section(df: DataFrame, ranks: bool = True) -> DataFrame:
         **{f"sector_relative_return_{n}": col(own[n]) - col(mean[n]) for n in own},
     }
     result = joined.withColumns(made).drop("sector", "market", "sector_mean_change", "market_mean_change", *CROSS_INPUTS)
-    if ranks:
-        result = result.join(sector_ranks(narrow), ["symbol", "event_time"])
     return df.join(result, ["symbol", "event_time"])
 
 

@@ -439,6 +439,11 @@ def stock_detail(m: Market, symbol: str) -> DataFrame:
     )
 
 
+def stock_bundle(m: Market, symbol: str) -> dict[str, DataFrame]:
+    """DSH-13: a symbol's newest state with its trend of 30 minutes and its ten newest alerts."""
+    return {"stock": stock_detail(m, symbol), "recent_trend": stock_trend(m, symbol, 30), "recent_alerts": search_alerts(m, symbol, limit=10)}
+
+
 def stock_trend(m: Market, symbol: str, minutes: int = 30, limit: int = 300) -> DataFrame:
     """DSH-14: a symbol's newest ticks in the window, oldest first."""
     rows = m.since(m.ticks.where(F.col("symbol") == upper_text(symbol)), minutes=bounded(minutes, 30))
@@ -583,9 +588,9 @@ def search_alerts(
 
 
 def alert_trend(m: Market, hours: int = 24) -> DataFrame:
-    """DSH-17: alerts per hour and level over the last 1 to 168 hours."""
+    """DSH-17: alerts per hour and level over the last hours, one at least."""
     return (
-        m.since(m.alerts, hours=min(max(hours, 1), 168))
+        m.since(m.alerts, hours=max(hours, 1))
         .groupBy(F.date_format("created_at", "yyyy-MM-dd HH:00:00").alias("hour_bucket"), "alert_level")
         .agg(F.count(F.lit(1)).alias("alert_count"))
         .orderBy("hour_bucket", "alert_level")

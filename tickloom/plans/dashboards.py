@@ -285,6 +285,20 @@ def _(spark, d):
     return dash.stock_detail(m, newest_symbol(m)).unionByName(dash.stock_detail(m, "no such code"))
 
 
+@query(
+    "dsh_13_stock_bundle",
+    with_ctes(
+        ["ticks", "clock", "alert_rows"],
+        f"""SELECT 'stock' AS section, 1 AS row_count UNION ALL
+        SELECT 'recent_trend', least(300, count(*)) FROM ticks, clock WHERE symbol={NEWEST} AND created_at >= now - INTERVAL 30 MINUTE UNION ALL
+        SELECT 'recent_alerts', least(10, count(*)) FROM alert_rows WHERE symbol={NEWEST}""",
+    ),
+)
+def _(spark, d):
+    m = market(spark, d, "alerts", "actions", "predictions")
+    return dash.reconciliation(dash.stock_bundle(m, newest_symbol(m))).withColumnRenamed("table_name", "section")
+
+
 @query(
     "dsh_14_stock_trend",
     with_ctes(
@@ -345,7 +359,7 @@ def _(spark, d):
     with_ctes(
         ["alerts", "clock"],
         """SELECT strftime(created_at,'%Y-%m-%d %H:00:00') AS hour_bucket, alert_level, count(*) AS alert_count FROM alerts, clock
-        WHERE created_at >= now - INTERVAL 168 HOUR GROUP BY 1, 2""",
+        WHERE created_at >= now - INTERVAL 1000 HOUR GROUP BY 1, 2""",
     ),
 )
 def _(spark, d):

@@ -25,7 +25,7 @@ from tickloom.llm.common import map_batches, strings
 WINDOW = 48
 REMEMBERED = 1 << 18
 TOXIC_BYTES, ORDINARY_BYTES = 4096, 16384
-#: Windows that the driver trains the dictionaries on, and labelled texts that the fit uses at most.
+#: Windows that the driver trains the dictionaries on at most, and labelled texts that the fit uses, about.
 TOXIC_WINDOWS, ORDINARY_WINDOWS, FIT_ROWS = 8192, 20_000, 20_000
 #: Standard deviations by which a window must exceed its expected number of contexts in toxic text.
 STANDS_OUT = 6.0
@@ -168,12 +168,23 @@ def window_contexts(labelled: DataFrame, text: str, toxic: str) -> DataFrame:
     return merged.select("window", contexts("toxic").alias("in_toxic"), contexts("ordinary").alias("in_ordinary"), "n_ordinary", "n_toxic")
 
 
+def _least_value(counts: list, most: int) -> float:
+    """The smallest value such that no more than `most` rows have it or a larger one; there are few distinct values."""
+    least, rows = float("inf"), 0
+    for value, n in sorted(counts, reverse=True):
+        rows += n
+        if rows > most:
+            break
+        least = value
+    return least
+
+
 def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", toxic: str = "toxic") -> ToxicityModel:
     """Dictionaries and fit from labelled rows (`toxic` 0 or 1; other values and null are left out).
 
-    Window counts cover all labelled rows; the dictionaries are trained on the TOXIC_WINDOWS windows that stand
-    out most and the ORDINARY_WINDOWS most frequent ordinary ones; the logistic fit uses FIT_ROWS labelled rows,
-    those with the smallest hash of their key. Without rows of both labels every score is 0.
+    Window counts cover all labelled rows; the dictionaries are trained on at most TOXIC_WINDOWS windows that stand
+    out most and on ordinary ones that make up at least one in ORDINARY_WINDOWS of all; the logistic fit uses about
+    FIT_ROWS labelled rows, chosen by a hash of their key. Without rows of both labels every score is 0.
     """
     rows = labelled.where(F.col(toxic).isin(0, 1))
     share = rows.agg(F.sum(toxic).alias("toxic"), F.count("*").alias("n")).first()
@@ -183,8 +194,11 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", toxic: s
     sums = contexts.agg(F.sum("n_toxic").alias("t"), F.sum("n_ordinary").alias("o")).first()
     expected = (F.col("in_toxic") + F.col("in_ordinary")) * (sums["t"] / ((sums["t"] + sums["o"]) or 1.0))
     stands_out = (F.length("window") >= 3) & (F.col("in_toxic") > F.col("in_ordinary")) & (F.col("in_toxic") - expected > STANDS_OUT * F.sqrt(expected))
-    worst = contexts.where(stands_out).orderBy(F.desc("in_toxic"), "window").limit(TOXIC_WINDOWS).collect()
-    usual = contexts.where("n_ordinary > 0").orderBy(F.desc("n_ordinary"), "window").limit(ORDINARY_WINDOWS).collect()
+    found = contexts.where(stands_out)
+    least = _least_value(found.groupBy("in_toxic").count().collect(), TOXIC_WINDOWS)
+    worst = sorted(found.where(F.col("in_toxic") >= least).collect(), key=lambda r: r["window"])
+    # No more windows than this number can have such a share of all occurrences.
+    usual = sorted(contexts.where(F.col("n_ordinary") * ORDINARY_WINDOWS >= sums["o"]).collect(), key=lambda r: r["window"])
     contexts.unpersist()
     toxic_samples = _samples({r["window"]: min(int(r["in_toxic"]), 50) for r in worst})
     usual_samples = _samples({r["window"]: min(r["n_ordinary"], 4) for r in usual})
@@ -197,8 +211,9 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", toxic: s
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["y", "x"])
 
     sample = rows.select(F.col(toxic).cast("int").alias("y"), F.col(text).cast("string").alias("text"), F.xxhash64(key).alias("h"))
-    least = rows.select(F.xxhash64(key).alias("h")).orderBy("h").limit(FIT_ROWS).agg(F.max("h")).first()[0]
-    got = map_batches(sample.where(F.col("h") <= least).select("y", "text"), measure, "y int, x array<double>").collect()
+    part = 1.0 if share["n"] <= FIT_ROWS else FIT_ROWS / share["n"]
+    chosen = F.pmod("h", F.lit(1 << 30)) < int(part * (1 << 30))
+    got = map_batches(sample.where(chosen).select("y", "text"), measure, "y int, x array<double>").collect()
     x, y = np.array([r["x"] for r in got]), np.array([r["y"] for r in got], float)
     order = np.lexsort((*x.T, y))
     model.fit(x[order], y[order])

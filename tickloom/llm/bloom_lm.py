@@ -13,14 +13,14 @@ pairs are rounded down and those of contexts up, so that quantising never makes
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.llm.common import map_batches, ship_package, strings
+from tickloom.llm.common import by_bytes, map_batches, ship_package, strings
 from tickloom.llm.shingles import mix, token_hashes
 from tickloom.session import materialize
 
@@ -31,7 +31,7 @@ END, START = _U(0x1B873593CC9E2D51), _U(0x38495AB5E6546B64)
 #: Ratio of neighbouring levels; bits of the filter for each (n-gram, level) and how many of them it sets, in one block.
 GROWTH, BITS, PROBES, BLOCK = 1.3, 10, 6, 512
 #: Occurrences that one segment is built from, n-grams a worker gathers before it sends them, and bytes broadcast at a time.
-SEGMENT, GATHER, FILTER_BYTES = 1 << 20, 1 << 21, 128_000_000
+SEGMENT, GATHER, FILTER_BYTES = 1 << 20, 1 << 20, 128_000_000
 #: Words at least this part of all tokens are broadcast with their counts: there are no more of them than this number.
 FREQUENT = 1 << 18
 #: Words a worker counts before it sends them.
@@ -102,13 +102,17 @@ class BloomFilter:
     blocks: np.ndarray
 
     @classmethod
-    def of(cls, parts: dict[int, bytes], segments: int) -> BloomFilter:
+    def of(cls, sizes: dict[int, int], parts: Iterable[tuple[int, bytes]], segments: int) -> BloomFilter:
+        """From the sizes in bytes and, one after the other, the bits of the segments that are here."""
         blocks = np.zeros(segments, np.int64)
-        for s, part in parts.items():
-            blocks[s] = len(part) * 8 // BLOCK
+        for s, size in sizes.items():
+            blocks[s] = size * 8 // BLOCK
         first = np.cumsum(blocks) - blocks
-        data = b"".join(parts[s] for s in sorted(parts))
-        return cls(np.frombuffer(data, np.uint64), first, blocks)
+        words = np.zeros(int(blocks.sum()) * (BLOCK // 64), np.uint64)
+        for s, bits in parts:
+            at = int(first[s]) * (BLOCK // 64)
+            words[at : at + len(bits) // 8] = np.frombuffer(bits, np.uint64)
+        return cls(words, first, blocks)
 
     def levels(self, grams: np.ndarray) -> np.ndarray:
         """Highest level up to which each n-gram is found; 0 where its segment is not here."""
@@ -213,8 +217,8 @@ def _probed(rows: DataFrame, stored: DataFrame, segments: int) -> DataFrame:
 
     def probe(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = BloomFilter.of(*shared.value)
-            for batch in batches:
+            known = shared.value
+            for batch in (part for whole in batches for part in by_bytes(whole, 1)):
                 hashes = [_with_end(w) for w in token_hashes(batch.column(1))]
                 ends = np.cumsum([len(w) for w in hashes])
                 words = known.levels(np.concatenate(hashes))
@@ -226,9 +230,9 @@ def _probed(rows: DataFrame, stored: DataFrame, segments: int) -> DataFrame:
 
     out = None
     for part in slices:
-        found = stored.where(F.col("segment").between(part[0], part[-1])).select("segment", "bits").collect() if part else []
-        shared = spark.sparkContext.broadcast(({r["segment"]: bytes(r["bits"]) for r in found}, segments))
-        del found
+        found = stored.where(F.col("segment").between(part[0], part[-1])).select("segment", "bits").toLocalIterator() if part else ()
+        here = {s: size for s, size in sizes if part and part[0] <= s <= part[-1]}
+        shared = spark.sparkContext.broadcast(BloomFilter.of(here, ((r["segment"], r["bits"]) for r in found), segments))
         levels = map_batches(rows, probe(shared), "__row bigint, words binary, pairs binary")
         out = levels if out is None else out.union(levels)
     if len(slices) == 1:
@@ -285,13 +289,13 @@ def _scored(weights: np.ndarray, tokens: int, types: int, texts: int):
 
 def _base(rows: DataFrame, counted: DataFrame, tokens: int) -> DataFrame:
     """`__row`, `n_tokens`, `n_known`, `log_sum` (sum of log10(c + 1)): frequent words on the spot, the others by a join on the word."""
-    frequent = {r["word"].encode(): r["n"] for r in counted.where(F.col("n") * FREQUENT >= tokens).collect()}
-    shared = rows.sparkSession.sparkContext.broadcast(frequent)
+    frequent = counted.where(F.col("n") * FREQUENT >= tokens).collect()
+    shared = rows.sparkSession.sparkContext.broadcast({r["word"].encode(): float(np.log10(r["n"] + 1)) for r in frequent})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs = {w: float(np.log10(n + 1)) for w, n in shared.value.items()}
-        for batch in batches:
-            n_tokens, n_known, sums, rest = [], [], [], []
+        logs = shared.value
+        for batch in (part for whole in batches for part in by_bytes(whole, 1)):
+            n_tokens, n_known, sums, rare, times, ends = [], [], [], [], [], [0]
             for text in strings(batch.column(1)):
                 words = text.encode().lower().split()
                 words.append(b"")
@@ -300,8 +304,12 @@ def _base(rows: DataFrame, counted: DataFrame, tokens: int) -> DataFrame:
                 n_tokens.append(n)
                 n_known.append(len(found))
                 sums.append(float(np.sum(found)))
-                rest.append([(w.decode(), k) for w, k in Counter(w for w in words if w not in logs).items()] if len(found) < n else [])
-            lists = pa.array([[{"word": w, "times": k} for w, k in r] for r in rest], pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())])))
+                rest = Counter(w for w in words if w not in logs) if len(found) < n else {}
+                rare += rest.keys()
+                times += rest.values()
+                ends.append(len(rare))
+            pairs = pa.StructArray.from_arrays([pa.array(rare, pa.binary()).cast(pa.string()), pa.array(times, pa.int64())], names=["word", "times"])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(sums, pa.float64()), lists], names=names)
 
     names = ["__row", "n_tokens", "n_known", "log_sum", "rest"]

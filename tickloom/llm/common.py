@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import tickloom
@@ -61,6 +62,16 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def by_bytes(batch: pa.RecordBatch, column: int, limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """The batch in parts whose texts in `column` have about `limit` bytes, and one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    begin = 0
+    while begin < batch.num_rows:
+        end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + limit, "right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def strings(column: pa.Array) -> list[str]:
     """Python strings of a column; null counts as empty."""
     return [x if x is not None else "" for x in column.to_pylist()]

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from tickloom.llm.bpe import count_tokens
+from tickloom.session import materialize
 
 #: Lengths in one piece of the histogram; the sums of pieces are carried over by a window over pieces.
 PIECE = 1024
@@ -67,8 +68,8 @@ def suffix_sums(histogram: DataFrame) -> DataFrame:
 
 
 def token_report(docs: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
-    """`suffix_sums` of the encoded lengths of all rows of `docs`."""
-    return suffix_sums(length_histogram(docs, text, path))
+    """`suffix_sums` of the encoded lengths of all rows of `docs`. The histogram is stored, so texts are encoded once."""
+    return suffix_sums(materialize(length_histogram(docs, text, path), "lengths"))
 
 
 def truncated_totals(report: DataFrame, limits: list[int], spark: SparkSession) -> DataFrame:

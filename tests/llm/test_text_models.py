@@ -45,6 +45,27 @@ def test_toxic_window_saves_bytes(spark):
     assert e[[2, 3]].min() > 2 and e[[0, 1, 4, 5]].max() <= 1
 
 
+def many_labelled(spark, toxic: int, ordinary: int, insulting: int):
+    """Rows of invented words; "scoundrel" is in every toxic row and in a few ordinary ones, "granary" in copies of one toxic row."""
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    words = ["".join(rng.choice(letters, 6)) for _ in range(400)]
+    say = lambda more: " ".join([*rng.choice(words, 8), more, *rng.choice(words, 8)])
+    rows = [(say("scoundrel"), 1) for _ in range(toxic)] + [(say("scoundrel" if k < insulting else "granary"), 0) for k in range(ordinary)]
+    rows += [("the copied granary", 1)] * toxic
+    return spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "doc_id long, text string, toxic int").repartition(4)
+
+
+@pytest.mark.parametrize("times", [1, 30])
+def test_toxic_word_at_the_same_ratio_is_found_at_any_size(spark, times):
+    rows = many_labelled(spark, 50 * times, 400 * times, 10 * times)
+    got = {r["window"]: r for r in toxicity.window_contexts(rows, "text", "toxic").where("window in ('scoundrel', 'granary')").collect()}
+    assert got["scoundrel"]["in_toxic"] == pytest.approx(50 * times, rel=0.3) and got["scoundrel"]["in_ordinary"] == pytest.approx(10 * times, rel=0.3)
+    assert got["granary"]["in_toxic"] == 1 and got["granary"]["in_ordinary"] == pytest.approx(390 * times, rel=0.3)
+    model = toxicity.train(rows)
+    assert model.excess("scoundrel")[0] > 2 and model.excess("granary")[0] <= 1
+
+
 def test_language_on_held_out_documents(spark):
     rows = queries.op8_language(spark, SF)
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")

@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.llm.common import map_batches, strings
 
@@ -27,11 +27,13 @@ REMEMBERED = 1 << 18
 TOXIC_BYTES, ORDINARY_BYTES = 4096, 16384
 #: Windows that the driver trains the dictionaries on at most, and labelled texts that the fit uses, about.
 TOXIC_WINDOWS, ORDINARY_WINDOWS, FIT_ROWS = 8192, 20_000, 20_000
-#: Standard deviations by which a window must exceed its expected number of contexts in toxic text.
-STANDS_OUT = 6.0
+#: Standard deviations by which a window must exceed its expected number of contexts in toxic text, and how many
+#: times as large its share of all contexts there must be as in ordinary text.
+STANDS_OUT, RATIO = 6.0, 2.0
 WORDS = re.compile(rf"[^\W\d_]{{1,{WINDOW}}}")
-#: Distinct contexts of a window are counted by one bit of 64 each, so that copies of one text count once.
-BITS = 64
+#: Distinct contexts of a window are counted by bits, so that copies of one text count once: a context falls into
+#: level k with probability 2^-(k+1) and sets one of its 64 bits. Levels with more than FULL bits are not read.
+BITS, LEVELS, FULL = 64, 40, 48
 
 
 def windows(text: str) -> list[str]:
@@ -131,41 +133,74 @@ class ToxicityModel:
         return round(float(p), 9), int((self.excess(text) > 2).sum()) if x[3] else 0
 
 
+def _context_bit(before: int) -> int:
+    """The bit of a context, the hashes of the two words before a window: its level times BITS, plus a place in it."""
+    x = before * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
+    x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF
+    x ^= x >> 32
+    return 1 << min((x & -x).bit_length() - 1 if x else LEVELS, LEVELS) * BITS + (x >> 58)
+
+
+def _distinct(levels: str, label: str) -> Column:
+    """Estimated number of contexts behind the bits set per level, to about a tenth, whatever their number."""
+    of = f"transform({levels}, v -> struct(v.level as level, v.{label} as bits))"
+    base = f"coalesce(array_max(transform(filter({of}, v -> v.bits > {FULL}), v -> v.level)) + 1, 0)"
+    # The last level takes all that is left; there its bits are read even if they are many.
+    base = f"least({base}, {LEVELS})"
+    read = f"transform(filter({of}, v -> v.level >= {base}), v -> -{BITS} * ln(1 - least(v.bits, {BITS - 1}) / {BITS}))"
+    return F.expr(f"cast(round(pow(2, {base}) * aggregate({read}, 0d, (a, v) -> a + v)) as bigint)")
+
+
 def window_contexts(labelled: DataFrame, text: str, toxic: str) -> DataFrame:
-    """`window`, `in_toxic`, `in_ordinary` (estimated distinct left neighbours), `n_toxic`, `n_ordinary` (occurrences) over all labelled rows."""
+    """`window`, `in_toxic`, `in_ordinary` (estimated distinct pairs of words before it), `n_toxic`, `n_ordinary` (occurrences) over all labelled rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bit: dict[str, int] = {}
+        known: dict[str, int] = {}
         seen: tuple[dict[str, int], dict[str, int]] = ({}, {})
         times: tuple[dict[str, int], dict[str, int]] = ({}, {})
 
         def rows() -> Iterator[pa.RecordBatch]:
-            words = list(seen[0].keys() | seen[1].keys())
-            signed = [pa.array(np.array([s.get(w, 0) for w in words], np.uint64).view(np.int64)) for s in seen]
-            occurrences = [pa.array([x.get(w, 0) for w in words], pa.int64()) for x in times]
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *signed, *occurrences], names=["window", "ordinary", "toxic", "n_ordinary", "n_toxic"])
+            words, levels, bits, occurrences = [], [], ([], []), ([], [])
+            for w in seen[0].keys() | seen[1].keys():
+                both, level = [s.get(w, 0) for s in seen], 0
+                often = [x.get(w, 0) for x in times]
+                while both[0] or both[1]:
+                    if any(part := [b & 0xFFFFFFFFFFFFFFFF for b in both]):
+                        words.append(w)
+                        levels.append(level)
+                        for y in (0, 1):
+                            bits[y].append(part[y])
+                            occurrences[y].append(often[y])
+                        often = [0, 0]
+                    both, level = [b >> BITS for b in both], level + 1
+            signed = [pa.array(np.array(b, np.uint64).view(np.int64)) for b in bits]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.string()), pa.array(levels, pa.int32()), *signed, *(pa.array(x, pa.int64()) for x in occurrences)], names=["window", "level", "ordinary", "toxic", "n_ordinary", "n_toxic"]
+            )
 
         for batch in batches:
             for t, y in zip(strings(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                own, often, before = seen[y], times[y], ""
+                own, often, before = seen[y], times[y], 0
                 for w in windows(t):
-                    if (b := bit.get(before)) is None:
-                        b = bit[before] = 1 << zlib.crc32(before.encode()) % BITS
-                    own[w] = own.get(w, 0) | b
+                    own[w] = own.get(w, 0) | _context_bit(before)
                     often[w] = often.get(w, 0) + 1
-                    before = w
-                if len(bit) + len(seen[0]) + len(seen[1]) > REMEMBERED:
+                    if (h := known.get(w)) is None:
+                        h = known[w] = zlib.crc32(w.encode())
+                    before = (before << 32 | h) & 0xFFFFFFFFFFFFFFFF
+                if len(known) + len(seen[0]) + len(seen[1]) > REMEMBERED:
                     yield from rows()
-                    for x in (bit, *seen, *times):
+                    for x in (known, *seen, *times):
                         x.clear()
         if seen[0] or seen[1]:
             yield from rows()
 
-    found = map_batches(labelled.select(F.col(text).cast("string"), F.col(toxic).cast("int")), count, "window string, ordinary bigint, toxic bigint, n_ordinary bigint, n_toxic bigint")
-    sums = [F.bit_or("ordinary").alias("ordinary"), F.bit_or("toxic").alias("toxic"), F.sum("n_ordinary").alias("n_ordinary"), F.sum("n_toxic").alias("n_toxic")]
-    merged = found.groupBy("window").agg(*sums)
-    contexts = lambda c: -BITS * F.log(1 - F.least(F.bit_count(c), F.lit(BITS - 1)) / BITS)
-    return merged.select("window", contexts("toxic").alias("in_toxic"), contexts("ordinary").alias("in_ordinary"), "n_ordinary", "n_toxic")
+    schema = "window string, level int, ordinary bigint, toxic bigint, n_ordinary bigint, n_toxic bigint"
+    found = map_batches(labelled.select(F.col(text).cast("string"), F.col(toxic).cast("int")), count, schema)
+    sums = [F.sum("n_ordinary").alias("n_ordinary"), F.sum("n_toxic").alias("n_toxic")]
+    merged = found.groupBy("window", "level").agg(F.bit_or("ordinary").alias("ordinary"), F.bit_or("toxic").alias("toxic"), *sums)
+    level = F.struct("level", F.bit_count("ordinary").alias("ordinary"), F.bit_count("toxic").alias("toxic"))
+    whole = merged.groupBy("window").agg(F.array_sort(F.collect_list(level)).alias("levels"), *sums)
+    return whole.select("window", _distinct("levels", "toxic").alias("in_toxic"), _distinct("levels", "ordinary").alias("in_ordinary"), "n_ordinary", "n_toxic")
 
 
 def _least_value(counts: list, most: int) -> float:
@@ -191,17 +226,20 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", toxic: s
     if not share["n"] or not share["toxic"] or share["toxic"] == share["n"]:
         return ToxicityModel(b"", b"")
     contexts = window_contexts(rows, text, toxic).persist()
-    sums = contexts.agg(F.sum("n_toxic").alias("t"), F.sum("n_ordinary").alias("o")).first()
-    expected = (F.col("in_toxic") + F.col("in_ordinary")) * (sums["t"] / ((sums["t"] + sums["o"]) or 1.0))
-    stands_out = (F.length("window") >= 3) & (F.col("in_toxic") > F.col("in_ordinary")) & (F.col("in_toxic") - expected > STANDS_OUT * F.sqrt(expected))
+    sums = contexts.agg(F.sum("in_toxic").alias("t"), F.sum("in_ordinary").alias("o"), F.sum("n_ordinary").alias("n")).first()
+    expected = (F.col("in_toxic") + F.col("in_ordinary")) * (sums["t"] / ((sums["t"] + sums["o"]) or 1))
+    more = F.col("in_toxic") * float(sums["o"] or 0) > F.col("in_ordinary") * (RATIO * (sums["t"] or 0))
+    stands_out = (F.length("window") >= 3) & more & (F.col("in_toxic") - expected > STANDS_OUT * F.sqrt(expected))
     found = contexts.where(stands_out)
     least = _least_value(found.groupBy("in_toxic").count().collect(), TOXIC_WINDOWS)
     worst = sorted(found.where(F.col("in_toxic") >= least).collect(), key=lambda r: r["window"])
     # No more windows than this number can have such a share of all occurrences.
-    usual = sorted(contexts.where(F.col("n_ordinary") * ORDINARY_WINDOWS >= sums["o"]).collect(), key=lambda r: r["window"])
+    usual = sorted(contexts.where(F.col("n_ordinary") * ORDINARY_WINDOWS >= sums["n"]).collect(), key=lambda r: r["window"])
     contexts.unpersist()
     toxic_samples = _samples({r["window"]: min(int(r["in_toxic"]), 50) for r in worst})
-    usual_samples = _samples({r["window"]: min(r["n_ordinary"], 4) for r in usual})
+    # A window that stands out must not be known to the ordinary dictionary too, which would leave it no excess.
+    apart = {r["window"] for r in worst}
+    usual_samples = _samples({r["window"]: min(r["n_ordinary"], 4) for r in usual if r["window"] not in apart})
     model = ToxicityModel(_train(toxic_samples, TOXIC_BYTES) if worst else b"", _train(usual_samples, ORDINARY_BYTES))
     shared = labelled.sparkSession.sparkContext.broadcast(model)
 

@@ -174,6 +174,42 @@ def test_passages_against_all_windows(spark):
     assert want and got == pytest.approx(want)
 
 
+def test_passages_cut_at_an_edge_against_all_windows():
+    rng = np.random.default_rng(11)
+    items = [rng.integers(1, 1 << 62, n).astype(np.uint64) for n in range(15, 60) for _ in range(4)]
+    items += [np.concatenate([items[k][:20], rng.integers(1, 1 << 62, 10).astype(np.uint64)]) for k in range(40, 60)]
+    texts = [" ".join(f"w{x}" for x in w.tolist()) for w in items]
+    held = [weighted(shingles(w)) for w in word_hashes(pa.array(texts))]
+    benchmark = decontamination.Benchmark(list(range(len(texts))), texts)
+    docs = []
+    for text in texts:
+        words = text.split()
+        cut = int(len(words) * 0.2 / 1.8)
+        other = lambda n: [f"o{x}" for x in rng.integers(1, 1 << 62, n).tolist()]
+        docs += [other(30) + words[: len(words) - cut] + other(30), other(30) + words[cut:] + other(30), words[: len(words) - cut] + other(30), other(30) + words[cut // 2 : len(words) - cut + cut // 2] + other(9)]
+    far = 0
+    for words in word_hashes(pa.array([" ".join(d) for d in docs])):
+        want = {}
+        for k, s in enumerate(held):
+            n = len(items[k])
+            if len(np.intersect1d(shingles(words), s[0])):
+                best = max(probability_jaccard(weighted(shingles(words[p : p + n])), s) for p in range(len(words) - n + 1))
+                if best >= 0.8 - 1e-12:
+                    want[k] = best
+        got = benchmark.search(words)
+        assert {x[0]: x[1] for x in got} == pytest.approx(want)
+        far += sum(x[2] > decontamination.RADIUS for x in got)
+    assert far
+
+
+def test_shared_shingles_in_small_parts(monkeypatch):
+    texts = [" ".join(f"w{x}" for x in range(a, a + 20)) for a in (0, 1, 2, 40)]
+    words = next(word_hashes(pa.array([" ".join(f"w{x}" for x in [*range(70), *range(30)])])))
+    whole = decontamination.Benchmark([1, 2, 3, 4], texts).search(words)
+    monkeypatch.setattr(decontamination, "POSTINGS", 3)
+    assert [x[0] for x in whole] == [1, 2, 3, 4] and decontamination.Benchmark([1, 2, 3, 4], texts).search(words) == whole
+
+
 def test_passages_in_odd_rows(spark, monkeypatch):
     items = spark.createDataFrame([(1, PASSAGE, "x"), (2, None, "x"), (3, "", "x"), (4, "oak near", "x"), (None, PASSAGE + " today", "x"), (1, PASSAGE, "x")], "item_id long, text string, doc_id string")
     want = Counter({(1, 1): 2, (1, 4): 1, (2, 1): 2, (2, 4): 1, (3, 1): 2, (3, 4): 1, (1, None): 1, (2, None): 1, (3, None): 1})

@@ -5,7 +5,9 @@ its multiset of five-word shingles; a window can only be similar to an item if e
 shingles occur in the benchmark at all, which running sums tell for every position and size. The
 windows that remain get a 64-bit SimHash of their words. Fingerprints are split into one block more than
 the radius, so two within the radius agree in at least one block: an index per block finds
-every one of them. Candidates are verified by exact weighted-shingle similarity.
+every one of them. A passage cut at an edge may be further away and still be similar, so the items that
+share enough shingles with a remaining window, which similarity implies, are candidates beside them.
+Candidates are verified by exact weighted-shingle similarity.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ BITS = 64
 SLICE_ITEMS, SLICE_BYTES = 50_000, 32_000_000
 #: Bits of the table that tells which shingles may be in the benchmark.
 TABLE_BITS = 22
+#: Pairs of a shingle's place and an item that are looked at together, about.
+POSTINGS = 1 << 21
 
 _U = np.uint64
 
@@ -81,8 +85,53 @@ class HammingIndex:
         return q, found, np.bitwise_count(asked[q] ^ self.prints[found]).astype(int)
 
 
+class ShingleIndex:
+    """Finds the items that hold enough of a window's shingles."""
+
+    def __init__(self, sets: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        values = np.concatenate([s for s, _ in sets])
+        order = np.argsort(values, kind="stable")
+        self.items = np.repeat(np.arange(len(sets)), [len(s) for s, _ in sets])[order]
+        self.known, first = np.unique(values[order], return_index=True)
+        self.bounds = np.append(first, len(values))
+
+    def search(self, own: np.ndarray, starts: np.ndarray, n: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """(position in `starts`, item) of all windows of n shingles of which at least `least` are the item's; `starts` rise."""
+        edges = np.zeros(len(own) + 1, np.int64)
+        np.add.at(edges, starts, 1)
+        np.add.at(edges, starts + n, -1)
+        place = np.flatnonzero(np.cumsum(edges[:-1]) > 0)
+        at = np.minimum(np.searchsorted(self.known, own[place]), len(self.known) - 1)
+        sure = self.known[at] == own[place]
+        place, at = place[sure], at[sure]
+        times = self.bounds[at + 1] - self.bounds[at]
+        sums = np.concatenate([[0], np.cumsum(times)])
+        low, high = np.searchsorted(place, starts, "left"), np.searchsorted(place, starts + n, "left")
+        # Windows with fewer shingles of this size's items than must be shared go first.
+        left = np.flatnonzero(high - low >= least)
+        asked, found, begin = [], [], 0
+        while begin < len(left):
+            end = max(begin + 1, int(np.searchsorted(sums[high[left]], sums[low[left[begin]]] + POSTINGS, "right")))
+            windows, a, b = left[begin:end], low[left[begin]], high[left[end - 1]]
+            many = times[a:b]
+            item = self.items[np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(self.bounds[at[a:b]], many)]
+            where = np.repeat(place[a:b], many)
+            order = np.argsort(item, kind="stable")
+            item, where = item[order], where[order]
+            ids, first, total = np.unique(item, return_index=True, return_counts=True)
+            for i, f, t in zip(ids.tolist(), first.tolist(), total.tolist()):
+                if t >= least:
+                    of = where[f : f + t]
+                    near = windows[np.searchsorted(of, starts[windows] + n, "left") - np.searchsorted(of, starts[windows], "left") >= least]
+                    asked.append(near)
+                    found.append(np.full(len(near), i))
+            begin = end
+        none = np.zeros(0, np.int64)
+        return np.concatenate([none, *asked]), np.concatenate([none, *found])
+
+
 class Benchmark:
-    """Items by size in words, with their shingles, fingerprints and the table of all their shingles."""
+    """Items by size in words, with their shingles, fingerprints, both indexes and the table of all their shingles."""
 
     def __init__(self, ids: list, texts: list[str | None], threshold: float = THRESHOLD) -> None:
         self.threshold = threshold
@@ -95,7 +144,7 @@ class Benchmark:
         for size, items in sorted(by_size.items()):
             sets = [weighted(shingles(w)) for _, w in items]
             prints = np.array([fingerprints(running_bits(w), np.zeros(1, int), size)[0] for _, w in items], np.uint64)
-            self.sizes[size] = ([i for i, _ in items], sets, HammingIndex(prints))
+            self.sizes[size] = ([i for i, _ in items], sets, HammingIndex(prints), ShingleIndex(sets))
             values.setdefault(min(size, SHINGLE), []).extend(s for s, _ in sets)
         self.known = {k: np.unique(np.concatenate(v)) for k, v in values.items()}
         self.table = {}
@@ -124,8 +173,8 @@ class Benchmark:
         best: dict[tuple[int, int], tuple[float, int, int, int]] = {}
         hits = {k: self._hits(words, k) for k in self.known}
         # A document shorter than an item is one window; its shingles are those of its own length.
-        running = None
-        for size, (_, sets, index) in self.sizes.items():
+        running, own = None, {}
+        for size, (_, sets, index, shared) in self.sizes.items():
             window = min(size, len(words))
             k = min(size, SHINGLE)
             hit = hits[k]
@@ -137,7 +186,14 @@ class Benchmark:
                 continue
             if running is None:
                 running = running_bits(words)
-            q, found, distance = index.search(fingerprints(running, enough, window))
+            if k not in own:
+                own[k] = shingles(words, k)
+            prints, least = fingerprints(running, enough, window), self.threshold * n - 1e-9
+            q, found, _ = index.search(prints)
+            asked, more = shared.search(own[k], enough, n, least)
+            both = np.unique(np.concatenate([q * len(sets) + found, asked * len(sets) + more]))
+            q, found = both // len(sets), both % len(sets)
+            distance = np.bitwise_count(prints[q] ^ index.prints[found]).astype(int)
             made: dict[int, tuple[np.ndarray, np.ndarray]] = {}
             for at, item, bits in zip(q.tolist(), found.tolist(), distance.tolist()):
                 start = int(enough[at])

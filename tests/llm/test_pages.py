@@ -105,3 +105,36 @@ def test_general_page_and_host_consensus(spark):
 def test_winners_by_join_or_broadcast(spark, hosts):
     rows = [(1, "http://h.example/1", PAGE, "", "")]
     assert html_extract.extract(pages_of(spark, rows), broadcast_hosts=hosts).first()["text"] == TEXT
+
+
+def main_text(page: str) -> str:
+    parsed = html_extract.parse(page)
+    return html_extract.text_of(parsed, html_extract.best_path(parsed))
+
+
+LONG = "<p>A first paragraph of the article, which is long enough to be its main text.</p>"
+KEPT = [
+    ("<h2 id='Related_work'>Related work</h2>", "Related work"),
+    ("<section id='social-history'><h2>Social history</h2><p>Of the town.</p></section>", "Social history\nOf the town."),
+    ("<section id='comments'><h2>Comments</h2><p>On the law.</p></section>", "Comments\nOn the law."),
+    ("<div class='post-header'><h1>Title</h1></div>", "Title"),
+    ("<div class='header'><h1>Title</h1></div>", "Title"),
+    ("<p class='alert'>Take care.</p>", "Take care."),
+    ("<p>The <span id='form'>form</span> is</p>", "The form is"),
+    ("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be</p>", "Let x=1 be"),
+    ("<p>Let <math><mi>x</mi> be</p><p>More</p>", "Let x be\nMore"),
+    ("<div class='ad'><p>Buy now</p></div><ul class='share'><li>Mail</ul><div id='comments'><p>First!</p></div><p>End</p>", "End"),
+    ("<p>One <svg><text>icon</text></svg> two</p>", "One two"),
+]
+KEPT += [("<p>A <svg><!-- <svg> --><text>icon</text></svg> b</p>" + "<svg>" * 20_000, "A b")]
+KEPT += [(f"<p>One <{tag} class=x>cut</p><p>Two</p><p>Three <{tag}>x</{tag}> four</p>", "One\nTwo\nThree four") for tag in ("svg", "object", "select", "button")]
+
+
+@pytest.mark.parametrize("inside, text", KEPT, ids=range(len(KEPT)))
+def test_article_text_is_kept(inside, text):
+    page = f"<html><body><nav>Site</nav><article>{LONG}{inside}</article><footer>us</footer></body></html>"
+    assert main_text(page) == LONG[3:-4] + "\n" + text
+
+
+def test_ids_of_headings_outside_articles():
+    assert main_text(f"<body><div class=content>{LONG}<h2 id=related>Related</h2><p class=ad>Buy</p></div>") == LONG[3:-4] + "\nRelated"

@@ -12,6 +12,7 @@ import html as entities
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -22,18 +23,27 @@ from tickloom.session import materialize
 
 #: One piece of markup: comment, declaration, or tag (closing mark, name, attributes).
 MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)(?:>|\Z)""", re.S)
-ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+NAMED = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+#: The heading that a container begins with.
+FIRST_HEADING = re.compile(r"(?:\s|<(?:a|span|header|div)\b[^>]*>|</(?:a|span)>){0,50}<(h[1-6])\b[^>]*>(.{0,1000}?)</\1", re.S | re.I)
 CLASS = re.compile(r"""(?<![\w-])class\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORD = re.compile(r"[a-z]+")
+TAG = re.compile(r"<[^>]*>")
+SLUG = re.compile(r"[^\W_]+")
 SPACE = re.compile(r"\s+")
 #: Kinds of elements in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe xmp noframes template svg math object select button datalist".split())
+RAW = frozenset("script style textarea title noscript iframe xmp noframes template svg object select button datalist annotation annotation-xml".split())
+#: Of these, the ones that do not reach beyond their block where they are never closed.
+IN_BLOCK = frozenset("svg object select button datalist annotation annotation-xml".split())
 BLOCKS = frozenset(
     "html body main article section div nav header footer aside form fieldset menu dialog search p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th "
     "caption blockquote pre figure figcaption details summary address hr center legend".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTAINERS = frozenset("html body main article section div td blockquote figure details center nav header footer aside form".split())
+#: Blocks that may be boilerplate as a whole inside an article.
+PARTS = CONTAINERS | frozenset("ul ol dl table".split())
 #: Elements that an opening tag of the same group closes, up to the next container.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 #: What is never part of the main text: by tag, and by a word of the class, id or role.
@@ -65,15 +75,54 @@ class Page:
     blocks: list[tuple[int, str, int, bool]] = field(default_factory=list)
 
 
-def _boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
+def _is_title(name: str, page: str, at: int) -> bool:
+    """Whether an id is only the slug of the heading that its element, whose content begins at `at`, begins with."""
+    found = FIRST_HEADING.match(page, at)
+    return found is not None and SLUG.findall(entities.unescape(TAG.sub("", found[2])).lower()) == SLUG.findall(name.lower())
+
+
+def _boilerplate(tag: str, attributes: str, in_article: bool, page: str, at: int) -> bool:
+    """Whether an element is boilerplate by its tag or by its class, id or role; its content begins at `at` of the page.
+
+    Outside of articles any word of a class, id or role tells. Inside, only whole classes, ids and roles of blocks that
+    hold others do, as words like "form" or "alert" are then mostly about the text. Ids made from titles never tell.
+    """
     if tag in DROP_TAGS or (tag == "header" and not in_article):
         return True
-    if "=" not in attributes or tag in ("body", "html", "article", "main"):
+    if "=" not in attributes or tag in ("body", "html", "article", "main") or in_article and tag not in PARTS:
         return False
-    words = {w for m in ATTRIBUTE.finditer(attributes) for w in WORD.findall((m[1] or m[2] or m[3] or "").lower())}
-    if in_article and tag == "header":
-        words.discard("header")
-    return not words.isdisjoint(DROP_WORDS)
+    for m in NAMED.finditer(attributes):
+        value, kind = (m[2] or m[3] or m[4] or "").lower(), m[1].lower()
+        words = set(value.split() if in_article else WORD.findall(value)) & DROP_WORDS
+        if in_article:
+            words.discard("header")
+        if words and not (kind == "id" and (tag in HEADINGS or _is_title(value, page, at))):
+            return True
+    return False
+
+
+def _ends(tag: str, page: str) -> dict[int, int]:
+    """Where each element of this tag, by the place of its opening tag, ends: behind its closing tag, or at the next block tag where it has none."""
+    closed, cut, opened, waiting = {}, {}, [], []
+    for m in _marks(tag).finditer(page):
+        if not m[2]:
+            continue
+        if m[2].lower() != tag:
+            cut.update(dict.fromkeys(waiting, m.start()))
+            waiting.clear()
+        elif not m[1] and not m[0].endswith("/>"):
+            opened.append(m.start())
+            waiting.append(m.start())
+        elif m[1] and opened:
+            closed[opened.pop()] = m.end()
+    return dict.fromkeys(waiting, len(page)) | cut | closed
+
+
+@cache
+def _marks(tag: str) -> re.Pattern:
+    """Comments, scripts, and the tags of an element and of blocks."""
+    names = "|".join(map(re.escape, [tag, *sorted(BLOCKS)]))
+    return re.compile(rf"<!--.*?(?:-->|\Z)|<script\b.*?(?:</script|\Z)|<(/?)({names})(?=[\s/>]|\Z)[^>]*>?", re.I | re.S)
 
 
 def _step(tag: str, attributes: str) -> str:
@@ -101,6 +150,7 @@ def parse(page: str) -> Page:
             buffer.clear()
         linked = 0
 
+    raw: dict[str, dict[int, int]] = {}
     at, end = 0, len(page)
     while at < end:
         m = MARKUP.search(page, at)
@@ -117,14 +167,19 @@ def parse(page: str) -> Page:
             continue
         tag, closing, attributes = name.lower(), m[1] or m[4], m[3] or m[6] or ""
         if tag in RAW:
-            if tag in ("select", "button", "datalist", "svg", "math", "object", "title"):
+            if tag in ("select", "button", "datalist", "svg", "object", "title"):
                 buffer.append(" ")
             if not closing and not attributes.endswith("/"):
-                close = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, at)
-                at = close.end() if close else end
+                if tag in IN_BLOCK:
+                    if tag not in raw:
+                        raw[tag] = _ends(tag, page)
+                    at = max(at, raw[tag].get(begin, at))
+                else:
+                    close = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, at)
+                    at = close.end() if close else end
         elif tag == "a" and not muted:
             links = 0 if closing else 1
-            if links and "=" in attributes and _boilerplate(tag, attributes, True):
+            if links and "=" in attributes and _boilerplate(tag, attributes, stack[-1][3], page, at):
                 muted, nested = tag, 1
         elif tag == "br":
             buffer.append(" ")
@@ -153,7 +208,7 @@ def parse(page: str) -> Page:
             if tag == "body" and stack[-1][0] == "head":
                 del stack[-1]
             _, container, dropped, in_article = stack[-1]
-            dropped = dropped or _boilerplate(tag, attributes, in_article)
+            dropped = dropped or _boilerplate(tag, attributes, in_article, page, at)
             if tag in CONTAINERS:
                 out.elements.append(Element(tag, f"{out.elements[container].path}>{_step(tag, attributes)}".removeprefix(">"), container, dropped))
                 container = len(out.elements) - 1
@@ -161,7 +216,7 @@ def parse(page: str) -> Page:
         elif tag == muted:
             nested += -1 if closing else 1
             muted = muted if nested else ""
-        elif tag not in VOID and not closing and not muted and "=" in attributes and _boilerplate(tag, attributes, True):
+        elif tag not in VOID and not closing and not muted and "=" in attributes and _boilerplate(tag, attributes, stack[-1][3], page, at):
             muted, nested = tag, 1
     flush()
     return out

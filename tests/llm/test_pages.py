@@ -138,3 +138,13 @@ def test_article_text_is_kept(inside, text):
 
 def test_ids_of_headings_outside_articles():
     assert main_text(f"<body><div class=content>{LONG}<h2 id=related>Related</h2><p class=ad>Buy</p></div>") == LONG[3:-4] + "\nRelated"
+
+
+def test_host_with_two_templates(spark):
+    text = "A paragraph that belongs to the text of the page and says a thing or two about it. "
+    often = "<body><article><h1>Story {0}</h1><p>" + text * 5 + "</p></article></body>"
+    rare = "<body><article><p>Read also: story 1</p></article><div class=guide><h1>Guide {0}</h1><p>" + text * 6 + "</p><p>Its end</p></div></body>"
+    rows = [(k, f"http://h.example/{k}", (rare if k > 7 else often).format(k), "", "") for k in range(10)]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(pages_of(spark, rows)).collect()}
+    for k in range(10):
+        assert got[k] == (f"Guide {k}\n{(text * 6).strip()}\nIts end" if k > 7 else f"Story {k}\n{(text * 5).strip()}")

@@ -2,8 +2,8 @@
 
 A first pass scores the containers of every page and takes the generalised tag-class path of
 its best one as the page's vote. Spark counts the votes per host; a second pass extracts every
-page again from the containers on its host's winning path. A page that has none of them falls
-back on its own best container.
+page again from the containers on its host's winning path. A page that has none of them, or little text
+in them beside its own best container, falls back on that one.
 """
 
 from __future__ import annotations
@@ -56,6 +56,8 @@ DROP_WORDS = frozenset(
 #: Share of a container's score that its parent gets, and the weight of elements that are meant for the main text.
 UPWARD = 0.6
 MEANT = {"article": 1.5, "main": 1.3}
+#: A page whose containers on the winning path have less than this share of its own best score has another template.
+LITTLE = 0.2
 
 
 @dataclass
@@ -222,9 +224,9 @@ def parse(page: str) -> Page:
     return out
 
 
-def best_path(page: Page) -> str | None:
-    """Path of the container with the highest score: its blocks' characters outside links, less those in links,
-    and a falling share of what its descendants have. Ties go to the first. None without any text."""
+def path_scores(page: Page) -> dict[str, float]:
+    """The highest score of each path's containers: their blocks' characters outside links, less those in links,
+    and a falling share of what their descendants have. In page order; paths without any text are left out."""
     for element in page.elements:
         element.score = 0.0
     for container, text, linked, dropped in page.blocks:
@@ -234,8 +236,29 @@ def best_path(page: Page) -> str | None:
                 page.elements[k].score += worth
                 worth *= UPWARD
                 k = page.elements[k].parent
-    found = [e for e in page.elements if not e.dropped and e.score > 0]
-    return max(found, key=lambda e: e.score * MEANT.get(e.tag, 1.0)).path if found else None
+    out: dict[str, float] = {}
+    for e in page.elements:
+        if not e.dropped and e.score > 0:
+            out[e.path] = max(out.get(e.path, 0.0), e.score * MEANT.get(e.tag, 1.0))
+    return out
+
+
+def best_path(page: Page) -> str | None:
+    """Path of the container with the highest score. Ties go to the first. None without any text."""
+    found = path_scores(page)
+    return max(found, key=found.__getitem__) if found else None
+
+
+def text_by(page: Page, path: str | None) -> str:
+    """Text on the host's winning path; on the page's own best one where the page has little or nothing there."""
+    found = path_scores(page)
+    if not found:
+        return (text_of(page, path) if path is not None else None) or ""
+    own = max(found, key=found.__getitem__)
+    # A path may be that of several containers, which are all part of the text.
+    there = sum(e.score * MEANT.get(e.tag, 1.0) for e in page.elements if e.path == path and not e.dropped and e.score > 0)
+    text = text_of(page, path) if path is not None and there >= LITTLE * found[own] else None
+    return text or text_of(page, own) or ""
 
 
 def text_of(page: Page, path: str) -> str | None:
@@ -257,12 +280,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
         for source, path in zip(strings(batch.column(2)), batch.column(3).to_pylist(), strict=True):
-            page = parse(source)
-            text = text_of(page, path) if path is not None else None
-            if not text:
-                own = best_path(page)
-                text = text_of(page, own) if own is not None else ""
-            texts.append(text or "")
+            texts.append(text_by(parse(source), path))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["key", "url", "text"])
 
 

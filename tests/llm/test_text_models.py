@@ -66,6 +66,22 @@ def test_toxic_word_at_the_same_ratio_is_found_at_any_size(spark, times):
     assert model.excess("scoundrel")[0] > 2 and model.excess("granary")[0] <= 1
 
 
+def test_toxic_windows_are_bounded_by_strength_and_rare_labels_are_fitted(spark, monkeypatch):
+    # All insults have the same number of contexts; the bound used to leave out the whole level, so that none was left.
+    insults = ["blackguard", "scoundrel", "rapscallion", "mountebank"]
+    rows = many_labelled(spark, 0, 3000, 3).collect()
+    plain = [r["text"] for r in rows]
+    toxic = [(5000 + 40 * i + k, f"{plain[k].rsplit(' ', 1)[0]} {w} {plain[k + 50]}", 1) for i, w in enumerate(insults) for k in range(40)]
+    monkeypatch.setattr(toxicity, "TOXIC_WINDOWS", 2)
+    # On average one toxic row in 20 of a fit that is not drawn per label.
+    monkeypatch.setattr(toxicity, "FIT_ROWS", 20)
+    model = toxicity.train(spark.createDataFrame([(k, t, 0) for k, t in enumerate(plain)] + toxic, "doc_id long, text string, toxic int").repartition(4))
+    found = [w for w in insults if model.excess(w)[0] > 2]
+    assert len(found) == 2
+    assert model.score(f"you are a {found[0]} and a {found[1]}")[0] > model.score(plain[0])[0] + 0.5
+    assert model.score(plain[0])[0] < 0.2
+
+
 def test_language_on_held_out_documents(spark):
     rows = queries.op8_language(spark, SF)
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")

@@ -27,6 +27,8 @@ REMEMBERED = 1 << 18
 TOXIC_BYTES, ORDINARY_BYTES = 4096, 16384
 #: Windows that the driver trains the dictionaries on at most, and labelled texts that the fit uses, about.
 TOXIC_WINDOWS, ORDINARY_WINDOWS, FIT_ROWS = 8192, 20_000, 20_000
+#: Copies of the strongest toxic window among the samples; others have fewer, by their strength.
+TOXIC_COPIES = 100
 #: Standard deviations by which a window must exceed its expected number of contexts in toxic text, and how many
 #: times as large its share of all contexts there must be as in ordinary text.
 STANDS_OUT, RATIO = 6.0, 2.0
@@ -110,15 +112,18 @@ class ToxicityModel:
         over = [float(np.maximum(e - t, 0).sum()) for t in range(4)]
         return [1.0, *np.log1p(over).tolist(), float(min(e.max(), 8)), float(np.log1p(n)), min(1000 * over[1] / n, 50.0), min(1000 * over[2] / n, 50.0)]
 
-    def fit(self, x: np.ndarray, y: np.ndarray) -> None:
-        """Logistic regression by Newton steps with a small ridge."""
-        self.mean, self.scale = x.mean(0), np.where(x.std(0) > 0, x.std(0), 1.0)
+    def fit(self, x: np.ndarray, y: np.ndarray, times: np.ndarray | None = None) -> None:
+        """Logistic regression by Newton steps with a small ridge; a row counts as often as `times` says."""
+        times = np.ones(len(y)) if times is None else times
+        self.mean = np.average(x, axis=0, weights=times)
+        spread = np.sqrt(np.average((x - self.mean) ** 2, axis=0, weights=times))
+        self.scale = np.where(spread > 0, spread, 1.0)
         self.mean[0], self.scale[0] = 0.0, 1.0
         z, ridge = (x - self.mean) / self.scale, 1e-2
         w = np.zeros(x.shape[1])
         for _ in range(40):
             p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-            step = np.linalg.solve((z.T * (p * (1 - p))) @ z + ridge * np.eye(len(w)), z.T @ (y - p) - ridge * w)
+            step = np.linalg.solve((z.T * (times * p * (1 - p))) @ z + ridge * np.eye(len(w)), z.T @ (times * (y - p)) - ridge * w)
             w += step
             if np.abs(step).max() < 1e-8:
                 break
@@ -203,23 +208,13 @@ def window_contexts(labelled: DataFrame, text: str, toxic: str) -> DataFrame:
     return whole.select("window", _distinct("levels", "toxic").alias("in_toxic"), _distinct("levels", "ordinary").alias("in_ordinary"), "n_ordinary", "n_toxic")
 
 
-def _least_value(counts: list, most: int) -> float:
-    """The smallest value such that no more than `most` rows have it or a larger one; there are few distinct values."""
-    least, rows = float("inf"), 0
-    for value, n in sorted(counts, reverse=True):
-        rows += n
-        if rows > most:
-            break
-        least = value
-    return least
-
-
 def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", toxic: str = "toxic") -> ToxicityModel:
     """Dictionaries and fit from labelled rows (`toxic` 0 or 1; other values and null are left out).
 
-    Window counts cover all labelled rows; the dictionaries are trained on at most TOXIC_WINDOWS windows that stand
-    out most and on ordinary ones that make up at least one in ORDINARY_WINDOWS of all; the logistic fit uses about
-    FIT_ROWS labelled rows, chosen by a hash of their key. Without rows of both labels every score is 0.
+    Window counts cover all labelled rows; the dictionaries are trained on the TOXIC_WINDOWS windows that stand
+    out most, weighted by how far they do, and on ordinary ones that make up at least one in ORDINARY_WINDOWS of all;
+    the logistic fit uses all labelled rows up to about FIT_ROWS, of more about half as many per label, chosen by a hash
+    of their key and weighted back to the labels' shares. Without rows of both labels every score is 0.
     """
     rows = labelled.where(F.col(toxic).isin(0, 1))
     share = rows.agg(F.sum(toxic).alias("toxic"), F.count("*").alias("n")).first()
@@ -231,12 +226,12 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", toxic: s
     more = F.col("in_toxic") * float(sums["o"] or 0) > F.col("in_ordinary") * (RATIO * (sums["t"] or 0))
     stands_out = (F.length("window") >= 3) & more & (F.col("in_toxic") - expected > STANDS_OUT * F.sqrt(expected))
     found = contexts.where(stands_out)
-    least = _least_value(found.groupBy("in_toxic").count().collect(), TOXIC_WINDOWS)
-    worst = sorted(found.where(F.col("in_toxic") >= least).collect(), key=lambda r: r["window"])
+    strength = ((F.col("in_toxic") - expected) / F.sqrt(expected)).alias("strength")
+    worst = found.select("window", strength).orderBy(F.desc("strength"), "window").limit(TOXIC_WINDOWS).collect()
     # No more windows than this number can have such a share of all occurrences.
     usual = sorted(contexts.where(F.col("n_ordinary") * ORDINARY_WINDOWS >= sums["n"]).collect(), key=lambda r: r["window"])
     contexts.unpersist()
-    toxic_samples = _samples({r["window"]: min(int(r["in_toxic"]), 50) for r in worst})
+    toxic_samples = _samples({r["window"]: max(1, round(TOXIC_COPIES * r["strength"] / worst[0]["strength"])) for r in worst})
     # A window that stands out must not be known to the ordinary dictionary too, which would leave it no excess.
     apart = {r["window"] for r in worst}
     usual_samples = _samples({r["window"]: min(r["n_ordinary"], 4) for r in usual if r["window"] not in apart})
@@ -249,12 +244,16 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", toxic: s
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["y", "x"])
 
     sample = rows.select(F.col(toxic).cast("int").alias("y"), F.col(text).cast("string").alias("text"), F.xxhash64(key).alias("h"))
-    part = 1.0 if share["n"] <= FIT_ROWS else FIT_ROWS / share["n"]
-    chosen = F.pmod("h", F.lit(1 << 30)) < int(part * (1 << 30))
+    total = (share["n"] - share["toxic"], share["toxic"])
+    parts = [1.0 if share["n"] <= FIT_ROWS else min(1.0, FIT_ROWS / 2 / n) for n in total]
+    chosen = F.pmod("h", F.lit(1 << 30)) < F.when(F.col("y") == 1, int(parts[1] * (1 << 30))).otherwise(int(parts[0] * (1 << 30)))
     got = map_batches(sample.where(chosen).select("y", "text"), measure, "y int, x array<double>").collect()
     x, y = np.array([r["x"] for r in got]), np.array([r["y"] for r in got], float)
     order = np.lexsort((*x.T, y))
-    model.fit(x[order], y[order])
+    x, y = x[order], y[order]
+    # Each label weighs as many rows as it has, scaled to the number of rows of the fit.
+    times = np.where(y == 1, share["toxic"] / max(y.sum(), 1), (share["n"] - share["toxic"]) / max((1 - y).sum(), 1)) * len(y) / share["n"]
+    model.fit(x, y, times)
     return model
 
 

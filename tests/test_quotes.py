@@ -244,3 +244,11 @@ def test_captured_quotes_take_catalogue_text(spark, tmp_path):
     names = spark.createDataFrame([("AAPL", "Apple", "c", "s", "US")], "symbol string, company_name string, category string, sector string, market string")
     got = {r["symbol"]: r["company_name"] for r in captures.read_captured_quotes(spark, str(tmp_path), names).collect()}
     assert got == {"AAPL": "Apple", "X": "x"}
+
+
+def test_catalogue_of_json_lines(spark, tmp_path):
+    lines = tmp_path / "lines.json"
+    lines.write_text('{"symbol": "600519"}\n{"symbol": "600520"}\n')
+    assert sorted(r["symbol"] for r in tables.read_catalogue(spark, str(lines), ["600000"]).collect()) == ["600519", "600520"]
+    lines.write_text('{"symbol": "600519"}\n{"symbol": ')
+    assert [r["symbol"] for r in tables.read_catalogue(spark, str(lines), ["600000"]).collect()] == ["600000"]

@@ -120,10 +120,9 @@ def catalogue(ticks: DataFrame) -> DataFrame:
     ),
 )
 def _(spark, d):
-    """The catalogue written as a JSON array and read back; a missing folder gives the fallback list."""
+    """The catalogue written as JSON lines and read back; a missing folder gives the fallback list."""
     path = scratch_path(spark, "catalogue")
-    rows = catalogue(fx.ticks(spark, d))
-    rows.agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value")).write.text(path)
+    catalogue(fx.ticks(spark, d)).write.json(path)
     known = tables.read_catalogue(spark, path, ["600000"])
     missing = tables.read_catalogue(spark, path + "-missing", ["600000", "000001"])
     return known.unionByName(missing)

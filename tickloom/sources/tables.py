@@ -58,10 +58,13 @@ def training_rows(
 
 
 def read_catalogue(spark: SparkSession, path: str, fallback: list[str]) -> DataFrame:
-    """SRC-5: the symbol catalogue (a JSON array); a missing or broken file gives the fallback symbols."""
+    """SRC-5: the symbol catalogue (JSON lines or a JSON array); a missing or broken file gives the fallback symbols."""
     try:
-        rows = spark.read.schema(CATALOGUE_SCHEMA).option("mode", "FAILFAST").json(path, multiLine=True)
-        if not rows.where(F.col("symbol").isNotNull()).isEmpty():
+        line = F.trim("value")
+        first = spark.read.text(path).where(line != "").select((line.startswith("{") & line.endswith("}")).alias("whole")).first()
+        rows = spark.read.schema(CATALOGUE_SCHEMA).option("mode", "FAILFAST").json(path, multiLine=not (first and first["whole"]))
+        # All rows are counted, as a broken line may be the last one.
+        if rows.where(F.col("symbol").isNotNull()).count():
             return rows
     except AnalysisException:
         pass

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tickloom.llm import bloom_lm, bpe, decontamination, embedding_dedup, html_extract, language, minhash_dedup, token_counts, toxicity, url_filter
+from tickloom.llm import bloom_lm, bpe, decontamination, embedding_dedup, html_extract, language, merkle, minhash_dedup, token_counts, toxicity, url_filter
 from tickloom.llm.common import fold, table
 from tickloom.llm.models import language_model, toxicity_model
+from tickloom.llm.oracle import MERKLE_SQL
 from tickloom.plans.registry import query
 
 
@@ -66,6 +67,16 @@ def op3_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def tampered() -> Column:
+    """Rows whose id has a CRC-32 that 7 divides; rows without an id are left alone."""
+    return F.col("doc_id").isNotNull() & (fold("doc_id", 7) == 0)
+
+
+@query("op11_merkle_manifest", MERKLE_SQL)
+def op11_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
+    return merkle.document_manifest(table(spark, d, "documents"), tampered())
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, d: str) -> DataFrame:
     return corpus_pipeline.run(spark, d)

@@ -45,3 +45,19 @@ folded AS (
 SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s.other), '')) AS proof_sha256, folded_root, folded_root = root AS verified
 FROM folded
 """
+
+#: Every window of 50 words as text, and the smallest document that holds it.
+REPEATS_SQL = """
+WITH words AS (
+    SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+windows AS (
+    SELECT rid, doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) AS h
+    FROM (SELECT rid, doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM words WHERE len(w) >= 50)),
+least AS (SELECT h, min(doc_id) AS low FROM windows GROUP BY h),
+gone AS (SELECT DISTINCT rid, unnest(range(p, p + 50)) AS i FROM windows JOIN least USING (h) WHERE doc_id > low OR (doc_id IS NULL AND low IS NOT NULL)),
+counted AS (SELECT rid, list(i) AS at FROM gone GROUP BY rid),
+marked AS (SELECT rid, doc_id, len(w) AS n_words, w, coalesce(at, []) AS at FROM words LEFT JOIN counted USING (rid)),
+single AS (SELECT rid, string_agg(word, ' ' ORDER BY i) AS kept FROM (
+    SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM words) ANTI JOIN gone USING (rid, i) GROUP BY rid)
+SELECT doc_id, n_words, len(at) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM marked LEFT JOIN single USING (rid)
+"""

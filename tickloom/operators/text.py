@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions.numeric import any_of, as_col
-from tickloom.operators.ordered import with_position
+from tickloom.operators.ordered import computed_once, with_position
 
 # Entities and markers in crawled text.
 ENTITIES = [("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'")]
@@ -57,7 +58,7 @@ def _feed_items(html: Column, limit: int | None) -> Column:
     return _first(F.filter(parsed, lambda x: x["named"]), limit)
 
 
-def _html_items(html: Column, limit: int | None) -> Column:
+def _html_items(html: Column) -> Column:
     parts = []
     for pattern in HTML_ITEMS:
         links = F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
@@ -75,20 +76,27 @@ def _html_items(html: Column, limit: int | None) -> Column:
                 ),
             )
         )
-    found = F.filter(F.concat(*parts), lambda x: x["title"] != "")
-    first = F.filter(
-        found, lambda x, i: F.array_position(F.transform(found, lambda y: y["title"]), x["title"]) == i + 1
-    )
-    return _first(first, limit)
+    return F.filter(F.concat(*parts), lambda x: x["title"] != "")
+
+
+def _by_title(links: Column) -> Column:
+    """Links with their place, sorted by title and place: one repeats a title if its neighbour has it."""
+    return F.array_sort(F.transform(links, lambda x, i: F.struct(x["title"].alias("by"), i.alias("i"), x.alias("item"))))
 
 
 def page_items(pages: DataFrame, limit: int | None = None) -> DataFrame:
     """TXT-1: news items of each page: feed items, or else result-page links; with `limit` the first ones only.
 
-    Everything happens inside the page's row; nothing is shuffled.
+    Everything happens inside the page's row; nothing is shuffled. Of links with the same title the first one stays.
     """
-    staged = pages.withColumn("__feed", _feed_items(F.col("html"), limit))
-    items = F.when(F.size("__feed") > 0, F.col("__feed")).otherwise(_html_items(F.col("html"), limit))
+    feed = computed_once(pages.select("page_id", "html", _feed_items(F.col("html"), limit).alias("__feed")))
+    links = F.when(F.size("__feed") > 0, F.array().cast(feed.schema["__feed"].dataType)).otherwise(_html_items(F.col("html")))
+    staged = computed_once(feed.select("page_id", "__feed", links.alias("__links")))
+    staged = computed_once(staged.select("page_id", "__feed", _by_title(F.col("__links")).alias("__sorted")))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.transform("__sorted", lambda x: x["by"]))
+    fresh = F.zip_with("__sorted", F.slice(before, 1, F.size("__sorted")), lambda x, title: F.when(x["by"].eqNullSafe(title), None).otherwise(x))
+    placed = F.array_sort(F.transform(F.filter(fresh, lambda x: x.isNotNull()), lambda x: F.struct(x["i"].alias("i"), x["item"].alias("item"))))
+    items = F.when(F.size("__feed") > 0, F.col("__feed")).otherwise(_first(F.transform(placed, lambda x: x["item"]), limit))
     source = F.when(F.size("__feed") > 0, "feed").otherwise("html")
     return staged.select("page_id", source.alias("source"), F.posexplode(items).alias("place", "item")).select(
         "page_id", "source", "place", "item.title", "item.link", "item.published_at", "item.summary"
@@ -134,63 +142,99 @@ def mention_text(c: Column | str) -> Column:
     return reduce(lambda t, word: F.replace(t, F.lit(word), F.lit("")), IGNORED, text)
 
 
-def _pieces(text: Column, size: int) -> Column:
-    """Distinct substrings of one length."""
-    last = F.length(text) - size + 1
-    starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.substr(text, i, F.lit(size))))
+#: Lookup entries that go to the tasks with the plan; a larger catalogue is joined.
+LOOKUP_ENTRIES = 200_000
+
+
+def _characters(text: Column) -> Column:
+    return F.split(text, "")
+
+
+def _pairs(chars: Column) -> Column:
+    """Distinct neighbours of a character array, as strings of two."""
+    n = F.greatest(F.size(chars) - 1, F.lit(0))
+    return F.array_distinct(F.zip_with(F.slice(chars, 1, n), F.slice(chars, 2, n), lambda x, y: F.concat(x, y)))
+
+
+def _runs(chars: Column, size: int) -> Column:
+    """Distinct strings of `size` neighbours."""
+    n = F.greatest(F.size(chars) - size + 1, F.lit(0))
+    return F.array_distinct(F.transform(F.slice(chars, 1, n), lambda c, i: F.concat(c, *[F.get(chars, i + k) for k in range(1, size)])))
 
 
-def mentioned_symbol(questions: DataFrame, stocks: DataFrame) -> DataFrame:
+def _catalogue(stocks: DataFrame) -> tuple[DataFrame, int]:
+    """What names a stock: `kind`, `key`, `code`, `priority`, `symbol`, the best stock of each; and the length of code keys.
+
+    `code`: a code, or a name of common pairs only, under its first characters (as many as the shortest of them has); `half`: a
+    pair of characters of a name; `whole`: what only a whole question can be, a single character of a name or a part of it of common pairs.
+    """
+    known = stocks.where(F.length(F.trim("symbol")) > 0).select(F.upper(F.trim("symbol")).alias("symbol"), "priority", mention_text("symbol").alias("__code"), mention_text("company_name").alias("__name"))
+    named = computed_once(known.where(F.length("__name") >= 2).withColumn("__chars", _characters(F.col("__name"))))
+    common = F.array(*map(F.lit, COMMON_PIECES))
+    plain = named.where(F.forall(_pairs(F.col("__chars")), lambda pair: F.array_contains(common, pair)))
+    codes = known.where("__code <> ''").select("__code", "priority", "symbol").union(plain.select("__name", "priority", "symbol"))
+    size = codes.agg(F.min(F.length("__code"))).first()[0] or 1
+    chains = F.flatten(F.transform("__chars", lambda _, i: F.transform(F.sequence(F.lit(1), F.size("__chars") - i), lambda n: F.slice("__chars", i + 1, n))))
+    odd = F.filter(chains, lambda x: F.forall(_pairs(x), lambda pair: F.array_contains(common, pair)))
+    kinds = [
+        codes.select(F.lit("code").alias("kind"), F.substring("__code", 1, size).alias("key"), F.col("__code").alias("code"), "priority", "symbol"),
+        named.select(F.lit("half").alias("kind"), F.explode(_pairs(F.col("__chars"))).alias("key"), F.lit("").alias("code"), "priority", "symbol").where(~F.col("key").isin(COMMON_PIECES)),
+        named.select(F.lit("whole").alias("kind"), F.explode(F.transform(odd, lambda x: F.array_join(x, ""))).alias("key"), F.lit("").alias("code"), "priority", "symbol"),
+    ]
+    best = reduce(DataFrame.unionByName, kinds).groupBy("kind", "key", "code").agg(F.min(F.struct("priority", "symbol")).alias("best"))
+    return best.select("kind", "key", "code", "best.priority", "best.symbol"), size
+
+
+def _in_row(entries: list, kind: str, priority: str):
+    """A function of a key: the entries of the kind with that key, out of a hash table that is a constant of the plan."""
+    own = [e for e in entries if e["kind"] == kind]
+    buckets: list[list[dict]] = [[] for _ in range(max(1, len(own)))]
+    for e in own:
+        buckets[e["hash"] % len(buckets)].append({"key": e["key"], "code": e["code"], "best": {"priority": e["priority"], "symbol": e["symbol"]}})
+    table = F.from_json(F.lit(json.dumps(buckets, ensure_ascii=False, default=str)), f"array<array<struct<key:string,code:string,best:struct<priority:{priority},symbol:string>>>>")
+
+    def find(key: Column) -> Column:
+        return F.filter(F.get(table, F.pmod(F.xxhash64(key), F.lit(len(buckets))).cast("int")), lambda e: e["key"] == key)
+
+    return find
+
+
+def mentioned_symbol(questions: DataFrame, stocks: DataFrame, entries: int = LOOKUP_ENTRIES) -> DataFrame:
     """TXT-3: the symbol a question mentions: an alias, else the best stock by `priority`.
 
-    `questions` has (question_id, text), `stocks` (symbol, company_name, priority).
-    A stock matches by its code, its name, a name that contains the question, or a
-    two-character piece of its name. Instead of comparing every question with
-    every stock, each possible piece keeps only its best stock, and the pieces of
-    a question are looked up: one row per piece, however many stocks share it. The
-    lengths of codes are taken from the catalogue.
+    `questions` has (question_id, text), `stocks` (symbol, company_name, priority). A stock matches by its code, its
+    name, a name that contains the question, or a two-character piece of its name that is not a common one. (A name that is in
+    the question, or has it inside, shares a pair with it; what is left are names and questions of common pairs only, and
+    questions of a single character.) Every piece keeps its best stock. A catalogue of at most `entries` pieces becomes a
+    hash table in the plan, in which each question looks up its own pairs and code starts: no row is made for a piece and
+    nothing but the question moves. Beyond that the pieces are joined.
     """
     text = questions.withColumn("__text", mention_text("text"))
     alias = F.lit(None).cast("string")
     for name, symbol in reversed(ALIASES):
         alias = F.when(F.col("__text").contains(name), symbol).otherwise(alias)
-    text = text.withColumn("__alias", alias)
-
-    code, name = mention_text("symbol"), mention_text("company_name")
-    best = F.min(F.struct("priority", "symbol")).alias("__best")
-    known = stocks.where(F.length(F.trim("symbol")) > 0).select(
-        F.upper(F.trim("symbol")).alias("symbol"), "priority", code.alias("__code"), name.alias("__name")
-    )
-    named = known.where(F.length("__name") >= 2)
-    codes = known.where(F.length("__code") > 0).select("priority", "symbol", F.col("__code").alias("__piece"))
-    code_lengths = [r[0] for r in codes.select(F.length("__piece")).distinct().collect()]
-    halves = named.select("priority", "symbol", F.explode(_pieces(F.col("__name"), 2)).alias("__piece")).where(
-        ~F.col("__piece").isin(COMMON_PIECES)
-    )
-    lookup = codes.unionByName(halves).groupBy("__piece").agg(best)
-    parts = F.array_distinct(F.concat(*[_pieces(F.col("__text"), n) for n in sorted({2, *code_lengths})]))
-    hits = (
-        text.where(F.col("__alias").isNull())
-        .select("question_id", F.explode(parts).alias("__piece"))
-        .join(lookup, "__piece")
-        .select("question_id", "__best")
-    )
-    # Names that contain the whole question: their substrings are the keys.
-    sizes = F.sequence(F.lit(1), F.length("__name"))
-    insides = F.flatten(F.transform(sizes, lambda n: _pieces_of(F.col("__name"), n)))
-    inside = named.select("priority", "symbol", F.explode(F.array_distinct(insides)).alias("__text")).groupBy("__text").agg(best)
-    whole = text.where(F.col("__alias").isNull()).join(inside, "__text").select("question_id", "__best")
-    found = hits.unionByName(whole).groupBy("question_id").agg(F.min("__best").alias("__best"))
-    return text.join(found, "question_id", "left").select(
-        "question_id",
-        F.when(F.col("__text") == "", "").otherwise(F.coalesce("__alias", "__best.symbol", F.lit(""))).alias("symbol"),
-    )
-
-
-def _pieces_of(text: Column, size: Column) -> Column:
-    starts = F.sequence(F.lit(1), F.length(text) - size + 1)
-    return F.transform(starts, lambda i: F.substr(text, i, size))
+    text = computed_once(computed_once(text).withColumns({"__alias": alias, "__chars": _characters(F.col("__text"))}))
+    lookup, size = _catalogue(stocks)
+    if lookup.limit(entries + 1).count() <= entries:
+        rows = lookup.withColumn("hash", F.xxhash64("key")).collect()
+        priority = stocks.schema["priority"].dataType.simpleString()
+        half, code, whole = (_in_row(rows, kind, priority) for kind in ("half", "code", "whole"))
+        text = text.withColumns({"__pairs": _pairs(F.col("__chars")), "__runs": _runs(F.col("__chars"), size)})
+        named = F.flatten(F.transform("__pairs", lambda p: F.transform(half(p), lambda e: e["best"])))
+        coded = F.flatten(F.transform("__runs", lambda p: F.transform(F.filter(code(p), lambda e: F.contains(F.col("__text"), e["code"])), lambda e: e["best"])))
+        exact = F.transform(whole(F.col("__text")), lambda e: e["best"])
+        found = text.withColumn("__best", F.when(F.col("__alias").isNull(), F.array_min(F.concat(named, coded, exact))))
+    else:
+        found = text.join(_joined(text.where("__alias IS NULL"), lookup, size), "question_id", "left")
+    return found.select("question_id", F.when(F.col("__text") == "", "").otherwise(F.coalesce("__alias", "__best.symbol", F.lit(""))).alias("symbol"))
+
+
+def _joined(text: DataFrame, lookup: DataFrame, size: int) -> DataFrame:
+    """`question_id` and `__best` by joins of the pieces, for catalogues of any size."""
+    keys = {"half": _pairs(F.col("__chars")), "code": _runs(F.col("__chars"), size), "whole": F.array("__text")}
+    asked = [text.select("question_id", "__text", F.lit(kind).alias("kind"), F.explode(pieces).alias("key")) for kind, pieces in keys.items()]
+    hits = reduce(DataFrame.unionByName, asked).join(lookup, ["kind", "key"]).where(F.contains("__text", "code"))
+    return hits.groupBy("question_id").agg(F.min(F.struct("priority", "symbol")).alias("__best"))
 
 
 # Keywords of the intents, in order of precedence.

@@ -10,11 +10,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 import tickloom
+from tickloom.session import materialize
 
-#: Rows in one Arrow batch: whole texts may be long, so a batch holds few of them.
+#: Rows that a function gets at a time. Spark bounds its Arrow batches by bytes; they are cut further in the worker.
 BATCH_ROWS = 512
 
 
@@ -43,8 +44,11 @@ def ship_package(spark: SparkSession) -> None:
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """`mapInArrow` with batches of few rows, so that memory is bounded by long texts, not by 10,000 of them."""
     ship_package(df.sparkSession)
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return df.mapInArrow(fn, schema)
+
+    def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return fn(batch.slice(at, BATCH_ROWS) for batch in batches for at in range(0, batch.num_rows, BATCH_ROWS))
+
+    return df.mapInArrow(in_parts, schema)
 
 
 def numbered_columns(df: DataFrame) -> tuple[DataFrame, list[Column]]:
@@ -62,6 +66,24 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def with_positions(rows: DataFrame, group: list[str], order: list[str], size: str = "n") -> DataFrame:
+    """The rows with `pos` (from 0, in the group) and `size` (rows of the group), from one range exchange over group and order.
+
+    A task numbers its own range, and one small row per range and group says where it begins; no group meets in one
+    task. Nulls come first. Rows equal in group and order are numbered in any order.
+    """
+    ranged = rows.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
+    stored = materialize(ranged.withColumn("__at", F.monotonically_increasing_id()), "ranges").withColumn("__part", F.shiftright("__at", 33))
+    pieces = stored.groupBy(*group, "__part").agg(F.min("__at").alias("__first"), F.count("*").alias("__rows"))
+    whole = W.partitionBy(*group)
+    before = F.sum("__rows").over(whole.orderBy("__part").rowsBetween(W.unboundedPreceding, -1))
+    places = pieces.select(*[F.col(c).alias(f"__{c}") for c in group], F.col("__part").alias("__piece"), (F.coalesce(before, F.lit(0)) - F.col("__first")).alias("__shift"), F.sum("__rows").over(whole).alias(f"__{size}"))
+    same = F.col("__part") == F.col("__piece")
+    for c in group:
+        same &= F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return stored.join(places, same).withColumn("pos", F.col("__at") + F.col("__shift")).select(*rows.columns, "pos", F.col(f"__{size}").alias(size))
+
+
 def by_bytes(batch: pa.RecordBatch, column: int, limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """The batch in parts whose texts in `column` have about `limit` bytes, and one row at least."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))

@@ -19,9 +19,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.llm.common import ship_package
+from tickloom.llm.common import ship_package, with_positions
 from tickloom.session import materialize
 
 
@@ -191,24 +191,6 @@ def row_digest(*columns: Column) -> Column:
     return F.sha2(F.concat(*[F.coalesce(F.concat(F.octet_length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in text]), 256)
 
 
-def with_positions(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
-    """The rows with `pos` (from 0, in the group) and `n` (rows of the group), from one range exchange over group and order.
-
-    A task numbers its own range, and one small row per range and group says where it begins; no group meets in one
-    task. Nulls come first. Rows equal in group and order are numbered in any order.
-    """
-    ranged = rows.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
-    stored = materialize(ranged.withColumn("__at", F.monotonically_increasing_id()), "ranges").withColumn("__part", F.shiftright("__at", 33))
-    pieces = stored.groupBy(*group, "__part").agg(F.min("__at").alias("__first"), F.count("*").alias("__rows"))
-    whole = W.partitionBy(*group)
-    before = F.sum("__rows").over(whole.orderBy("__part").rowsBetween(W.unboundedPreceding, -1))
-    places = pieces.select(*[F.col(c).alias(f"__{c}") for c in group], F.col("__part").alias("__piece"), (F.coalesce(before, F.lit(0)) - F.col("__first")).alias("__shift"), F.sum("__rows").over(whole).alias("n"))
-    same = F.col("__part") == F.col("__piece")
-    for c in group:
-        same &= F.col(c).eqNullSafe(F.col(f"__{c}"))
-    return stored.join(places, same).withColumn("pos", F.col("__at") + F.col("__shift")).select(*rows.columns, "pos", "n")
-
-
 def _in_blocks(nodes: DataFrame, shape: Shape) -> DataFrame:
     return nodes.withColumn("block", F.expr(f"pos div {shape.fan}"))
 

@@ -55,9 +55,40 @@ windows AS (
     FROM (SELECT rid, doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM words WHERE len(w) >= 50)),
 least AS (SELECT h, min(doc_id) AS low FROM windows GROUP BY h),
 gone AS (SELECT DISTINCT rid, unnest(range(p, p + 50)) AS i FROM windows JOIN least USING (h) WHERE doc_id > low OR (doc_id IS NULL AND low IS NOT NULL)),
-counted AS (SELECT rid, list(i) AS at FROM gone GROUP BY rid),
-marked AS (SELECT rid, doc_id, len(w) AS n_words, w, coalesce(at, []) AS at FROM words LEFT JOIN counted USING (rid)),
+counted AS (SELECT rid, list(i) AS places FROM gone GROUP BY rid),
+marked AS (SELECT rid, doc_id, len(w) AS n_words, w, coalesce(places, []) AS places FROM words LEFT JOIN counted USING (rid)),
 single AS (SELECT rid, string_agg(word, ' ' ORDER BY i) AS kept FROM (
     SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM words) ANTI JOIN gone USING (rid, i) GROUP BY rid)
-SELECT doc_id, n_words, len(at) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM marked LEFT JOIN single USING (rid)
+SELECT doc_id, n_words, len(places) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM marked LEFT JOIN single USING (rid)
+"""
+
+#: All phrases of 1 to 5 words of all pieces, counted as text; 128-bit whole numbers for the score.
+COLLOCATIONS_SQL = """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w
+    FROM documents),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+counted AS (
+    SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS n
+    FROM (SELECT lang, w, i, unnest(range(1, 6)) AS m FROM starts) WHERE i + m - 1 <= len(w) GROUP BY ALL),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+frequent AS (SELECT * FROM counted WHERE n >= 100),
+cuts AS (
+    SELECT lang, phrase, n AS a, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k FROM frequent WHERE m > 1),
+scored AS (
+    SELECT c.lang, c.phrase, c.a, k, h.n AS l, t.n AS r, totals.n AS n,
+        (1000::HUGEINT * c.a * totals.n // (h.n::HUGEINT * t.n))::BIGINT AS score
+    FROM cuts c JOIN totals USING (lang)
+    JOIN frequent h ON h.lang = c.lang AND h.phrase = array_to_string(w[:k], ' ')
+    JOIN frequent t ON t.lang = c.lang AND t.phrase = array_to_string(w[k + 1:], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_phrases AS (
+    SELECT lang, a AS held, array_to_string(w[i:i + m - 1], ' ') AS phrase
+    FROM (SELECT *, unnest(range(1, len(w) - m + 2)) AS i FROM (
+        SELECT *, unnest(range(2, len(w))) AS m FROM (SELECT lang, n AS a, string_split(phrase, ' ') AS w FROM frequent WHERE m > 2)))),
+covered AS (SELECT lang, phrase, max(held) AS held FROM inner_phrases GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best LEFT JOIN covered USING (lang, phrase) WHERE coalesce(100 * held >= 100 * a, false) = false
+QUALIFY rank <= 2000
 """

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tickloom.llm import bloom_lm, bpe, decontamination, embedding_dedup, html_extract, language, merkle, minhash_dedup, substring_dedup, token_counts, toxicity, url_filter
+from tickloom.llm import bloom_lm, bpe, collocations, decontamination, embedding_dedup, html_extract, language, merkle, minhash_dedup, substring_dedup, token_counts, toxicity, url_filter
 from tickloom.llm.common import fold, table
 from tickloom.llm.models import language_model, toxicity_model
-from tickloom.llm.oracle import MERKLE_SQL, REPEATS_SQL
+from tickloom.llm.oracle import COLLOCATIONS_SQL, MERKLE_SQL, REPEATS_SQL
 from tickloom.plans.registry import query
 
 
@@ -82,6 +82,11 @@ def op12_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     return substring_dedup.repeated_spans(table(spark, d, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query("op13_collocations", COLLOCATIONS_SQL)
+def op13_collocations(spark: SparkSession, d: str) -> DataFrame:
+    return collocations.collocations(table(spark, d, "documents"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, d: str) -> DataFrame:
     return corpus_pipeline.run(spark, d)

@@ -15,7 +15,7 @@ from tickloom.plans.registry import query
 from tickloom.schema import QUOTE_COLUMNS, time_text
 from tickloom.session import scratch_path
 from tickloom.sources import captures, tables
-from tickloom.streaming import batch as sb, jobs
+from tickloom.streaming import batch as sb, jobs, state
 
 
 def quote_json(ticks: DataFrame) -> DataFrame:
@@ -250,6 +250,108 @@ def _(spark, d):
     return dash.reconciliation({n: writer.read(spark, n) for n in names})
 
 
+def in_three_batches(spark, d) -> tuple[list[DataFrame], DataFrame]:
+    """The quotes as three batches: the first, the last and, late, the middle third of the ids.
+
+    After every 40th quote its price moves by one and comes back, and every 10th quote is sent again in the batch after.
+    """
+    ticks, top = fx.ticks(spark, d), fx.table(spark, d, "events").agg(F.max("event_id")).first()[0]
+    back = ticks.where("id % 40 = 0").withColumn("k", F.explode(F.array(F.lit(1), F.lit(2))))
+    back = back.withColumns({"event_id": F.concat("event_id", F.lit("-"), "k"), "event_time": F.expr("event_time + make_interval(0, 0, 0, 0, 0, 0, k)"), "last_price": F.expr("last_price + 2 - k")}).drop("k")
+    rows = ticks.unionByName(back).withColumn("b", F.when(F.col("id") * 3 <= top, 0).when(F.col("id") * 3 > 2 * top, 1).otherwise(2))
+    again = rows.where("id % 10 = 0 AND b < 2").withColumn("b", F.col("b") + 1)
+    every = rows.unionByName(again)
+    return [every.where(F.col("b") == k).select(*QUOTE_COLUMNS) for k in range(3)], every
+
+
+BATCHES_SQL = """, every AS (SELECT id, event_id, symbol, source, last_price, change_pct, volume, event_time, CASE WHEN id*3<=(SELECT max(event_id) FROM events) THEN 0
+    WHEN id*3>2*(SELECT max(event_id) FROM events) THEN 1 ELSE 2 END AS b FROM (
+    SELECT * FROM ticks UNION ALL BY NAME SELECT * REPLACE (event_id||'-'||k AS event_id, event_time + to_seconds(k) AS event_time, last_price+2-k AS last_price)
+    FROM ticks, (VALUES (1), (2)) t(k) WHERE id%40=0))"""
+
+
+def run_tracked(spark, d, start) -> tuple[str, str]:
+    """Runs a stream over the three batches, the first two in one run and the last after a restart; returns folders of output and checkpoint."""
+    folder, out, checkpoint = (scratch_path(spark, name) for name in ("batches", "tracked", "checkpoint"))
+    batches, _ = in_three_batches(spark, d)
+    for k, batch in enumerate(batches):
+        batch.coalesce(1).write.mode("append").parquet(folder)
+        if k:
+            quotes = jobs.file_source(spark, folder, batch.schema, "*.parquet")
+            with state.state_in_rocksdb(spark):
+                start(state.new_events(quotes, "3650 days"), out, checkpoint).awaitTermination()
+    return out, checkpoint
+
+
+def to_files(df: DataFrame, out: str, checkpoint: str):
+    return df.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+@query(
+    "str_01_dedup_across_batches",
+    with_ctes(["ticks"], f"{BATCHES_SQL} SELECT event_id, symbol, last_price FROM every").replace(")\n, every AS", "),\nevery AS"),
+)
+def _(spark, d):
+    """Quotes that are sent again in a later batch come out once."""
+    out, _ = run_tracked(spark, d, to_files)
+    return spark.read.parquet(out).select("event_id", "symbol", "last_price")
+
+
+CHANGES_SQL = with_ctes(
+    ["ticks"],
+    f"""{BATCHES_SQL}, compact AS (SELECT b, symbol, source, last_price, change_pct, volume, arg_min(event_id, (event_time, length(event_id), event_id)) AS event_id FROM every GROUP BY ALL),
+    held AS (SELECT n.b, e.symbol, e.source, arg_max((e.last_price, e.change_pct, e.volume), (event_time, length(event_id), event_id)) AS v
+      FROM (VALUES (1), (2)) n(b) JOIN every e ON e.b < n.b GROUP BY ALL)
+    SELECT event_id, symbol, source, last_price, change_pct, volume FROM compact LEFT JOIN held USING (b, symbol, source) WHERE v IS NULL OR v<>(last_price, change_pct, volume)""",
+).replace(")\n, every AS", "),\nevery AS")
+
+
+@query("str_04_changed_stream", CHANGES_SQL)
+def _(spark, d):
+    """Changed quotes of a stream whose latest quotes are in the state store: late batch, prices that come back, restart."""
+    out, _ = run_tracked(spark, d, lambda quotes, *where: to_files(state.mark_changes(quotes), *where))
+    return spark.read.parquet(out).where("changed").select("event_id", *sb.STATE_KEYS, *sb.STATE_VALUES)
+
+
+@query(
+    "str_03_state_store",
+    with_ctes(
+        ["ticks"],
+        f"""{BATCHES_SQL} SELECT symbol, source, last_price, change_pct, volume FROM every
+        QUALIFY row_number() OVER (PARTITION BY symbol, source ORDER BY event_time DESC, length(event_id) DESC, event_id DESC)=1""",
+    ).replace(")\n, every AS", "),\nevery AS"),
+)
+def _(spark, d):
+    """The latest quotes as the state store holds them after the last batch."""
+    _, checkpoint = run_tracked(spark, d, lambda quotes, *where: to_files(state.mark_changes(quotes), *where))
+    return state.latest_quotes(spark, checkpoint)
+
+
+@query(
+    "str_12_tracked_tables",
+    CHANGES_SQL.replace(
+        "SELECT event_id, symbol, source, last_price, change_pct, volume FROM compact LEFT JOIN held USING (b, symbol, source) WHERE v IS NULL OR v<>(last_price, change_pct, volume)",
+        """SELECT 'quotes' AS table_name, count(*) AS row_count FROM every
+        UNION ALL SELECT 'price_ticks', count(*) FROM compact LEFT JOIN held USING (b, symbol, source) WHERE v IS NULL OR v<>(last_price, change_pct, volume)
+        UNION ALL SELECT 'sector_stats', count(*) FROM (SELECT DISTINCT b, sector FROM every JOIN (SELECT DISTINCT symbol, sector FROM ticks) USING (symbol))""",
+    ),
+)
+def _(spark, d):
+    """Row counts of tables that the streaming job writes when the state store tracks ids and quotes; the first two batches are then packed."""
+    made: list[jobs.QuoteBatchWriter] = []
+
+    def begin(quotes, out, checkpoint):
+        made[:] = [jobs.QuoteBatchWriter(out)]
+        return jobs.start(state.mark_changes(quotes), made[0], checkpoint, available_now=True)
+
+    run_tracked(spark, d, begin)
+    names = ["quotes", "price_ticks", "sector_stats"]
+    for name in names:
+        for day in made[0].read(spark, name).select("created_date").distinct().collect():
+            made[0].compact(spark, name, day[0], 1)
+    return dash.reconciliation({n: made[0].read(spark, n) for n in names})
+
+
 def renamed_bars(spark, d) -> DataFrame:
     bars = fx.bars(spark, d)
     return bars.withColumn("event_id", F.when(F.col("k") % 3 == 0, F.concat(F.lit("x-"), "event_id")).otherwise(F.col("event_id")))
@@ -463,6 +565,20 @@ def _(spark, d):
     return sb.history_baseline(fx.ticks(spark, d), fx.as_of(spark, d))
 
 
+@query("str_09_baseline_of_hours", with_ctes(["baseline"], "SELECT * FROM baseline"))
+def _(spark, d):
+    """The same means out of merged sums per symbol and hour of quotes that come in two batches."""
+    now = fx.as_of(spark, d)
+    since = now - timedelta(days=1)
+    rows = fx.ticks(spark, d).withColumns({"batch_id": F.col("id") % 2, "at": F.col("created_at")})
+    sums = sb.hour_sums(rows, ["batch_id", "at"])
+    parts = [sb.as_parts(sums.where(F.col("batch_id") == k)).withColumn("hour", F.date_trunc("hour", F.get("parts", F.lit(0))["at"])) for k in (0, 1)]
+    merged = parts[0].unionByName(parts[1]).groupBy("symbol", "hour").agg(F.flatten(F.collect_list("parts")).alias("parts"))
+    hours = sb.with_sums(merged.where(F.col("hour") >= F.date_trunc("hour", F.lit(since))))
+    edge = F.col("hour") == F.date_trunc("hour", F.lit(since))
+    return sb.baseline_of_hours(hours.where(~edge), hours.where(edge), since)
+
+
 ALERT_COLUMNS = "id, symbol, alert_type, alert_level, price_threshold, volume_threshold, change_pct, volume"
 
 

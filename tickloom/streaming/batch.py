@@ -111,6 +111,48 @@ def history_baseline(history: DataFrame, as_of: datetime, days: int = 1) -> Data
     )
 
 
+PARTS = "array<struct<batch_id:bigint,at:timestamp,moves:bigint,move_sum:double,volumes:bigint,volume_sum:bigint>>"
+HOUR_SUMS = ["moves", "move_sum", "volumes", "volume_sum"]
+
+
+def hour_sums(history: DataFrame, keys: list[str]) -> DataFrame:
+    """Sums that merge to STR-9's means, per symbol and `keys`: nulls are left out of either mean."""
+    move, volume = F.abs("change_pct"), F.col("volume").cast("long")
+    sums = [F.count(move), F.coalesce(F.sum(move), F.lit(0.0)), F.count(volume), F.coalesce(F.sum(volume), F.lit(0).cast("long"))]
+    return history.groupBy("symbol", *keys).agg(*[s.alias(n) for s, n in zip(sums, HOUR_SUMS)])
+
+
+def merge_hours(parts: list[DataFrame]) -> DataFrame:
+    """One row per symbol: the sums of an hour, and the `parts` (one for each batch) they are made of. `parts` are tables with `symbol` and `parts`."""
+    rows = parts[0].select("symbol", "parts")
+    for more in parts[1:]:
+        rows = rows.unionByName(more.select("symbol", "parts"))
+    merged = rows.groupBy("symbol").agg(F.flatten(F.collect_list("parts")).alias("parts"))
+    return with_sums(merged)
+
+
+def with_sums(hours: DataFrame) -> DataFrame:
+    def total(name: str) -> Column:
+        zero = F.lit(0.0) if name == "move_sum" else F.lit(0).cast("long")
+        return F.aggregate("parts", zero, lambda sum_, part: sum_ + part[name])
+
+    return hours.withColumns({name: total(name) for name in HOUR_SUMS})
+
+
+def as_parts(sums: DataFrame) -> DataFrame:
+    """Sums with `batch_id` and `at` as rows of one part each."""
+    return sums.select("symbol", F.array(F.struct("batch_id", "at", *HOUR_SUMS)).cast(PARTS).alias("parts"))
+
+
+def baseline_of_hours(hours: DataFrame, edge: DataFrame, since: datetime) -> DataFrame:
+    """STR-9 from merged sums: whole `hours`, and of the hour that `since` cuts the parts from then on."""
+    kept = with_sums(edge.select("symbol", F.filter("parts", lambda p: p["at"] >= F.lit(since)).alias("parts")).where(F.size("parts") > 0))
+    rows = hours.select("symbol", *HOUR_SUMS).unionByName(kept.select("symbol", *HOUR_SUMS))
+    sums = rows.groupBy("symbol").agg(*[F.sum(n).alias(n) for n in HOUR_SUMS])
+    mean = lambda top, n: F.coalesce(stable_round(F.try_divide(F.col(top).cast("double"), F.col(n)), 6), F.lit(0.0))
+    return sums.select("symbol", mean("move_sum", "moves").alias("avg_abs_change_pct"), mean("volume_sum", "volumes").alias("avg_volume"))
+
+
 def empty_baseline(batch: DataFrame) -> DataFrame:
     """STR-9: the fallback when no history can be read."""
     return batch.select("symbol").distinct().select(

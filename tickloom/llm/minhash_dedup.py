@@ -25,8 +25,8 @@ from tickloom.session import materialize
 THRESHOLD = 0.8
 #: Bands and registers of a band: a pair at the threshold shares no band with probability (1 - 0.8^5)^25 = 5e-5.
 BANDS, ROWS = 25, 5
-#: Members of a bucket that one side of a tile holds.
-TILE = 1024
+#: Members of a bucket that one side of a tile holds, and their shingles, on average.
+TILE, TILE_SHINGLES = 1024, 1 << 21
 #: Shingles of a batch that arrive at registers together, and columns of a block of the comparison.
 ELEMENTS = 1 << 18
 COLUMNS = 4096
@@ -58,8 +58,8 @@ def sketch(sets: list[tuple[np.ndarray, np.ndarray]], registers: int) -> np.ndar
 
 
 def band_hashes(sketches: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """One hash of each band of registers."""
-    out = np.zeros((len(sketches), bands), np.uint64)
+    """One hash of each band of registers; the hashes of different bands differ."""
+    out = np.repeat(mix(np.arange(1, bands + 1, dtype=np.uint64))[None, :], len(sketches), 0)
     for r in range(rows):
         out = mix(out * _STEP + sketches[:, r : bands * rows : rows])
     return out.view(np.int64)
@@ -132,15 +132,21 @@ def tile_links(sets: list[tuple[np.ndarray, np.ndarray]], side: np.ndarray, thre
     return spanning_forest(certain, possible, lambda u, v: probability_jaccard(sets[u], sets[v]) >= threshold - 1e-12)
 
 
+def _lists(column: pa.ChunkedArray) -> list[np.ndarray | None]:
+    """The lists of a column as views of its numbers; None for null."""
+    out: list[np.ndarray | None] = []
+    for chunk in column.chunks:
+        values, ends, there = chunk.values.to_numpy(), chunk.offsets.to_numpy(), chunk.is_valid().to_numpy(zero_copy_only=False)
+        out += [values[a:b] if ok else None for a, b, ok in zip(ends[:-1], ends[1:], there)]
+    return out
+
+
 def _tile(threshold: float):
     def links(table: pa.Table) -> pa.Table:
         nodes, side = table.column("node").to_numpy(), table.column("chunk").to_numpy()
         order = np.argsort(nodes)
-        values, counts = table.column("shingles").to_pylist(), table.column("counts").to_pylist()
-        sets = []
-        for k in order:
-            s = np.array(values[k], np.int64).view(np.uint64)
-            sets.append((s, np.ones(len(s), np.int64) if counts[k] is None else np.array(counts[k], np.int64)))
+        values, counts = _lists(table.column("shingles")), _lists(table.column("counts"))
+        sets = [(values[k].view(np.uint64), np.ones(len(values[k]), np.int64) if counts[k] is None else counts[k]) for k in order]
         pairs = tile_links(sets, side[order], threshold)
         a, b = [nodes[order[u]] for u, _ in pairs], [nodes[order[v]] for _, v in pairs]
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -174,23 +180,28 @@ def _classes(rows: DataFrame, key: str, threshold: float) -> DataFrame:
     stored = materialize(map_batches(rows, _sketched, f"{fields}, __content binary, __bands array<bigint>, __size bigint"), "sketches")
 
     first = F.struct(F.col(key).isNull().alias("missing"), F.col(key).alias("key"), F.col("__row").alias("row"))
-    contents = stored.where("__size > 0").groupBy("__content", "__bands").agg(F.min("__row").alias("node"), F.min(first).alias("first"), F.count("*").alias("copies"))
+    contents = stored.where("__size > 0").groupBy("__content", "__bands").agg(F.min("__row").alias("node"), F.min(first).alias("first"), F.count("*").alias("copies"), F.max("__size").alias("size"))
     contents = materialize(contents, "contents")
 
-    in_bucket = contents.select("node", F.posexplode("__bands").alias("band", "hash"))
-    checks = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"check{k}") for k in (0, 1)]
-    buckets = in_bucket.groupBy("band", "hash").agg(F.count("*").alias("members"), *checks).where("members > 1")
+    # One narrow row per text and band, twice: to count, and to pick the members of buckets with several.
+    in_bucket = contents.select("node", F.explode("__bands").alias("hash"))
+    several = in_bucket.groupBy("hash").agg(F.count("*").alias("members")).where("members > 1")
+    members = materialize(in_bucket.join(several, "hash"), "members")
     # Buckets with the same members are compared once.
-    chosen = buckets.groupBy("members", "check0", "check1").agg(F.min(F.struct("band", "hash")).alias("at")).select("at.*", "members")
-    members = materialize(in_bucket.join(chosen, ["band", "hash"]), "members")
+    checks = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"check{k}") for k in (0, 1)]
+    buckets = members.groupBy("hash").agg(F.count("*").alias("members"), *checks)
+    chosen = buckets.groupBy("members", "check0", "check1").agg(F.min("hash").alias("hash")).select("hash")
+    members = materialize(members.join(chosen, "hash", "left_semi"), "chosen-members")
 
     needed = broadcast_if_small(members.select(F.col("node").alias("__row")).distinct())
     shingled = map_batches(stored.select("__row", "__text").join(needed, "__row").select("__row", "__text"), _shingled, "node bigint, shingles array<bigint>, counts array<bigint>")
-    chunks = F.ceil(F.col("members") / TILE).cast("int")
-    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    tiles = members.withColumn("chunks", chunks).withColumn("chunk", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    tiles = tiles.select("band", "hash", "node", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
-    links = tiles.join(shingled, "node").groupBy("band", "hash", "i", "j").applyInArrow(_tile(threshold), "a bigint, b bigint")
+    # A side of a tile holds few texts, and fewer of long ones.
+    weight = members.join(contents.select("node", "size"), "node").groupBy("hash").agg(F.sum("size").alias("weight"))
+    chunks = F.greatest(F.ceil(F.col("members") / TILE), F.ceil(F.col("weight") / TILE_SHINGLES)).cast("int")
+    cut = members.join(weight, "hash").withColumn("chunks", F.least(chunks, F.col("members").cast("int")))
+    tiles = cut.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    tiles = tiles.select("hash", "node", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
+    links = tiles.join(shingled, "node").groupBy("hash", "i", "j").applyInArrow(_tile(threshold), "a bigint, b bigint")
     component = connected_components(links)
 
     classed = contents.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))

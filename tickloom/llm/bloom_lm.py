@@ -129,7 +129,10 @@ class BloomFilter:
             for k in range(PROBES):
                 bit = (chosen >> _U(9 * k)) & _U(BLOCK - 1)
                 found &= (self.words[base + (bit >> _U(6)).astype(np.int64)] >> (bit & _U(63))) & _U(1) > 0
-            at = at[found]
+                # Where a probe rules out many, the next ones are only asked for the rest.
+                if k + 1 == PROBES or np.count_nonzero(found) < 0.7 * len(found):
+                    at, base, chosen = at[found], base[found], chosen[found]
+                    found = np.ones(len(at), bool)
             out[at] = level
             level += 1
         return out[inverse]

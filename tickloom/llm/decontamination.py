@@ -5,9 +5,10 @@ its multiset of five-word shingles; a window can only be similar to an item if e
 shingles occur in the benchmark at all, which running sums tell for every position and size. The
 windows that remain get a 64-bit SimHash of their words. Fingerprints are split into one block more than
 the radius, so two within the radius agree in at least one block: an index per block finds
-every one of them. A passage cut at an edge may be further away and still be similar, so the items that
-share enough shingles with a remaining window, which similarity implies, are candidates beside them.
-Candidates are verified by exact weighted-shingle similarity.
+every one of them; those are verified by exact weighted-shingle similarity.
+
+The radius is wide, as a passage that is cut at an edge may differ from its item in a fifth of its
+words and still be similar; windows that are left over are few, so a wide search costs little.
 """
 
 from __future__ import annotations
@@ -23,15 +24,15 @@ from tickloom.llm.shingles import SHINGLE, mix, probability_jaccard, shingles, w
 from tickloom.session import materialize
 
 THRESHOLD = 0.8
-#: Hamming radius of the search; fingerprints have one block more.
-RADIUS = 11
+#: Hamming radius of the search; fingerprints have one block more. Similar windows further away are not found: the README has the recall.
+RADIUS = 24
 BITS = 64
 #: Items and bytes of item text that are broadcast at a time; a larger benchmark is searched for slice by slice.
 SLICE_ITEMS, SLICE_BYTES = 50_000, 32_000_000
 #: Bits of the table that tells which shingles may be in the benchmark.
 TABLE_BITS = 22
-#: Pairs of a shingle's place and an item that are looked at together, about.
-POSTINGS = 1 << 21
+#: Words whose bits are summed at a time, and pairs of a window and an item that are compared at a time, about.
+STRETCH, PAIRS = 1 << 15, 1 << 20
 
 _U = np.uint64
 
@@ -70,6 +71,13 @@ class HammingIndex:
 
     def search(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(position in `asked`, position in the index, distance) of all pairs within the radius, each once."""
+        step = max(1, PAIRS // max(1, len(self.prints)))
+        parts = [self._near(asked[k : k + step]) for k in range(0, len(asked), step)] or [self._near(asked)]
+        q = np.concatenate([part // len(self.prints) + k * step for k, part in enumerate(parts)])
+        found = np.concatenate([part % len(self.prints) for part in parts])
+        return q, found, np.bitwise_count(asked[q] ^ self.prints[found]).astype(int)
+
+    def _near(self, asked: np.ndarray) -> np.ndarray:
         pairs = []
         for shift, width, order, value in self.blocks:
             own = self._block(asked, shift, width)
@@ -80,58 +88,11 @@ class HammingIndex:
             found = order[at]
             near = np.bitwise_count(asked[q] ^ self.prints[found]) <= self.radius
             pairs.append(q[near] * len(self.prints) + found[near])
-        both = np.unique(np.concatenate(pairs))
-        q, found = both // len(self.prints), both % len(self.prints)
-        return q, found, np.bitwise_count(asked[q] ^ self.prints[found]).astype(int)
-
-
-class ShingleIndex:
-    """Finds the items that hold enough of a window's shingles."""
-
-    def __init__(self, sets: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        values = np.concatenate([s for s, _ in sets])
-        order = np.argsort(values, kind="stable")
-        self.items = np.repeat(np.arange(len(sets)), [len(s) for s, _ in sets])[order]
-        self.known, first = np.unique(values[order], return_index=True)
-        self.bounds = np.append(first, len(values))
-
-    def search(self, own: np.ndarray, starts: np.ndarray, n: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-        """(position in `starts`, item) of all windows of n shingles of which at least `least` are the item's; `starts` rise."""
-        edges = np.zeros(len(own) + 1, np.int64)
-        np.add.at(edges, starts, 1)
-        np.add.at(edges, starts + n, -1)
-        place = np.flatnonzero(np.cumsum(edges[:-1]) > 0)
-        at = np.minimum(np.searchsorted(self.known, own[place]), len(self.known) - 1)
-        sure = self.known[at] == own[place]
-        place, at = place[sure], at[sure]
-        times = self.bounds[at + 1] - self.bounds[at]
-        sums = np.concatenate([[0], np.cumsum(times)])
-        low, high = np.searchsorted(place, starts, "left"), np.searchsorted(place, starts + n, "left")
-        # Windows with fewer shingles of this size's items than must be shared go first.
-        left = np.flatnonzero(high - low >= least)
-        asked, found, begin = [], [], 0
-        while begin < len(left):
-            end = max(begin + 1, int(np.searchsorted(sums[high[left]], sums[low[left[begin]]] + POSTINGS, "right")))
-            windows, a, b = left[begin:end], low[left[begin]], high[left[end - 1]]
-            many = times[a:b]
-            item = self.items[np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(self.bounds[at[a:b]], many)]
-            where = np.repeat(place[a:b], many)
-            order = np.argsort(item, kind="stable")
-            item, where = item[order], where[order]
-            ids, first, total = np.unique(item, return_index=True, return_counts=True)
-            for i, f, t in zip(ids.tolist(), first.tolist(), total.tolist()):
-                if t >= least:
-                    of = where[f : f + t]
-                    near = windows[np.searchsorted(of, starts[windows] + n, "left") - np.searchsorted(of, starts[windows], "left") >= least]
-                    asked.append(near)
-                    found.append(np.full(len(near), i))
-            begin = end
-        none = np.zeros(0, np.int64)
-        return np.concatenate([none, *asked]), np.concatenate([none, *found])
+        return np.unique(np.concatenate(pairs))
 
 
 class Benchmark:
-    """Items by size in words, with their shingles, fingerprints, both indexes and the table of all their shingles."""
+    """Items by size in words, with their shingles, the index of their fingerprints, and the table of all their shingles."""
 
     def __init__(self, ids: list, texts: list[str | None], threshold: float = THRESHOLD) -> None:
         self.threshold = threshold
@@ -144,7 +105,7 @@ class Benchmark:
         for size, items in sorted(by_size.items()):
             sets = [weighted(shingles(w)) for _, w in items]
             prints = np.array([fingerprints(running_bits(w), np.zeros(1, int), size)[0] for _, w in items], np.uint64)
-            self.sizes[size] = ([i for i, _ in items], sets, HammingIndex(prints), ShingleIndex(sets))
+            self.sizes[size] = ([i for i, _ in items], sets, HammingIndex(prints))
             values.setdefault(min(size, SHINGLE), []).extend(s for s, _ in sets)
         self.known = {k: np.unique(np.concatenate(v)) for k, v in values.items()}
         self.table = {}
@@ -172,39 +133,42 @@ class Benchmark:
         """(item, similarity, distance, first word, words) of the most similar window of each item found; of equal ones the first."""
         best: dict[tuple[int, int], tuple[float, int, int, int]] = {}
         hits = {k: self._hits(words, k) for k in self.known}
-        # A document shorter than an item is one window; its shingles are those of its own length.
-        running, own = None, {}
-        for size, (_, sets, index, shared) in self.sizes.items():
-            window = min(size, len(words))
-            k = min(size, SHINGLE)
-            hit = hits[k]
-            if hit is None or window < k or window < self.threshold * size:
+        asked: list[tuple[int, int, np.ndarray]] = []
+        for size in self.sizes:
+            # A document shorter than an item is one window; its shingles are those of its own length.
+            window, k = min(size, len(words)), min(size, SHINGLE)
+            if hits[k] is None or window < k or window < self.threshold * size:
                 continue
             n = window - k + 1
-            enough = np.flatnonzero(hit[n:] - hit[:-n] >= self.threshold * n - 1e-9)
-            if not len(enough):
-                continue
-            if running is None:
-                running = running_bits(words)
-            if k not in own:
-                own[k] = shingles(words, k)
-            prints, least = fingerprints(running, enough, window), self.threshold * n - 1e-9
-            q, found, _ = index.search(prints)
-            asked, more = shared.search(own[k], enough, n, least)
-            both = np.unique(np.concatenate([q * len(sets) + found, asked * len(sets) + more]))
-            q, found = both // len(sets), both % len(sets)
-            distance = np.bitwise_count(prints[q] ^ index.prints[found]).astype(int)
-            made: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-            for at, item, bits in zip(q.tolist(), found.tolist(), distance.tolist()):
-                start = int(enough[at])
-                if start not in made:
-                    made[start] = weighted(shingles(words[start : start + window], k))
-                similarity = probability_jaccard(made[start], sets[item])
-                if similarity >= self.threshold - 1e-12 and similarity > best.get((size, item), (0.0,))[0] + 1e-12:
-                    best[size, item] = (similarity, bits, start, window)
+            enough = np.flatnonzero(hits[k][n:] - hits[k][:-n] >= self.threshold * n - 1e-9)
+            if len(enough):
+                asked.append((size, window, enough))
+        stretches = {int(x) for _, _, enough in asked for x in np.unique(enough // STRETCH)}
+        for stretch in sorted(stretches):
+            first = stretch * STRETCH
+            near = words[first : first + STRETCH + max(window for _, window, _ in asked)]
+            running = running_bits(near)
+            for size, window, enough in asked:
+                a, b = np.searchsorted(enough, (first, first + STRETCH))
+                if a < b:
+                    self._verify(near, running, first, size, window, enough[a:b] - first, best)
         return [(self.sizes[size][0][item], *found) for (size, item), found in sorted(best.items())]
 
 
+    def _verify(self, words: np.ndarray, running: np.ndarray, first: int, size: int, window: int, starts: np.ndarray, best: dict[tuple[int, int], tuple[float, int, int, int]]) -> None:
+        """Takes the items of one size near to the windows at the given starts into `best`, if they are similar; words begin at word `first`."""
+        _, sets, index = self.sizes[size]
+        q, found, distance = index.search(fingerprints(running, starts, window))
+        made: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for at, item, bits in zip(q.tolist(), found.tolist(), distance.tolist()):
+            start = int(starts[at])
+            if start not in made:
+                made = {start: weighted(shingles(words[start : start + window], min(size, SHINGLE)))}
+            similarity = probability_jaccard(made[start], sets[item])
+            if similarity >= self.threshold - 1e-12 and similarity > best.get((size, item), (0.0,))[0] + 1e-12:
+                best[size, item] = (similarity, bits, first + start, window)
+
+
 def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Rows of `docs` that hold a passage as long as a benchmark item and similar to it.
 

@@ -8,19 +8,20 @@ likelihood, so that a second language needs enough evidence to be named.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.llm.common import map_batches, strings
 
 #: Cells that trigrams are hashed into; the model is this many numbers per language.
 CELLS = 8192
-LETTER = re.compile(r"[^\W\d_]")
+#: Letters proper: no digits, numerals, marks or symbols.
+LETTER = regex.compile(r"\p{L}")
 UNDETERMINED = "und"
 #: Overlapping trigrams repeat each other's evidence: one in so many counts as an observation.
 OVERLAP = 3.0

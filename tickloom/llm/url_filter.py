@@ -198,7 +198,11 @@ def judge(pages: DataFrame, key: str = "page_id", url: str = "url", rules: list[
     said = F.col(url).cast("string")
     rows = pages.select(F.col(key), said.alias("url"), host_of(said).alias("host"), path_of(said).alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumns({"rule": rule, "by_rule": verdict}).withColumn("__address", F.concat("host", "path"))
+    rows = rows.withColumns({"rule": rule, "by_rule": verdict})
+    # The models read all of the URL behind its scheme, query and fragment included.
+    behind = F.substring(F.col("url"), F.instr("url", "://") + 3, F.length("url"))
+    address = F.concat("host", F.substring(behind, F.length("host") + 1, F.length("url")))
+    rows = rows.withColumn("__address", F.when(F.contains("url", F.lit("://")), address).otherwise(""))
     model = train(rows.where(F.col("by_rule").isNotNull()), "__address", "by_rule")
     judged = score(rows, model, "__address")
     by_model = F.when(F.col("score") >= F.lit(model.threshold), "allow").otherwise("block")

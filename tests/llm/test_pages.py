@@ -140,6 +140,39 @@ def test_ids_of_headings_outside_articles():
     assert main_text(f"<body><div class=content>{LONG}<h2 id=related>Related</h2><p class=ad>Buy</p></div>") == LONG[3:-4] + "\nRelated"
 
 
+WHOLE = [
+    (f"<form id='aspnetForm' class='form'><input type=hidden name=x><div id=content>{LONG * 6}</div><input name=q></form>", "\n".join([LONG[3:-4]] * 6)),
+    (f"<div id='content'>{LONG}<h2 class='section-header'>Next</h2><p class='alert'>Mind it.</p><div class='social-history'><p>Of the town.</p></div></div>", LONG[3:-4] + "\nNext\nMind it.\nOf the town."),
+    (f"<div id='content'>{LONG}<div class='top-menu'><p>Go</p></div><div class='related-posts'><p>More</p></div><p class='ad'>Buy</p></div>", LONG[3:-4]),
+    (f"<div>{LONG}<form><p>Write to us</p><input name=a><textarea></textarea><button>Send</button></form></div>", LONG[3:-4]),
+]
+
+
+@pytest.mark.parametrize("body, text", WHOLE, ids=range(len(WHOLE)))
+def test_text_outside_articles(body, text):
+    assert main_text(f"<html><body>{body}</body></html>") == text
+
+
+@pytest.mark.parametrize("page", ["<div>" * 50_000 + LONG, "<div><section>" * 25_000 + LONG + "</section>" * 5 + "</nav></li>" * 25_000, "<form>" * 20_000 + LONG, "<p><ul><li>" * 20_000 + LONG])
+def test_deep_pages_in_linear_time(page):
+    import time
+
+    begin = time.perf_counter()
+    assert html_extract.parse(page).blocks[-1][1] == LONG[3:-4]
+    html_extract.path_scores(html_extract.parse(page))
+    assert time.perf_counter() - begin < 10
+
+
+def test_url_query_counts_and_letters_are_letters(spark):
+    rows = [(k, f"http://shop{k % 7}.example.com/{'fr' if k % 2 else 'de'}/{k}?{'ref=news' if k % 2 else 'ref=casino77'}", None, "", "") for k in range(300)]
+    rows += [(900, "http://other.example.net/x?ref=news", None, "", ""), (901, "http://other.example.net/x?ref=casino77", None, "", ""), (902, "http://other.example.net/x", None, "", "")]
+    got = {r["page_id"]: (r["path"], r["score"]) for r in url_filter.judge(pages_of(spark, rows)).collect()}
+    assert got[900][0] == got[901][0] == "/x" and got[900][1] > got[902][1] > got[901][1]
+    from tickloom.llm.language import LETTER
+
+    assert not LETTER.search("½ ² Ⅷ ① \u0301 123 _ €") and all(LETTER.search(x) for x in ("é", "漢", "я", "ª"))
+
+
 def test_host_with_two_templates(spark):
     text = "A paragraph that belongs to the text of the page and says a thing or two about it. "
     often = "<body><article><h1>Story {0}</h1><p>" + text * 5 + "</p></article></body>"

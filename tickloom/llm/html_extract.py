@@ -8,8 +8,10 @@ in them beside its own best container, falls back on that one.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
@@ -47,12 +49,24 @@ PARTS = CONTAINERS | frozenset("ul ol dl table".split())
 #: Elements that an opening tag of the same group closes, up to the next container.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 #: What is never part of the main text: by tag, and by a word of the class, id or role.
-DROP_TAGS = frozenset("nav footer aside form fieldset menu dialog search head".split())
+DROP_TAGS = frozenset("nav footer aside menu dialog search head".split())
 DROP_WORDS = frozenset(
     "nav navbar navigation menu header masthead footer sidebar aside ad ads advert adverts advertisement advertising banner promo promotion sponsor sponsored "
     "notice notices cookie cookies consent gdpr comment comments disqus reply replies respond share sharing social related recommended breadcrumb breadcrumbs "
     "newsletter subscribe signup login search popup modal overlay widget toolbar pagination pager copyright form contentinfo complementary alert".split()
 )
+#: Of these, the ones that tell nothing about a single paragraph, heading or inline element.
+SOFT_WORDS = frozenset("header notice notices comment comments reply replies respond share social related search copyright form alert menu response".split())
+#: Words that say where a part stands or how it is built: with a word of DROP_WORDS they are its class.
+PLACES = frozenset(
+    "site main top bottom left right primary secondary box block wrapper wrap container inner outer area bar list links link buttons button items item posts articles "
+    "global mobile sticky fixed slot unit zone col column row toggle dropdown collapse panel group holder frame".split()
+)
+#: Characters of text for each field or button of a form that is part of the page's text, as one that holds the whole page.
+FORM_TEXT = 200
+FORM_EDGE = re.compile(r"</?form(?=[\s/>])", re.I)
+CODE = re.compile(r"<(script|style)\b.*?(?:</\1\b|\Z)", re.S | re.I)
+CONTROL = re.compile(r"""<(?:input\b(?![^>]*type\s*=\s*["']?hidden)|select\b|textarea\b|button\b)""", re.I)
 #: Share of a container's score that its parent gets, and the weight of elements that are meant for the main text.
 UPWARD = 0.6
 MEANT = {"article": 1.5, "main": 1.3}
@@ -63,7 +77,7 @@ LITTLE = 0.2
 @dataclass
 class Element:
     tag: str
-    path: str
+    path: bytes  # digest of the parent's path and the own step
     parent: int
     dropped: bool
     score: float = 0.0
@@ -73,7 +87,7 @@ class Element:
 class Page:
     """Containers in page order, and blocks as (container, text, characters in links, dropped)."""
 
-    elements: list[Element] = field(default_factory=lambda: [Element("", "", -1, False)])
+    elements: list[Element] = field(default_factory=lambda: [Element("", b"", -1, False)])
     blocks: list[tuple[int, str, int, bool]] = field(default_factory=list)
 
 
@@ -86,23 +100,36 @@ def _is_title(name: str, page: str, at: int) -> bool:
 def _boilerplate(tag: str, attributes: str, in_article: bool, page: str, at: int) -> bool:
     """Whether an element is boilerplate by its tag or by its class, id or role; its content begins at `at` of the page.
 
-    Outside of articles any word of a class, id or role tells. Inside, only whole classes, ids and roles of blocks that
-    hold others do, as words like "form" or "alert" are then mostly about the text. Ids made from titles never tell.
+    Whole classes, ids and roles of blocks that hold others tell; outside of articles also those that join such a word with
+    a place ("top-menu"), and those of other elements, but for words that are mostly about the text ("alert"). Ids made
+    from titles never tell. A form is boilerplate unless it holds far more text than fields.
     """
-    if tag in DROP_TAGS or (tag == "header" and not in_article):
+    if tag in DROP_TAGS or (tag == "header" and not in_article) or (tag == "form" and not _holds_text(page, at)):
         return True
     if "=" not in attributes or tag in ("body", "html", "article", "main") or in_article and tag not in PARTS:
         return False
     for m in NAMED.finditer(attributes):
         value, kind = (m[2] or m[3] or m[4] or "").lower(), m[1].lower()
-        words = set(value.split() if in_article else WORD.findall(value)) & DROP_WORDS
+        words = set(value.split()) & DROP_WORDS
         if in_article:
             words.discard("header")
+        else:
+            telling = DROP_WORDS if tag in PARTS else DROP_WORDS - SOFT_WORDS
+            words = {w for w in value.split() if (parts := set(WORD.findall(w))) & telling and parts <= telling | PLACES}
+        if tag in ("form", "fieldset"):
+            words.discard("form")
         if words and not (kind == "id" and (tag in HEADINGS or _is_title(value, page, at))):
             return True
     return False
 
 
+def _holds_text(page: str, at: int) -> bool:
+    """Whether the form whose content begins here, up to the next form tag, has much text for its fields."""
+    edge = FORM_EDGE.search(page, at)
+    inside = page[at : edge.start() if edge else len(page)]
+    return len(SPACE.sub(" ", TAG.sub("", CODE.sub("", inside)))) >= FORM_TEXT * (1 + len(CONTROL.findall(inside)))
+
+
 def _ends(tag: str, page: str) -> dict[int, int]:
     """Where each element of this tag, by the place of its opening tag, ends: behind its closing tag, or at the next block tag where it has none."""
     closed, cut, opened, waiting = {}, {}, [], []
@@ -139,6 +166,7 @@ def parse(page: str) -> Page:
     out = Page()
     # open elements: (tag, container number, dropped, in article)
     stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+    opened: Counter[str] = Counter()
     buffer: list[str] = []
     linked = links = nested = 0
     muted = ""  # inline element of boilerplate whose text is left out, up to its end or that of its block
@@ -152,6 +180,11 @@ def parse(page: str) -> Page:
             buffer.clear()
         linked = 0
 
+    def leave(k: int) -> None:
+        """The k-th open element and all in it end."""
+        opened.subtract(tag for tag, *_ in stack[k:])
+        del stack[k:]
+
     raw: dict[str, dict[int, int]] = {}
     at, end = 0, len(page)
     while at < end:
@@ -191,30 +224,32 @@ def parse(page: str) -> Page:
             if tag in VOID:
                 continue
             if closing:
-                for k in range(len(stack) - 1, 0, -1):
+                for k in range(len(stack) - 1, 0, -1) if opened[tag] > 0 else ():
                     if stack[k][0] == tag:
-                        del stack[k:]
+                        leave(k)
                         break
                     if tag not in CONTAINERS and stack[k][0] in CONTAINERS:
                         break
                 continue
             closes = CLOSES.get(tag, ())
             if tag not in ("p", "li", "dt", "dd", "tr", "td", "th") and stack[-1][0] == "p":
-                del stack[-1]
-            for k in range(len(stack) - 1, 0, -1):
+                leave(len(stack) - 1)
+            for k in range(len(stack) - 1, 0, -1) if any(opened[x] > 0 for x in closes) else ():
                 if stack[k][0] in closes:
-                    del stack[k:]
+                    leave(k)
                     break
                 if stack[k][0] in CONTAINERS and stack[k][0] not in ("td",) or stack[k][0] in ("ul", "ol", "table"):
                     break
             if tag == "body" and stack[-1][0] == "head":
-                del stack[-1]
+                leave(len(stack) - 1)
             _, container, dropped, in_article = stack[-1]
             dropped = dropped or _boilerplate(tag, attributes, in_article, page, at)
             if tag in CONTAINERS:
-                out.elements.append(Element(tag, f"{out.elements[container].path}>{_step(tag, attributes)}".removeprefix(">"), container, dropped))
+                path = hashlib.blake2b(out.elements[container].path + _step(tag, attributes).encode("utf-8", "replace"), digest_size=16).digest()
+                out.elements.append(Element(tag, path, container, dropped))
                 container = len(out.elements) - 1
             stack.append((tag, container, dropped, in_article or tag in ("article", "main")))
+            opened[tag] += 1
         elif tag == muted:
             nested += -1 if closing else 1
             muted = muted if nested else ""
@@ -224,32 +259,30 @@ def parse(page: str) -> Page:
     return out
 
 
-def path_scores(page: Page) -> dict[str, float]:
+def path_scores(page: Page) -> dict[bytes, float]:
     """The highest score of each path's containers: their blocks' characters outside links, less those in links,
     and a falling share of what their descendants have. In page order; paths without any text are left out."""
     for element in page.elements:
         element.score = 0.0
     for container, text, linked, dropped in page.blocks:
         if not dropped:
-            worth, k = float(len(text) - 2 * linked), container
-            while k >= 0:
-                page.elements[k].score += worth
-                worth *= UPWARD
-                k = page.elements[k].parent
-    out: dict[str, float] = {}
+            page.elements[container].score += len(text) - 2 * linked
+    for element in reversed(page.elements[1:]):  # children stand behind their parents
+        page.elements[element.parent].score += UPWARD * element.score
+    out: dict[bytes, float] = {}
     for e in page.elements:
         if not e.dropped and e.score > 0:
             out[e.path] = max(out.get(e.path, 0.0), e.score * MEANT.get(e.tag, 1.0))
     return out
 
 
-def best_path(page: Page) -> str | None:
+def best_path(page: Page) -> bytes | None:
     """Path of the container with the highest score. Ties go to the first. None without any text."""
     found = path_scores(page)
     return max(found, key=found.__getitem__) if found else None
 
 
-def text_by(page: Page, path: str | None) -> str:
+def text_by(page: Page, path: bytes | None) -> str:
     """Text on the host's winning path; on the page's own best one where the page has little or nothing there."""
     found = path_scores(page)
     if not found:
@@ -261,7 +294,7 @@ def text_by(page: Page, path: str | None) -> str:
     return text or text_of(page, own) or ""
 
 
-def text_of(page: Page, path: str) -> str | None:
+def text_of(page: Page, path: bytes) -> str | None:
     """Blocks in containers on this path, in page order, without boilerplate; None if the page has no such container."""
     inside = set()
     for k, e in enumerate(page.elements):
@@ -273,7 +306,7 @@ def text_of(page: Page, path: str) -> str | None:
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         paths = [best_path(parse(h)) for h in strings(batch.column(1))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(paths, pa.string())], names=["host", "path"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(paths, pa.binary())], names=["host", "path"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,9 +318,9 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def winning_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """`host`, `path`: the path with most votes of each host's pages; of equal votes the last in text order."""
+    """`host`, `path`: the path (as a digest) with most votes of each host's pages; of equal votes the last in byte order."""
     rows = pages.select(host_of(F.col(url).cast("string")).alias("host"), F.col(html).cast("string").alias("html"))
-    votes = map_batches(rows, _vote, "host string, path string").where(F.col("path").isNotNull()).groupBy("host", "path").agg(F.count("*").alias("votes"))
+    votes = map_batches(rows, _vote, "host string, path binary").where(F.col("path").isNotNull()).groupBy("host", "path").agg(F.count("*").alias("votes"))
     return votes.groupBy("host").agg(F.max_by("path", F.struct("votes", "path")).alias("path"))
 
 

@@ -12,6 +12,8 @@ from tickloom.operators.features import _ema
 from tickloom.operators.ordered import (
     exact_median,
     latest_by,
+    with_following,
+    with_newest,
     with_percent_rank,
     with_position,
     with_previous,
@@ -75,6 +77,31 @@ def test_running_max(table, frame, max_rows):
     pd.testing.assert_series_equal(both["top_x"], both["top_y"], check_names=False)
 
 
+@BOTH
+@pytest.mark.parametrize("n", [1, 5, 60])
+def test_following_value(table, frame, max_rows, n):
+    value = F.struct("t", "v")
+    got = with_following(table, ["k"], ["t"], bucket() if n < 60 else F.floor(F.col("t") / 7), value, n, "next", max_rows=max_rows).select("k", "t", "next.*").toDF("k", "t", "nt", "nv").toPandas()
+    want = frame.sort_values("t").assign(wt=lambda x: x.groupby("k")["t"].shift(-n), wv=lambda x: x.groupby("k")["v"].shift(-n))
+    both = got.merge(want, on=["k", "t"])
+    assert len(both) == 1000
+    pd.testing.assert_series_equal(both["nt"].astype(float), both["wt"], check_names=False)
+    pd.testing.assert_series_equal(both["nv"], both["wv"], check_names=False)
+
+
+@BOTH
+def test_newest_of_key_and_step(table, frame, max_rows):
+    stepped = table.withColumn("step", F.when(F.col("t") % 11 > 0, F.col("t") % 3))
+    got = with_newest(stepped, "k", "step", ["t"], F.floor(F.col("t") / 50), "v", ("every", "same"), max_rows=max_rows).toPandas()
+    rows = frame.sort_values("t").assign(step=lambda x: (x["t"] % 3).where(x["t"] % 11 > 0, -1))
+    rows["every"] = rows.groupby("k")["v"].transform(lambda s: s.cummax().ffill())
+    rows["same"] = rows.groupby(["k", "step"])["v"].transform(lambda s: s.cummax().ffill())
+    both = got.merge(rows, on=["k", "t"])
+    assert len(both) == 1000
+    for c in ("every", "same"):
+        pd.testing.assert_series_equal(both[f"{c}_x"], both[f"{c}_y"], check_names=False)
+
+
 @BOTH
 def test_percent_rank(table, frame, max_rows):
     got = with_percent_rank(table, ["k"], "v", F.floor(F.col("v") / 100), "r", max_rows=min(max_rows, 12)).toPandas()

@@ -20,7 +20,7 @@ from tickloom.functions.decision import (
     downside_evidence,
 )
 from tickloom.functions.numeric import any_of, count_where, finite, ratio, stable_round
-from tickloom.operators.ordered import exact_median, with_position, with_previous, with_running_max
+from tickloom.operators.ordered import exact_median, with_following, with_newest, with_previous
 
 # Guard bounds.
 LIFT_FLOOR = -0.02
@@ -401,29 +401,19 @@ def evaluated_predictions(
     """EVA-13: predictions scored against the h-th later bar of their symbol.
 
     The base bar is the newest one stored by `predicted_at` with the predicted
-    price, else the newest one at all. Bars are numbered once per symbol. Both
-    look-ups are carried forward inside (symbol, `unit` of time) pieces: prices are
-    compared on whole cents, so the first look-up is a last-value look-up per
-    (symbol, price step) rather than a join of every prediction with every bar.
-    Use "year" for daily bars and "hour" for ticks.
+    price, else the newest one at all. A bar carries its h-th later bar, and bars and
+    predictions of a symbol are one time line, cut into pieces of a `unit` of time, along
+    which the newest bar is carried forward, at any price and per price step (prices are
+    compared on whole cents): no prediction is joined with bars. Use "year" for daily
+    bars and "hour" for ticks.
     """
-    order = ["event_time", "created_at", "bar_id"]
-    numbered = with_position(
-        bars.select("symbol", "event_time", "created_at", "last_price", F.col("event_id").alias("bar_id")),
-        ["symbol"],
-        order,
-        F.date_trunc(unit, "event_time"),
-    )
-    # Bars and predictions of a symbol in one time line; a bar is visible from created_at on.
+    rows = bars.select("symbol", "event_time", "created_at", "last_price", F.col("event_id").alias("bar_id"))
+    later = F.struct(F.col("event_time").alias("at"), F.col("last_price").alias("price"))
+    known = with_following(rows, ["symbol"], ["event_time", "created_at", "bar_id"], F.date_trunc(unit, "event_time"), later, horizon, "later")
+    # A bar is visible from created_at on, before predictions of the same moment.
     cents = lambda c: F.round(F.col(c) * 100).cast("long")
-    seen = numbered.select(
-        "symbol",
-        cents("last_price").alias("cents"),
-        F.col("created_at").alias("at"),
-        F.lit(0).alias("kind"),
-        F.col("bar_id").alias("row_id"),
-        F.struct("event_time", "created_at", "bar_id", "pos").alias("bar"),
-    )
+    bar = F.struct("event_time", "created_at", "bar_id", "later")
+    seen = known.select("symbol", cents("last_price").alias("cents"), F.col("created_at").alias("at"), F.lit(0).alias("kind"), F.col("bar_id").alias("row_id"), bar.alias("bar"))
     asked = history.select(
         "symbol",
         cents("current_price").alias("cents"),
@@ -431,38 +421,19 @@ def evaluated_predictions(
         F.lit(1).alias("kind"),
         F.col("id").alias("row_id"),
         F.lit(None).cast(seen.schema["bar"].dataType).alias("bar"),
+        F.struct(*history.columns).alias("asked"),
     )
-    line = seen.unionByName(asked)
-    same_price = _latest_bar(line, ["symbol", "cents"], unit, "same_price")
-    any_price = _latest_bar(line, ["symbol"], unit, "any_price")
-    base = (
-        same_price.join(any_price, ["symbol", "row_id"])
-        .select(
-            "symbol",
-            F.col("row_id").alias("id"),
-            F.coalesce("same_price", "any_price").alias("base"),
-        )
-        .where(F.col("base").isNotNull())
-        .select("symbol", "id", F.col("base.event_time").alias("base_event_time"), F.col("base.pos").alias("base_pos"))
-    )
-    later = numbered.select(
-        "symbol",
-        (F.col("pos") - horizon).alias("base_pos"),
-        F.col("event_time").alias("actual_event_time"),
-        F.col("last_price").alias("actual_price"),
+    line = asked.unionByName(seen, allowMissingColumns=True)
+    placed = with_newest(line, "symbol", "cents", ["at", "kind", "row_id"], F.date_trunc(unit, "at"), "bar", ("any_price", "same_price"))
+    base = placed.where("kind = 1").select("asked.*", F.coalesce("same_price", "any_price").alias("base")).where("base.later IS NOT NULL")
+    scored = base.select(
+        *history.columns, F.col("base.event_time").alias("base_event_time"), F.col("base.later.at").alias("actual_event_time"), F.col("base.later.price").alias("actual_price")
     )
-    scored = history.join(base, ["symbol", "id"]).join(later, ["symbol", "base_pos"])
     return scored.withColumn("actual_signal", actual_signal("current_price", "actual_price", bound)).withColumn(
         "correct", F.col("actual_signal") == F.col("predicted_signal")
     )
 
 
-def _latest_bar(line: DataFrame, keys: list[str], unit: str, name: str) -> DataFrame:
-    """For every prediction row of a time line, the newest bar (by event time) stored before it."""
-    placed = with_running_max(line, keys, ["at", "kind", "row_id"], F.date_trunc(unit, "at"), "bar", name)
-    return placed.where("kind = 1").select("symbol", "row_id", name)
-
-
 def newest_predictions(history: DataFrame, window: int = 50) -> DataFrame:
     """EVA-13: the newest 4 x window predictions, the ones a drift check looks at."""
     return history.orderBy(F.desc("predicted_at"), F.desc("id")).limit(4 * window)

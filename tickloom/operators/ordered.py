@@ -167,6 +167,64 @@ def with_running_max(
     )
 
 
+def with_following(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    bucket: Column,
+    value: Column,
+    n: int,
+    name: str,
+    max_rows: int = MAX_PIECE_ROWS,
+) -> DataFrame:
+    """Add the `value` of the n-th following row of the group; null where there are fewer.
+
+    Inside a piece that is a look ahead; behind its end the first n values of the following pieces are known to its summary row.
+    """
+    staged, pieces = cut(df.withColumn("__value", value), keys, order, bucket, [], max_rows)
+    inside = _inside(keys, order)
+    first = staged.withColumn("__place", F.row_number().over(inside)).where(F.col("__place") <= n)
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("__place", "__value"))), lambda x: x["__value"])
+    heads = first.groupBy(*keys, BUCKET).agg(in_order.alias("__heads"))
+    ahead = W.partitionBy(*keys).orderBy(BUCKET).rowsBetween(1, n)
+    behind = heads.select(*keys, BUCKET, F.slice(F.flatten(F.collect_list("__heads").over(ahead)), 1, n).alias("__behind"))
+    sizes = pieces.select(*keys, BUCKET, "__rows").join(behind, [*keys, BUCKET])
+    beyond = F.col("__place") + n - F.col("__rows")
+    return (
+        staged.withColumns({"__place": F.row_number().over(inside), "__inside": F.lead("__value", n).over(inside)})
+        .join(sizes, [*keys, BUCKET])
+        .withColumn(name, F.when(beyond <= 0, F.col("__inside")).otherwise(F.get("__behind", (beyond - 1).cast("int"))))
+        .drop("__place", "__inside", "__rows", "__behind", "__value", BUCKET)
+    )
+
+
+def with_newest(
+    df: DataFrame,
+    key: str,
+    also: str,
+    order: list[str],
+    bucket: Column,
+    value: str,
+    names: tuple[str, str],
+    max_rows: int = MAX_PIECE_ROWS,
+) -> DataFrame:
+    """Add the largest `value` of the rows up to and including each row: of its `key`, and of its `key` and `also`.
+
+    Both are carried along one time line: one exchange by key and piece serves both windows, and one summary per piece and
+    `also` says what earlier pieces bring.
+    """
+    staged, _ = cut(df, [key], order, bucket, [], max_rows)
+    pieces = materialize(staged.groupBy(key, also, BUCKET).agg(F.max(value).alias("__top")), "piece_tops")
+    by_both = pieces.select(key, also, BUCKET, F.max("__top").over(_before([key, also])).alias("__carried_both"))
+    tops = pieces.groupBy(key, BUCKET).agg(F.max("__top").alias("__top"))
+    by_key = tops.select(key, BUCKET, F.max("__top").over(_before([key])).alias("__carried"))
+    upto = lambda keys: _inside(keys, order).rowsBetween(W.unboundedPreceding, 0)
+    inside = staged.withColumns({"__inside": F.max(value).over(upto([key])), "__inside_both": F.max(value).over(upto([key, also]))})
+    joined = inside.join(by_key, [key, BUCKET]).join(by_both.withColumnRenamed(also, "__also"), [key, BUCKET]).where(F.col(also).eqNullSafe(F.col("__also")))
+    both = {names[0]: F.greatest("__inside", "__carried"), names[1]: F.greatest("__inside_both", "__carried_both")}
+    return joined.withColumns(both).drop("__inside", "__inside_both", "__carried", "__carried_both", "__also", BUCKET)
+
+
 def with_segments(
     df: DataFrame,
     rows: int,

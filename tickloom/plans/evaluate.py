@@ -232,11 +232,10 @@ cte(
     "evaluated",
     """SELECT h.*, b.base_event_time, a.event_time AS actual_event_time, a.last_price AS actual_price,
       CASE WHEN a.last_price>h.current_price*1.02::DOUBLE THEN 'UP' WHEN a.last_price<h.current_price*0.98::DOUBLE THEN 'DOWN' ELSE 'WATCH' END AS actual_signal
-    FROM history h JOIN (SELECT h.id, coalesce(s.newest, y.newest) AS base_event_time FROM history h
-      ASOF LEFT JOIN (SELECT symbol, round(last_price*100) AS cents, created_at, max(event_time) OVER (PARTITION BY symbol, round(last_price*100) ORDER BY created_at) AS newest FROM numbered) s
-        ON s.symbol=h.symbol AND s.cents=round(h.current_price*100) AND h.predicted_at>=s.created_at
-      ASOF LEFT JOIN (SELECT symbol, created_at, max(event_time) OVER (PARTITION BY symbol ORDER BY created_at) AS newest FROM numbered) y
-        ON y.symbol=h.symbol AND h.predicted_at>=y.created_at) b ON h.id=b.id
+    FROM history h JOIN (SELECT id, coalesce(max(event_time) OVER same, max(event_time) OVER each_price) AS base_event_time FROM (
+        SELECT symbol, round(last_price*100) AS cents, created_at AS moment, 0 AS kind, NULL AS id, event_time FROM numbered
+        UNION ALL SELECT symbol, round(current_price*100), predicted_at, 1, id, NULL FROM history)
+      WINDOW same AS (PARTITION BY symbol, cents ORDER BY moment, kind), each_price AS (PARTITION BY symbol ORDER BY moment, kind)) b ON h.id=b.id
     JOIN numbered p ON p.symbol=h.symbol AND p.event_time=b.base_event_time JOIN numbered a ON a.symbol=h.symbol AND a.pos=p.pos+5""",
     ["history", "numbered"],
 )

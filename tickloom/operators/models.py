@@ -22,6 +22,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.regression import (
     GBTRegressionModel,
     GBTRegressor,
@@ -70,6 +71,7 @@ from tickloom.operators.labels import (
     train_end,
     walk_forward,
 )
+from tickloom.session import materialize
 
 # Evidence columns of the risk score.
 EVIDENCE = [
@@ -151,6 +153,8 @@ class TrainedModel:
     risk: bool
     encoder: PipelineModel | None = None
     scaler: list[dict] | None = None
+    #: The test rows as they were scored, stored: the metrics can be worked out again from them. Not part of a saved model.
+    scored: DataFrame | None = None
 
     @property
     def name(self) -> str:
@@ -365,8 +369,8 @@ def _guard_metrics(scored: DataFrame, risk: bool, prefix: str = "") -> dict[str,
     }
 
 
-def walk_forward_metrics(vectors: DataFrame, spec: Spec, risk: bool, fit: Callable | None = None, newest: int = 0) -> dict[str, float]:
-    """EVA-4: three forward folds; each tunes its decision inside the training part.
+def walk_forward_scored(vectors: DataFrame, spec: Spec, risk: bool, fit: Callable | None = None, newest: int = 0) -> DataFrame | None:
+    """EVA-4: `fold`, `symbol`, `y_true`, `y_pred` of three forward folds; each tunes its decision inside the training part. None without rows.
 
     `fit(rows, spec, risk)` gives a member of the spec's kind; by default a tabular one. `newest` bounds the
     training rows of each symbol and fold; 0 takes all.
@@ -387,15 +391,16 @@ def walk_forward_metrics(vectors: DataFrame, spec: Spec, risk: bool, fit: Callab
         decision = tune_decision(tuner.with_probabilities(inner.where(~F.col("is_train"))), risk)
         model = fit(train, spec, risk)
         part = model.with_probabilities(validation).select(
-            F.col("next_direction").alias("y_true"), decide(decision, risk).alias("y_pred")
+            F.lit(f).alias("fold"), "symbol", F.col("next_direction").alias("y_true"), decide(decision, risk).alias("y_pred")
         )
         scored = part if scored is None else scored.unionByName(part)
-    if scored is None:
-        return {}
-    scored = scored.persist()
-    metrics = _guard_metrics(scored, risk, "walk_forward_")
-    scored.unpersist()
-    return metrics
+    return None if scored is None else materialize(scored, "fold-scores")
+
+
+def walk_forward_metrics(vectors: DataFrame, spec: Spec, risk: bool, fit: Callable | None = None, newest: int = 0) -> dict[str, float]:
+    """EVA-4: direction quality over the forward folds together."""
+    scored = walk_forward_scored(vectors, spec, risk, fit, newest)
+    return {} if scored is None else _guard_metrics(scored, risk, "walk_forward_")
 
 
 def train_tabular(
@@ -417,7 +422,8 @@ def train_tabular(
         scored = direction.with_probabilities(price.transform(test).withColumnRenamed("prediction", "predicted_return"))
         scored = scored.withColumns(
             {"y_true": F.col("next_direction"), "y_pred": decide(decision, risk), "confidence": display_confidence()}
-        ).drop("features").persist()
+        )
+        scored = _stored_scores(scored)
         metrics = {"return_mae": scored.agg(F.avg(F.abs(F.col("next_return") - F.col("predicted_return")))).first()[0] or 0.0}
         metrics |= _guard_metrics(scored, risk)
         metrics |= _one_row(alert_backtest(scored, [], spec.threshold, risk, use_evidence=True))
@@ -426,10 +432,15 @@ def train_tabular(
         metrics |= walk_forward_metrics(vectors, spec, risk) if with_folds else {"walk_forward_skipped": 1.0}
         if metrics.get("validation_guard_used") == 1.0:
             decision = {"mode": "majority_class", "label": int(metrics["validation_guard_label"])}
-        scored.unpersist()
     finally:
         vectors.unpersist()
-    return TrainedModel(spec, price, direction, decision, metrics, horizon, risk, encoder=encoder)
+    return TrainedModel(spec, price, direction, decision, metrics, horizon, risk, encoder=encoder, scored=scored)
+
+
+def _stored_scores(scored: DataFrame) -> DataFrame:
+    """Scored rows without vectors and windows, written once."""
+    wide = [f.name for f in scored.schema.fields if isinstance(f.dataType, VectorUDT) or f.name == "sequence"]
+    return materialize(scored.drop(*wide), "scored")
 
 
 @dataclass
@@ -477,7 +488,8 @@ def train_sequence(
         scored = price.transform(direction.vectors(test)).withColumnRenamed("prediction", "predicted_return")
         scored = direction.model.with_probabilities(scored).withColumns(
             {"y_true": F.col("next_direction"), "y_pred": decide(decision, risk), "confidence": display_confidence()}
-        ).drop("features").persist()
+        )
+        scored = _stored_scores(scored)
         metrics = {"return_mae": scored.agg(F.avg(F.abs(F.col("next_return") - F.col("predicted_return")))).first()[0] or 0.0}
         metrics |= _guard_metrics(scored, risk)
         metrics |= _one_row(alert_backtest(scored, [], spec.threshold, risk))
@@ -488,10 +500,9 @@ def train_sequence(
             metrics |= walk_forward_metrics(every, spec, risk, fit_sequence, newest)
         else:
             metrics["walk_forward_skipped"] = 1.0
-        scored.unpersist()
     finally:
         windows.unpersist()
-    return TrainedModel(spec, price, direction.model, decision, metrics, horizon, risk, scaler=direction.scaler)
+    return TrainedModel(spec, price, direction.model, decision, metrics, horizon, risk, scaler=direction.scaler, scored=scored)
 
 
 def _flat(windows: DataFrame) -> DataFrame:

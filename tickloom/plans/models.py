@@ -12,7 +12,7 @@ from tickloom.functions.numeric import stable_round
 from tickloom.operators import daily, features as fe, labels as lb, models as md
 from tickloom.plans import fixtures as fx
 from tickloom.plans.features import full_frame
-from tickloom.plans.labels import DAY, dataset, day
+from tickloom.plans.labels import DAY, FOLD_ROWS, dataset, day
 from tickloom.plans.model_sql import WEIGHTS_SQL
 from tickloom.plans.oracle import confidence, cte, rnd, with_ctes
 from tickloom.plans.registry import query
@@ -353,17 +353,123 @@ def _(spark, d):
     return report(spark, md.train_tabular(tick_dataset(spark, d), spec, 3, True, with_folds=False))
 
 
+_FOLDS: dict[tuple[str, str], DataFrame] = {}
+
+
+def folds_scored(spark, d) -> DataFrame:
+    """Forward folds of a small forest over the whole data set, scored once per session and folder."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _FOLDS:
+        rows = dataset(spark, d)
+        vectors = md._assemble(rows, lb.category_encoder(rows), fe.FEATURES).select("symbol", "event_time", "next_direction", "seq", "seq_rows", "features").persist()
+        _FOLDS[key] = md.walk_forward_scored(vectors, md.Spec("random_forest", "forest", 3, 3, 3), True)
+        vectors.unpersist()
+    return _FOLDS[key]
+
+
 @query("eva_04_walk_forward")
 def _(spark, d):
-    """Forward folds of a small forest over the whole data set."""
-    rows = dataset(spark, d)
-    encoder = lb.category_encoder(rows)
-    vectors = md._assemble(rows, encoder, fe.FEATURES).select("symbol", "event_time", "next_direction", "seq", "seq_rows", "features")
-    spec = md.Spec("random_forest", "forest", 3, 3, 3)
-    metrics = md.walk_forward_metrics(vectors.persist(), spec, True)
-    vectors.unpersist()
-    rows = [(k, v) for k, v in metrics.items()]
-    return spark.createDataFrame(rows, "metric_name string, metric_value double")
+    """Direction quality over the forward folds."""
+    metrics = md._guard_metrics(folds_scored(spark, d), True, "walk_forward_")
+    return spark.createDataFrame(list(metrics.items()), "metric_name string, metric_value double")
+
+
+#: The metrics of EVA-1 said again over scored rows, each as one SQL expression.
+AGAIN = {
+    "direction_accuracy": "avg(CAST(y_true = y_pred AS DOUBLE))",
+    "majority_baseline_accuracy": "greatest(count_if(y_true = 0), count_if(y_true = 1), count_if(y_true = 2)) / count(*)",
+    "down_recall": "count_if(y_true = 0 AND y_pred = 0) / nullif(count_if(y_true = 0), 0)",
+    "down_precision": "count_if(y_true = 0 AND y_pred = 0) / nullif(count_if(y_pred = 0), 0)",
+    "predicted_down_ratio": "count_if(y_pred = 0) / count(*)",
+    "validation_samples": "CAST(count(*) AS DOUBLE)",
+    "direction_macro_f1": "(" + " + ".join(f"coalesce(2 * count_if(y_true = {c} AND y_pred = {c}) / nullif(count_if(y_true = {c}) + count_if(y_pred = {c}), 0), 0)" for c in (0, 1, 2)) + ") / 3",
+}
+
+
+def agrees(rows: DataFrame, metrics: dict[str, float], prefix: str, more: dict[str, str] | None = None) -> bool:
+    """Whether the reported metrics are those that the scored rows give."""
+    said = {f"{prefix}{k}": e for k, e in AGAIN.items()} | (more or {})
+    again = rows.selectExpr(*[f"coalesce({e}, 0.0D) AS `{k}`" for k, e in said.items()]).first().asDict()
+    return all(abs(v - metrics[k]) < 1e-9 for k, v in again.items())
+
+
+def metric_checks(model: md.TrainedModel) -> DataFrame:
+    """Per symbol the test rows that were scored and how many fell; whether probabilities, decision and reported metrics hold over them."""
+    rows = model.scored
+    same = agrees(rows, model.metrics, "raw_", {"return_mae": "avg(abs(next_return - predicted_return))"})
+    decision = {k: v for k, v in model.decision.items() if not k.startswith("calibration_")}
+    # A guarded member reports what its tuned decision gave and is used with the majority class.
+    decided = F.lit(True) if decision.get("mode") == "majority_class" else md.decide(model.decision, model.risk) == F.col("y_pred")
+    total = F.abs(F.col("prob_down") + F.col("prob_up") + F.col("prob_flat") - 1) < 1e-6
+    return rows.groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("test_rows"), F.count_if(F.col("y_true") == 0).alias("downs"),
+        F.bool_and(total).alias("sums_to_one"), F.bool_and(decided).alias("decision_agrees"),
+    ).withColumn("metrics_agree", F.lit(same))
+
+
+def checks_sql(more: str = "") -> str:
+    """Test rows and falls per symbol, from the bars: the newest fifth of each symbol's labelled rows."""
+    return with_ctes(
+        ["labelled"],
+        f"""SELECT symbol, count(*) AS test_rows, count(*) FILTER (next_direction=0) AS downs, true AS sums_to_one, true AS decision_agrees, true AS metrics_agree
+        FROM labelled WHERE seq_rows>=2 AND seq>greatest(1,least(seq_rows-1,CAST(floor(seq_rows*0.8::DOUBLE) AS BIGINT))) {more} GROUP BY symbol""",
+    )
+
+
+@query("mod_01_metric_checks", checks_sql())
+def _(spark, d):
+    return metric_checks(trained(spark, d, "lightgbm"))
+
+
+@query("mod_02_metric_checks", checks_sql())
+def _(spark, d):
+    return metric_checks(trained(spark, d, "random_forest"))
+
+
+@query("mod_04_metric_checks", checks_sql(f"AND seq>={SMALL['lstm'].window}"))
+def _(spark, d):
+    return metric_checks(trained(spark, d, "lstm"))
+
+
+@query(
+    "eva_04_fold_checks",
+    with_ctes(
+        ["labelled"],
+        f"""SELECT fold, symbol, count(*) AS fold_rows, count(*) FILTER (next_direction=0) AS downs, true AS metrics_agree FROM (SELECT *, greatest(te+1, least(CAST(floor(seq_rows*e) AS BIGINT),seq_rows)) AS ve FROM (
+         SELECT *, greatest(1,least(CAST(floor(seq_rows*s) AS BIGINT),seq_rows-1)) AS te FROM labelled, (VALUES {FOLD_ROWS}) AS f(fold,s,e) WHERE seq_rows>=10))
+        WHERE seq<=ve AND seq>te GROUP BY fold, symbol""",
+    ),
+)
+def _(spark, d):
+    """The rows that the forward folds scored, and whether the reported metrics are theirs."""
+    rows = folds_scored(spark, d)
+    same = agrees(rows, md._guard_metrics(rows, True, "walk_forward_"), "walk_forward_raw_")
+    return rows.groupBy("fold", "symbol").agg(F.count(F.lit(1)).alias("fold_rows"), F.count_if(F.col("y_true") == 0).alias("downs")).withColumn("metrics_agree", F.lit(same))
+
+
+@query("snk_10_saved_equals_trained", with_ctes(["bars"], "SELECT symbol, count(*)>0 AS same FROM bars GROUP BY symbol"))
+def _(spark, d):
+    """SNK-10, MOD-17: predictions of the members before they were saved and after they were loaded, by symbol."""
+    store, members = md.ModelStore(scratch_path(spark, "models")), [trained(spark, d, n) for n in SMALL]
+    store.save(spark, members, "daily-1", fx.as_of(spark, d))
+    before = md.predict_ensemble(full_frame(spark, d), members, "daily-1")
+    after = md.predict_saved(full_frame(spark, d), store, "daily-")
+    numbers = ["predicted_next_price", "confidence", "final_risk_score"]
+    same = [F.abs(F.col(f"b.{c}") - F.col(f"a.{c}")) < 1e-9 for c in numbers] + [F.col(f"b.{c}") == F.col(f"a.{c}") for c in ("predicted_signal", "alert_signal", "model_version")]
+    return before.alias("b").join(after.alias("a"), "symbol", "full").select("symbol", F.coalesce(reduce(lambda x, y: x & y, same), F.lit(False)).alias("same"))
+
+
+@query("mod_16_search_checks", "SELECT 'lightgbm' AS model_name, 2 AS settings, true AS best_is_first, true AS errors_kept")
+def _(spark, d):
+    """Every setting is a row, a broken one with its error; the best one is the first by the order of the gates and the score."""
+    frame = full_frame(spark, d)
+    specs = [md.Spec("lightgbm", "boosted", 1, 1, depth, 80, "0.3", step=0.1) for depth in (2, -1)]
+    tried = md.search(lambda h, t: lb.labelled(frame, h, t), specs, [5], [0.04], spark)
+    order = ["passes_baseline", "operational_passes_baseline", "score", "setting"]
+    rows = sorted(tried.collect(), key=lambda r: tuple((r[c] is not None, r[c]) for c in order), reverse=True)
+    best = md.best_settings(tried).first()["setting"]
+    errors = [r["error"] is not None for r in sorted(rows, key=lambda r: r["setting"])]
+    return tried.groupBy("model_name").agg(F.count(F.lit(1)).cast("int").alias("settings")).withColumns({"best_is_first": F.lit(rows[0]["setting"] == best), "errors_kept": F.lit(errors == [False, True])})
 
 
 @query("day_01_daily_run")

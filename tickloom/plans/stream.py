@@ -14,7 +14,7 @@ from tickloom.plans.oracle import ANY_FAULT, FAULT_SQL, alert_sql, money, rnd, w
 from tickloom.plans.registry import query
 from tickloom.schema import QUOTE_COLUMNS, time_text
 from tickloom.session import scratch_path
-from tickloom.sources import captures, tables
+from tickloom.sources import captures, stored, tables
 from tickloom.streaming import batch as sb, jobs, state
 
 
@@ -373,13 +373,47 @@ def _(spark, d):
 
 
 @query(
-    "snk_05_split_daily_bars",
+    "snk_04_insert_by_period",
     with_ctes(
-        ["bars_raw", "index_raw"],
-        """SELECT 'stock' AS kind, event_id, strftime(trade_date,'%Y-%m-%d') AS trade_date FROM bars_raw WHERE k%2=1
-        UNION ALL SELECT 'index', event_id, strftime(trade_date,'%Y-%m-%d') FROM index_raw""",
+        ["bars"],
+        """SELECT 'table' AS part, event_id, symbol, last_price FROM bars WHERE k%2=0 UNION ALL SELECT part, CASE WHEN k%3=0 THEN 'x-'||event_id ELSE event_id END, symbol, last_price
+        FROM bars, (VALUES ('table'), ('fresh')) p(part) WHERE k%2=1""",
     ),
 )
+def _(spark, d):
+    """Bars inserted into a table by months: what was new, and the table after the same insert has run twice."""
+    store, order = stored.PeriodTable(scratch_path(spark, "bars-by-period")), ["created_at", "event_id"]
+    store.insert(fx.bars(spark, d).where(F.col("k") % 2 == 0), order)
+    new = renamed_bars(spark, d)
+    fresh = store.insert(new.unionByName(new), order)
+    again = store.insert(new, order)
+    rows = store.read(spark).select(F.lit("table").alias("part"), "event_id", "symbol", "last_price")
+    for name, df in (("fresh", fresh), ("again", again)):
+        rows = rows.unionByName(df.select(F.lit(name).alias("part"), "event_id", "symbol", "last_price"))
+    return rows
+
+
+SPLIT_SQL = with_ctes(
+    ["bars_raw", "index_raw"],
+    """SELECT 'stock' AS kind, event_id, strftime(trade_date,'%Y-%m-%d') AS trade_date FROM bars_raw WHERE k%2=1
+    UNION ALL SELECT 'index', event_id, strftime(trade_date,'%Y-%m-%d') FROM index_raw""",
+)
+
+
+@query("snk_05_split_by_period", SPLIT_SQL)
+def _(spark, d):
+    """The same split into tables by months."""
+    cols, order = [*QUOTE_COLUMNS, "created_at"], ["created_at", "event_id"]
+    stock, index, ticks = fx.bars_raw(spark, d), fx.index_raw(spark, d), fx.ticks(spark, d)
+    mixed = stock.select(*cols).unionByName(index.select(*cols)).unionByName(ticks.select(*cols))
+    kept = {kind: stored.PeriodTable(scratch_path(spark, f"{kind}-by-period")) for kind in ("stock", "index")}
+    kept["stock"].insert(stock.where(F.col("k") % 2 == 0).select(*cols), order)
+    parts = stored.split_into(mixed, kept, order, tables.DAILY_SOURCES)
+    rows = [df.select(F.lit(kind).alias("kind"), "event_id", F.date_format("event_time", "yyyy-MM-dd").alias("trade_date")) for kind, df in parts.items()]
+    return rows[0].unionByName(rows[1])
+
+
+@query("snk_05_split_daily_bars", SPLIT_SQL)
 def _(spark, d):
     cols = [*QUOTE_COLUMNS, "created_at"]
     stock, index, ticks = fx.bars_raw(spark, d), fx.index_raw(spark, d), fx.ticks(spark, d)
@@ -393,19 +427,18 @@ def _(spark, d):
     return rows[0].unionByName(rows[1])
 
 
-@query(
-    "snk_06_upsert_actions",
-    with_ctes(
-        ["alerts", "actions"],
-        """, updates AS (SELECT id AS alert_id, CASE id%6 WHEN 0 THEN 'RESOLVED' WHEN 2 THEN 'ACKED' ELSE 'IGNORED' END AS status,
-          CASE WHEN id%6=2 THEN '' ELSE 'second' END AS note, 'ops' AS handled_by, created_at + INTERVAL 9 MINUTE AS handled_at FROM alerts WHERE id%2=0)
-        SELECT alert_id, status, note, handled_by, strftime(handled_at,'%Y-%m-%d %H:%M:%S') AS handled_at FROM updates
-        UNION ALL SELECT alert_id, status, note, handled_by, strftime(handled_at,'%Y-%m-%d %H:%M:%S') FROM actions WHERE alert_id%2=1""",
-    ).replace(")\n, updates", "),\nupdates"),
-)
-def _(spark, d):
-    now = fx.as_of(spark, d)
-    alerts = fx.alerts(spark, d, now)
+ACTIONS_SQL = with_ctes(
+    ["alerts", "actions"],
+    """, updates AS (SELECT id AS alert_id, CASE id%6 WHEN 0 THEN 'RESOLVED' WHEN 2 THEN 'ACKED' ELSE 'IGNORED' END AS status,
+      CASE WHEN id%6=2 THEN '' ELSE 'second' END AS note, 'ops' AS handled_by, created_at + INTERVAL 9 MINUTE AS handled_at FROM alerts WHERE id%2=0)
+    SELECT alert_id, status, note, handled_by, strftime(handled_at,'%Y-%m-%d %H:%M:%S') AS handled_at FROM updates
+    UNION ALL SELECT alert_id, status, note, handled_by, strftime(handled_at,'%Y-%m-%d %H:%M:%S') FROM actions WHERE alert_id%2=1""",
+).replace(")\n, updates", "),\nupdates")
+
+
+def action_updates(spark, d) -> DataFrame:
+    """Updates of half of the alerts, some with unknown states, each with an earlier one that they replace."""
+    alerts = fx.alerts(spark, d, fx.as_of(spark, d))
     k = F.col("id") % 6
     updates = alerts.where(F.col("id") % 2 == 0).select(
         F.col("id").alias("alert_id"),
@@ -415,10 +448,25 @@ def _(spark, d):
         (F.col("created_at") + F.expr("INTERVAL 9 MINUTES")).alias("handled_at"),
     )
     earlier = updates.withColumns({"status": F.lit("OPEN"), "handled_at": F.col("handled_at") - F.expr("INTERVAL 2 MINUTES")})
-    done = tables.upsert_actions(fx.alert_actions(spark, d, now), updates.unionByName(earlier))
+    return updates.unionByName(earlier)
+
+
+@query("snk_06_upsert_actions", ACTIONS_SQL)
+def _(spark, d):
+    done = tables.upsert_actions(fx.alert_actions(spark, d, fx.as_of(spark, d)), action_updates(spark, d))
     return done.withColumn("handled_at", time_text("handled_at"))
 
 
+@query("snk_06_upsert_by_bucket", ACTIONS_SQL)
+def _(spark, d):
+    """The same updates on a stored table; they run twice."""
+    store = stored.ActionTable(scratch_path(spark, "actions"))
+    store.upsert(fx.alert_actions(spark, d, fx.as_of(spark, d)))
+    for _ in range(2):
+        store.upsert(action_updates(spark, d))
+    return store.read(spark).withColumn("handled_at", time_text("handled_at"))
+
+
 @query(
     "snk_07_result_store",
     with_ctes(

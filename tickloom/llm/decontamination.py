@@ -60,14 +60,16 @@ class HammingIndex:
     """Finds all stored fingerprints within the radius of given ones."""
 
     def __init__(self, prints: np.ndarray, radius: int = RADIUS) -> None:
-        self.prints, self.radius, self.blocks = prints, radius, []
-        for shift, width in block_bounds(radius):
-            value = self._block(prints, shift, width)
-            order = np.argsort(value, kind="stable")
-            self.blocks.append((shift, width, order, value[order]))
+        self.prints, self.radius = prints, radius
+        shift, width = (np.array(x, np.uint64) for x in zip(*block_bounds(radius)))
+        self.shift, self.mask, self.block = shift, (_U(1) << width) - _U(1), np.arange(len(shift), dtype=np.uint64) << _U(BITS // 2)
+        # One sorted table for all blocks: what a fingerprint has in a block, and whose it is.
+        keys = self._keys(prints)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.owner = keys[order], order // len(shift)
 
-    def _block(self, prints: np.ndarray, shift: int, width: int) -> np.ndarray:
-        return (prints >> _U(shift)) & _U((1 << width) - 1)
+    def _keys(self, prints: np.ndarray) -> np.ndarray:
+        return (((prints[:, None] >> self.shift) & self.mask) | self.block).ravel()
 
     def search(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(position in `asked`, position in the index, distance) of all pairs within the radius, each once."""
@@ -78,17 +80,13 @@ class HammingIndex:
         return q, found, np.bitwise_count(asked[q] ^ self.prints[found]).astype(int)
 
     def _near(self, asked: np.ndarray) -> np.ndarray:
-        pairs = []
-        for shift, width, order, value in self.blocks:
-            own = self._block(asked, shift, width)
-            low, high = np.searchsorted(value, own, "left"), np.searchsorted(value, own, "right")
-            n = high - low
-            q = np.repeat(np.arange(len(asked)), n)
-            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
-            found = order[at]
-            near = np.bitwise_count(asked[q] ^ self.prints[found]) <= self.radius
-            pairs.append(q[near] * len(self.prints) + found[near])
-        return np.unique(np.concatenate(pairs))
+        own = self._keys(asked)
+        low, high = np.searchsorted(self.keys, own, "left"), np.searchsorted(self.keys, own, "right")
+        n = high - low
+        q = np.repeat(np.arange(len(own)) // len(self.shift), n)
+        found = self.owner[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)]
+        near = np.bitwise_count(asked[q] ^ self.prints[found]) <= self.radius
+        return np.unique(q[near] * len(self.prints) + found[near])
 
 
 class Benchmark:

@@ -92,3 +92,19 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM best LEFT JOIN covered USING (lang, phrase) WHERE coalesce(100 * held >= 100 * a, false) = false
 QUALIFY rank <= 2000
 """
+
+#: All pairs of equal label by cosine in double precision, and what links reach.
+EMBEDDINGS_SQL = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e, sqrt(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * x))) AS norm FROM embeddings),
+usable AS (
+    SELECT * FROM vectors WHERE label IS NOT NULL AND norm > 0 AND isfinite(norm) AND len(list_filter(e, lambda x: x IS NULL)) = 0),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.98),
+reached AS (SELECT a, b FROM links UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+least_reached AS (SELECT a, min(b) AS low FROM reached GROUP BY a),
+degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id, vec_id = least(vec_id, coalesce(low, vec_id)) AS kept
+FROM embeddings LEFT JOIN degrees ON degrees.a = vec_id LEFT JOIN least_reached ON least_reached.a = vec_id
+"""

@@ -8,7 +8,7 @@ import corpus_pipeline
 from tickloom.llm import bloom_lm, bpe, collocations, decontamination, embedding_dedup, html_extract, language, merkle, minhash_dedup, substring_dedup, token_counts, toxicity, url_filter
 from tickloom.llm.common import fold, table
 from tickloom.llm.models import language_model, toxicity_model
-from tickloom.llm.oracle import COLLOCATIONS_SQL, MERKLE_SQL, REPEATS_SQL
+from tickloom.llm.oracle import COLLOCATIONS_SQL, EMBEDDINGS_SQL, MERKLE_SQL, REPEATS_SQL
 from tickloom.plans.registry import query
 
 
@@ -55,7 +55,7 @@ def op4_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontamination.find_passages(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
-@query("op1_embedding_dedup")
+@query("op1_embedding_dedup", EMBEDDINGS_SQL)
 def op1_embedding_dedup(spark: SparkSession, d: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, d, "embeddings"))
 

@@ -109,3 +109,18 @@ def test_packed_days_stay_few_files(spark, sf_dir, tmp_path):
     assert writer.read(spark, "quotes").count() == 34
     writer.compact(spark, "nothing", day, 1)
     assert writer.read(spark, "nothing") is None
+
+
+def test_minutes_merge_exactly(spark, sf_dir):
+    rows = quotes(spark, sf_dir, [(f"e{k}", f"S{k % 7}" if k % 5 else None, "s", k * 7 % 200, 1.0 + k / 3) for k in range(60)])
+    rows = rows.withColumn("change_pct", F.when(F.length("event_id") > 2, F.col("last_price") - 9))
+    numbers, parts = None, None
+    for k in range(60):
+        if k % 20 == 0 or k == 1:  # the second batch has one symbol, so that numbers go on behind a single one
+            batch = rows.where(F.col("event_id").isin([f"e{j}" for j in ([0, 1] if k == 0 else range(2, 20) if k == 1 else range(k, k + 20))]))
+            numbers = sb.symbol_numbers(batch, numbers)
+            part = sb.minute_parts(batch, numbers)
+            parts = part if parts is None else parts.unionByName(part)
+    assert numbers.select("number").distinct().count() == numbers.count() == 7
+    got, want = sb.merge_minute_parts(parts), sb.minute_snapshot(rows)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and want.count() == 4

@@ -13,7 +13,7 @@ from tickloom.plans import fixtures as fx
 from tickloom.plans.oracle import ANY_FAULT, FAULT_SQL, alert_sql, money, rnd, with_ctes
 from tickloom.plans.registry import query
 from tickloom.schema import QUOTE_COLUMNS, time_text
-from tickloom.session import scratch_path
+from tickloom.session import materialize, scratch_path
 from tickloom.sources import captures, stored, tables
 from tickloom.streaming import batch as sb, jobs, state
 
@@ -577,6 +577,18 @@ def _(spark, d):
     return sb.minute_snapshot(sb.dedup_events(fx.ticks(spark, d))).drop("latest_event_time")
 
 
+@query("str_06_merged_snapshot", SNAPSHOT_SQL)
+def _(spark, d):
+    """The snapshot out of parts of three batches that share minutes and symbols; symbols are numbered as they come."""
+    rows, numbers, parts = fx.ticks(spark, d), None, None
+    for k in range(3):
+        batch = rows.where(F.col("id") % 3 == k)
+        numbers = materialize(sb.symbol_numbers(batch, numbers), "symbol-numbers")
+        part = sb.minute_parts(batch, numbers)
+        parts = part if parts is None else parts.unionByName(part)
+    return sb.merge_minute_parts(parts).drop("latest_event_time")
+
+
 @query(
     "str_07_symbol_stats",
     with_ctes(

@@ -11,7 +11,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions.numeric import money_sum, stable_round
-from tickloom.operators.ordered import earliest_by, latest_by
+from tickloom.operators.ordered import earliest_by, latest_by, with_position
 from tickloom.schema import QUOTE_COLUMNS
 
 STATE_KEYS = ["symbol", "source"]
@@ -55,6 +55,52 @@ def minute_snapshot(batch: DataFrame, keys: list[str] | None = None) -> DataFram
     )
 
 
+def symbol_numbers(symbols: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """`symbol` and a `number` from 0 that it keeps: symbols that `known` has not go on behind its last one, in order."""
+    new = symbols.select("symbol").where("symbol IS NOT NULL").distinct()
+    first = 0
+    if known is not None:
+        new = new.join(known.select("symbol"), "symbol", "left_anti")
+        first = known.agg(F.coalesce(F.max("number") + 1, F.lit(0))).first()[0]
+    numbered = with_position(new, [], ["symbol"], F.substring("symbol", 1, 2)).select("symbol", (F.col("pos") - 1 + first).cast("long").alias("number"))
+    return numbered if known is None else known.select("symbol", "number").unionByName(numbered)
+
+
+def minute_parts(batch: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Sums and symbol bitmaps per minute that merge exactly, whatever batches the quotes of a minute come in.
+
+    A bitmap holds the symbols of one range of numbers, so that it stays small; a minute has a row for each range it saw.
+    """
+    number = F.coalesce("number", F.lit(-1))
+    rows = batch.join(numbers, "symbol", "left").withColumn("symbol_range", F.when(number >= 0, F.bitmap_bucket_number("number")).otherwise(-1))
+    return rows.groupBy(minute_bucket().alias("window_bucket"), "symbol_range").agg(
+        F.bitmap_construct_agg(F.when(number >= 0, F.bitmap_bit_position("number"))).alias("symbols"),
+        *[F.count(c).alias(f"{c}_n") for c in ("last_price", "change_pct")],
+        *[F.sum(F.col(c).cast("decimal(28,9)")).alias(f"{c}_sum") for c in ("last_price", "change_pct")],
+        F.sum("volume").alias("total_volume"),
+        F.sum(F.col("turnover").cast("decimal(20,2)")).alias("total_turnover"),
+        F.max("event_time").alias("latest_event_time"),
+    )
+
+
+def merge_minute_parts(parts: DataFrame) -> DataFrame:
+    """STR-6 over parts of any number of batches: the snapshot that one batch with all their quotes gives."""
+    sums = [F.sum(c).alias(c) for c in ("last_price_n", "change_pct_n", "last_price_sum", "change_pct_sum", "total_volume", "total_turnover")]
+    latest = F.max("latest_event_time").alias("latest_event_time")
+    ranges = parts.groupBy("window_bucket", "symbol_range").agg(F.bitmap_or_agg("symbols").alias("symbols"), *sums, latest)
+    minutes = ranges.groupBy("window_bucket").agg(F.sum(F.bitmap_count("symbols")).alias("symbol_count"), *sums, latest)
+    mean = lambda c, digits: stable_round(F.try_divide(F.col(f"{c}_sum").cast("double"), F.col(f"{c}_n")), digits)
+    return minutes.select(
+        "window_bucket",
+        "symbol_count",
+        mean("last_price", 2).alias("avg_price"),
+        mean("change_pct", 4).alias("avg_change_pct"),
+        "total_volume",
+        F.col("total_turnover").cast("double").alias("total_turnover"),
+        "latest_event_time",
+    )
+
+
 def symbol_stats(batch: DataFrame) -> DataFrame:
     """STR-7: per-symbol statistics; `last_price` is the highest price of the batch."""
     return batch.groupBy("symbol", "company_name", "category", "sector").agg(

@@ -39,3 +39,17 @@ def test_sequence_member_has_forward_folds_and_a_held_out_decision(rows):
 def test_no_windows_is_an_error(rows):
     with pytest.raises(ValueError, match="no training"):
         md.train_sequence(rows, md.Spec("lstm", "sequence", window=500, features=["return_1"]))
+
+
+@pytest.mark.parametrize("window", [1, 4, 7])
+def test_scaler_counts_rows_as_often_as_windows_hold_them(spark, window):
+    rows = [(s, float(k), k, n, float((k * 7 + n) % 11)) for s, n in (("A", 30), ("B", 8), ("C", 3), ("D", window)) for k in range(1, n + 1)]
+    table = spark.createDataFrame(rows, "symbol string, event_time double, seq long, seq_rows long, return_1 double")
+    windows = lb.sequences(table, window, 0, ["return_1"]).where("symbol <> 'A' OR seq BETWEEN 12 AND 20")
+    held = [v[0] for r in windows.collect() for v in r["sequence"]]
+    mean = sum(held) / len(held)
+    got = lb.fit_scaler(windows, ["return_1"]).first()
+    assert got["mean"] == pytest.approx(mean) and got["std"] == pytest.approx((sum((x - mean) ** 2 for x in held) / len(held)) ** 0.5)
+    assert sum(r["held"] for r in lb.held_rows(windows).collect()) == len(held)
+    with pytest.raises(Exception, match="gaps"):
+        lb.held_rows(windows.where("symbol <> 'A' OR seq <> 15")).collect()

@@ -183,18 +183,30 @@ def sequences(df: DataFrame, window: int, cap: int = 0, features: list[str] | No
     )
 
 
+def held_rows(windows: DataFrame) -> DataFrame:
+    """The rows (`v`) that windows hold, once each, and by how many windows each is held (`held`).
+
+    The windows of a symbol end at rows that follow each other (a gap is an error). So every window brings its last row, and the
+    first one of a symbol its earlier rows too; how often a row is held follows from its place. No window is unrolled.
+    """
+    w, last = F.size("sequence"), F.element_at("sequence", -1)
+    ends = windows.groupBy("symbol").agg(F.min("seq").alias("__low"), F.max("seq").alias("__high"), F.count(F.lit(1)).alias("__n"))
+    whole = F.when(F.col("__high") - F.col("__low") + 1 != F.col("__n"), F.raise_error(F.lit("windows with gaps"))).otherwise(F.col("__high"))
+    placed = windows.join(ends.select("symbol", "__low", whole.alias("__high")), "symbol")
+    own = placed.select(last.alias("v"), (F.least(F.col("seq") + w - 1, "__high") - F.col("seq") + 1).alias("held"))
+    heads = placed.where(F.col("seq") == F.col("__low")).select("__low", "__high", w.alias("w"), F.posexplode(F.slice("sequence", 1, w - 1)).alias("i", "v"))
+    return own.unionByName(heads.select("v", (F.least(F.col("__low") + F.col("i"), "__high") - F.col("__low") + 1).alias("held")))
+
+
 def fit_scaler(train: DataFrame, features: list[str]) -> DataFrame:
-    """LAB-11: mean and population deviation per feature over the training windows, one row each."""
-    step = train.select(F.explode("sequence").alias("v"))
-    stats = step.agg(
-        *[
-            F.struct(F.avg(F.col("v")[i]).alias("mean"), F.stddev_pop(F.col("v")[i]).alias("std")).alias(name)
-            for i, name in enumerate(features)
-        ]
-    )
-    return stats.select(
-        F.explode(F.array(*[F.struct(F.lit(i).alias("place"), F.lit(n).alias("feature"), F.col(n).alias("s")) for i, n in enumerate(features)])).alias("r")
-    ).select("r.place", "r.feature", "r.s.mean", F.when(F.col("r.s.std") > 0, F.col("r.s.std")).otherwise(1.0).alias("std"))
+    """LAB-11: mean and population deviation per feature over the training windows, one row each: rows count as often as windows hold them."""
+    rows = held_rows(train)
+    total, places = F.sum("held"), range(len(features))
+    means = rows.agg(*[(F.sum(F.col("v")[i] * F.col("held")) / total).alias(f"m{i}") for i in places]).first()
+    center = [F.lit(means[i] if means[i] is not None else 0.0) for i in places]
+    spread = rows.agg(*[F.sqrt(F.sum(F.pow(F.col("v")[i] - center[i], F.lit(2.0)) * F.col("held")) / total).alias(f"s{i}") for i in places]).first()
+    made = [(i, n, means[i], spread[i] if spread[i] and spread[i] > 0 else 1.0) for i, n in enumerate(features)]
+    return train.sparkSession.createDataFrame(made, "place int, feature string, mean double, std double")
 
 
 def scale_windows(df: DataFrame, rows: list) -> DataFrame:

@@ -25,7 +25,7 @@ from tickloom.session import materialize
 
 THRESHOLD = 0.8
 #: Hamming radius of the search; fingerprints have one block more. Similar windows further away are not found: the README has the recall.
-RADIUS = 24
+RADIUS = 21
 BITS = 64
 #: Items and bytes of item text that are broadcast at a time; a larger benchmark is searched for slice by slice.
 SLICE_ITEMS, SLICE_BYTES = 50_000, 32_000_000

@@ -3,10 +3,14 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import pyarrow as pa
 from odd_rows import no_docs, odd_docs
+from test_pairs import classes
+from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
-from tickloom.llm import queries
+from tickloom.llm import bpe, queries
+from tickloom.llm.shingles import probability_jaccard, shingles, weighted, word_hashes
 
 SF = "/root/testdata/sf0.01"
 TOXIC = re.compile(r"\b(trash|disgusting|worthless|moron|pathetic|loser|idiot|stupid|clown|scum)\b", re.I)
@@ -28,6 +32,17 @@ def test_stages_take_effect_and_keep_clean_documents(spark):
         if name == "minhash_dedup":
             texts = Counter(r["text"] for r in docs.collect())
             assert max(texts.values()) == 1 and set(texts) <= {r["text"] for r in before.collect()}
+            rows = before.select("doc_id", "text").orderBy("doc_id").collect()
+            sets = [weighted(shingles(w)) for w in word_hashes(pa.array([r["text"] for r in rows]))]
+            same = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i][0]) and len(sets[j][0]) and len(sets[i][0]) >= 0.5 * len(sets[j][0]) >= 0.25 * len(sets[i][0]) and probability_jaccard(sets[i], sets[j]) >= 0.8]
+            assert {r["doc_id"] for r in docs.collect()} == {rows[k]["doc_id"] for k in set(classes(len(rows), same))}
+        if name == "language":
+            said = {r["doc_id"]: r for r in queries.op8_language(spark, SF).collect()}
+            assert {r["doc_id"] for r in docs.collect()} == {r["doc_id"] for r in before.collect() if said[r["doc_id"]]["lang_pred"] != "und" and said[r["doc_id"]]["score"] >= cp.LEAST_SHARE}
+        if name == "bpe_encoding":
+            library = Tokenizer.from_file(bpe.default_path())
+            texts = {r["doc_id"]: r["text"] for r in before.collect()}
+            assert all(r["n_tokens"] == len(library.encode(texts[r["doc_id"]], add_special_tokens=False).ids) for r in docs.collect())
         if name == "decontamination":
             found = {r["doc_id"] for r in queries.op4_decontamination(spark, SF).collect()}
             assert {r["doc_id"] for r in docs.collect()} == {r["doc_id"] for r in before.collect()} - found

@@ -59,7 +59,7 @@ STAGES = [
     ("bpe_encoding", encode),
 ]
 
-#: No stage can be said in SQL; tests hold run() against brute-force versions of the stages.
+#: No stage can be said in SQL. Tests hold near-duplicates, benchmark passages and encoding against brute force, the learned stages against the operators' own predictions.
 ORACLE_SQL = None
 
 

@@ -7,7 +7,9 @@ import warnings
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import (
@@ -802,6 +804,18 @@ def best_settings(report: DataFrame) -> DataFrame:
     return report.groupBy("model_name").agg(F.max_by(F.struct(*rest), order).alias("b")).select("model_name", "b.*")
 
 
+def _tried(data: DataFrame, spec: Spec, setting: str, horizon: int) -> list[tuple]:
+    """The metrics of one setting as rows; a failure is a row with its error."""
+    try:
+        metrics = train(data, spec, horizon).metrics
+        return [(spec.name, setting, None, k, float(v)) for k, v in metrics.items()]
+    except Exception as exc:  # noqa: BLE001  a failed setting is a result
+        return [(spec.name, setting, str(exc), None, None)]
+
+
+TRIED = "model_name string, setting string, error string, metric_name string, metric_value double"
+
+
 def search(
     datasets: Callable[[int, float], DataFrame], specs: list[Spec], horizons: list[int], thresholds: list[float], spark: SparkSession
 ) -> DataFrame:
@@ -811,15 +825,66 @@ def search(
         for t in thresholds:
             data = datasets(h, t).persist()
             for i, spec in enumerate(specs):
-                setting = f"{i}-{spec.kind}-d{spec.depth}-h{h}-t{t:g}"
-                try:
-                    metrics = train(data, spec, h).metrics
-                    rows += [(spec.name, setting, None, k, float(v)) for k, v in metrics.items()]
-                except Exception as exc:  # noqa: BLE001  a failed setting is a result
-                    rows.append((spec.name, setting, str(exc), None, None))
+                rows += _tried(data, spec, _setting(i, spec, h, t), h)
+            data.unpersist()
+    return search_report(spark.createDataFrame(rows, TRIED))
+
+
+def _setting(i: int, spec: Spec, horizon: int, threshold: float) -> str:
+    return f"{i}-{spec.kind}-d{spec.depth}-h{horizon}-t{threshold:g}"
+
+
+def newest_part(data: DataFrame, share: float) -> DataFrame:
+    """The newest `share` of each symbol's rows, numbered from 1 again."""
+    left_out = F.floor(F.col("seq_rows") * F.lit(1.0 - share))
+    return data.where(F.col("seq") > left_out).withColumns({"seq": F.col("seq") - left_out, "seq_rows": F.col("seq_rows") - left_out})
+
+
+def halving_search(
+    datasets: Callable[[int, float], DataFrame],
+    specs: list[Spec],
+    horizons: list[int],
+    thresholds: list[float],
+    spark: SparkSession,
+    shares: tuple[float, ...] = (0.25, 1.0),
+    keep: int = 2,
+    side_by_side: int = 3,
+) -> tuple[DataFrame, dict[float, int]]:
+    """MOD-16 by successive halving: all settings on the newest part of the rows, then of each model the best 1 / `keep` on more.
+
+    Settings of a round run side by side, each in a scheduler pool of its own. Returns the report, in which a setting that was
+    left behind has the metrics of its last round, and how many settings each share of the rows was tried with. A setting
+    that fails goes on no further and keeps its error.
+    """
+    grid = {_setting(i, spec, h, t): (spec, h, t) for h in horizons for t in thresholds for i, spec in enumerate(specs)}
+    left, done, fits = list(grid), {}, {}
+    for n, share in enumerate(shares):
+        made = {(h, t): (newest_part(datasets(h, t), share) if share < 1 else datasets(h, t)).persist() for h, t in {grid[x][1:] for x in left}}
+
+        def attempt(setting: str, made=made) -> list[tuple]:
+            spec, h, t = grid[setting]
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", setting)
+            return _tried(made[h, t], spec, setting, h)
+
+        with ThreadPool(side_by_side) as pool:
+            results = pool.map(inheritable_thread_target(spark)(attempt), left)
+        for data in made.values():
             data.unpersist()
-    schema = "model_name string, setting string, error string, metric_name string, metric_value double"
-    return search_report(spark.createDataFrame(rows, schema))
+        done |= dict(zip(left, results, strict=True))
+        fits[share] = len(left)
+        if n + 1 < len(shares):
+            ranked = search_report(spark.createDataFrame([r for x in left for r in done[x]], TRIED)).where("error IS NULL").collect()
+            left = []
+            for model in sorted({r["model_name"] for r in ranked}):
+                own = sorted((r for r in ranked if r["model_name"] == model), key=_rank, reverse=True)
+                left += [r["setting"] for r in own[: -(-len(own) // keep)]]
+    report = search_report(spark.createDataFrame([r for rows in done.values() for r in rows], TRIED))
+    return report.withColumn("finished", F.col("setting").isin(left)), fits
+
+
+def _rank(row) -> tuple:
+    """The order of `best_settings`."""
+    return tuple((row[c] is not None, row[c] or 0) for c in ("passes_baseline", "operational_passes_baseline", "score")) + (row["setting"],)
 
 
 # --- Model store ---------------------------------------------------------------------------------

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from odd_rows import DOCS, no_docs, odd_docs
 from pyspark.sql import functions as F
@@ -157,3 +158,76 @@ def test_lm_slices_agree_and_odd_rows(spark, monkeypatch):
     assert [r["n_tokens"] for r in whole if r["doc_id"] is None] == [6]
     assert bloom_lm.score(no_docs(spark), F.lit(True)).count() == 0
     assert bloom_lm.score(odd_docs(spark), F.lit(False)).where("n_known = 0").count() == len(DOCS)
+
+
+def test_lm_tokens_of_odd_texts():
+    texts = [None, "", " \t\n", "A b\x0bÉ\x1cx \u212a  a", "x" * 64 + " " + "x" * 65 + " " + "Y" * 70, "a\0 a", "12345678 123456789 12345678", *[d[1] for d in DOCS]]
+    tokens = bloom_lm.Tokens.of(pa.array(["cut off", *texts])[1:])
+    want = [[*(t or "").encode().lower().split(), b""] for t in texts]
+    assert [tokens.words(np.arange(a, b)) for a, b in zip(tokens.bounds, tokens.bounds[1:])] == want
+    flat = [w for t in want for w in t]
+    assert len(set(zip(flat, tokens.hashes.tolist()))) == len(set(flat)) == len(set(tokens.hashes.tolist()))
+    of = dict(zip(flat, tokens.hashes))
+    before = np.concatenate([[bloom_lm.START, *[of[w] for w in t[:-1]]] for t in want]).astype(np.uint64)
+    assert (tokens.pairs() == bloom_lm.mix(before * np.uint64(0x9E3779B97F4A7C15) + bloom_lm.mix(tokens.hashes))).all()
+
+
+def test_counted_and_remembered_ngrams_are_not_probed_again(monkeypatch):
+    # Every n-gram of a training text was asked for level 1, and the levels of a pair were read anew in each batch.
+    rng = np.random.default_rng(2)
+    grams, counts = np.unique(rng.integers(1, 1 << 62, 20_000).astype(np.uint64)), rng.geometric(0.05, 20_000)
+    bits = bloom_lm.build_segment(grams, counts)
+    stored = bloom_lm.BloomFilter.of({0: len(bits)}, [(0, bits)], 1)
+    asked, found = [], bloom_lm.BloomFilter._found
+    monkeypatch.setattr(bloom_lm.BloomFilter, "_found", lambda self, g, f, b, level: (asked.append((level, len(g))), found(self, g, f, b, level))[1])
+    want = stored.levels(grams)
+    assert sum(n for level, n in asked if level == 1) == 20_000
+    asked.clear()
+    assert (stored.distinct_levels(grams, np.ones(20_000, bool)) == want).all() and not [n for level, n in asked if level == 1]
+    for bound in (1 << 19, 5000):
+        monkeypatch.setattr(bloom_lm, "REMEMBERED", bound)
+        stored.memo = bloom_lm.BloomFilter.memo
+        assert (stored.remembered_levels(grams, np.ones(20_000, bool)) == want).all()
+        known, levels, floor = stored.memo
+        assert len(known) <= bound and (levels >= floor).all()
+        asked.clear()
+        more = np.sort(np.concatenate([grams, rng.integers(1, 1 << 62, 100).astype(np.uint64)]))
+        assert (stored.remembered_levels(more, np.isin(more, grams)) == stored.levels(more)).all()
+        assert asked[0] == (1, 100) and asked[1][1] <= 20_100 - len(known)
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_exact_counts_do_not_hang_on_hashes(monkeypatch, clash):
+    if clash:
+        monkeypatch.setattr(bloom_lm, "_hash_words", lambda tokens, at: (tokens.stops[at] - tokens.starts[at]).astype(np.uint64))
+    texts = ["one two six two ten", None, "one ten ten four five " + "x" * 80 + " " + "y" * 80 + " " + "y" * 80, "nine"]
+    known = {"one": 7, "ten": 1, "three": 5, "nine": 2, "y" * 80: 3, "": 4}
+    frequent = bloom_lm.Frequent.of(pa.array(list(known)), np.array(list(known.values())))
+    tokens = bloom_lm.Tokens.of(pa.array(texts))
+    hashes, which = np.unique(tokens.hashes, return_inverse=True)
+    n_tokens, n_known, logs, rest = bloom_lm.exact_counts(tokens, which, frequent.find(hashes), frequent)
+    there = {w.decode() for w in frequent.words.words(np.arange(len(frequent.logs)))}
+    assert there == set(known) if not clash else there < set(known)
+    for k, text in enumerate(texts):
+        words = [*(text or "").split(), ""]
+        listed = Counter()
+        for r in rest[k].as_py():
+            listed[r["word"]] += r["times"]
+        assert (n_tokens[k], n_known[k]) == (len(words), sum(w in there for w in words))
+        assert listed == Counter(w for w in words if w not in there)
+        assert logs[k] == pytest.approx(sum(math.log10(known[w] + 1) for w in words if w in there))
+
+
+def test_lm_base_is_the_same_with_few_words_broadcast(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").unionByName(odd_docs(spark).select("doc_id", "text"))
+    counted = bloom_lm.word_counts(docs.select("text")).cache()
+    # All words fit one broadcast; it used to take only those that are a set part of all tokens.
+    monkeypatch.setattr(bloom_lm, "FREQUENT", counted.count())
+    assert len(bloom_lm._frequent(counted).logs) == counted.count()
+    whole = bloom_lm.score(docs, F.col("doc_id") % 2 == 0).collect()
+    monkeypatch.setattr(bloom_lm, "FREQUENT", 20)
+    assert 0 < len(bloom_lm._frequent(counted).logs) <= 20
+    few = bloom_lm.score(docs, F.col("doc_id") % 2 == 0).collect()
+    order = lambda rows: sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in rows)
+    assert order(whole) == order(few) and len(few) == docs.count()
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) is None

@@ -53,3 +53,16 @@ def test_scaler_counts_rows_as_often_as_windows_hold_them(spark, window):
     assert sum(r["held"] for r in lb.held_rows(windows).collect()) == len(held)
     with pytest.raises(Exception, match="gaps"):
         lb.held_rows(windows.where("symbol <> 'A' OR seq <> 15")).collect()
+
+
+@pytest.mark.parametrize("cap, older, newest", [(0, 20 * 124, 20 * 32), (400, 20 * 16, 20 * 4), (60, 20 * 2, 20), (20, 16, 4)])
+def test_a_capped_symbol_keeps_windows_to_train_and_to_tune_on(rows, cap, older, newest):
+    train = lb.time_split(lb.sequences(rows, 5, cap, ["return_1"])).where("is_train").drop("is_train")
+    split = lb.tuning_split(train, 5)
+    assert (split.where("is_train").count(), split.where("NOT is_train").count()) == (older, newest)
+
+
+def test_few_windows_a_symbol_train_a_sequence_member(rows):
+    spec = md.Spec("lstm", "sequence", window=3, hidden=4, epochs=3, features=["return_1"])
+    model = md.train_sequence(rows, spec, 5, True, cap=60, with_folds=False)
+    assert model.metrics["raw_validation_samples"] == 20 * 40
